@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from wireloom.plans.staging import staged
@@ -51,7 +52,7 @@ def append_batch(events: DataFrame, batch_id: int, path: str) -> None:
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a day table with their ``batch_id``; none if it does not exist yet."""
-    schema = EMITTED.add("batch_id", "long") if "batch_id" not in EMITTED.names else EMITTED
+    schema = T.StructType([*EMITTED.fields, T.StructField("batch_id", T.LongType())])
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

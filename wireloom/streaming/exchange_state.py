@@ -1,0 +1,211 @@
+"""Keyed state of the log stream: open exchanges and when to let go of them.
+
+Parsing and classification run before this operator and cutting payloads out after it, both as
+native expressions. Here lines are only kept or replaced; see ``operators.assemble`` for the
+same rules on whole tables.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import astuple, dataclass, fields
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from wireloom.operators import lines as L
+from wireloom.operators.assemble import HEADER_LINES, LOG_SEPARATOR
+from wireloom.schema import BODY_CHAIN, EXCHANGE
+
+DROPPED = "dropped"
+
+
+@dataclass
+class Kept:
+    """What one exchange keeps of its lines, other log text aside. Times are epoch millis.
+
+    Bodies follow ``operators.bodies``: their count, the last one, its direction, and the kept
+    one, which here includes the first.
+    """
+
+    first_ms: int | None = None
+    start_ms: int | None = None
+    start_content: str | None = None
+    caller_thread: str | None = None
+    event_id_line: str | None = None
+    event_type_line: str | None = None
+    event_code_line: str | None = None
+    event_platform_line: str | None = None
+    event_sequence_line: str | None = None
+    server_profile_line: str | None = None
+    request_end_ms: int | None = None
+    response_ms: int | None = None
+    response_content: str | None = None
+    end_ms: int | None = None
+    n_bodies: int = 0
+    last_body_ms: int | None = None
+    last_body: str | None = None
+    last_down: bool | None = None
+    kept_body: str | None = None
+
+    def add(self, kind: str, ms: int, content: str | None, thread: str) -> None:
+        if self.first_ms is None:
+            self.first_ms = ms
+        if kind in (L.REQUEST_START, L.OTHER):
+            self.caller_thread = thread
+        if kind == L.REQUEST_START:
+            self.start_ms, self.start_content = ms, content
+        elif kind == L.REQUEST_END:
+            self.request_end_ms = ms
+        elif kind == L.RESPONSE_START:
+            self.response_ms, self.response_content = ms, content
+        elif kind == L.RESPONSE_END:
+            self.end_ms = ms
+        elif kind == L.BODY:
+            self._add_body(ms, content)
+        elif kind != L.OTHER:
+            setattr(self, f"{kind}_line", content)
+
+    def _add_body(self, ms: int, text: str) -> None:
+        if self.n_bodies:
+            down = ms < self.last_body_ms
+            if self.n_bodies == 1 or down == self.last_down:
+                self.kept_body = self.last_body
+            self.last_down = down
+        self.n_bodies += 1
+        self.last_body_ms, self.last_body = ms, text
+
+
+_SPARK_TYPES = {"int": T.LongType(), "bool": T.BooleanType(), "str": T.StringType()}
+
+KEPT = T.StructType(
+    [T.StructField(f.name, _SPARK_TYPES[f.type.split(" ")[0]]) for f in fields(Kept)]
+)
+OUTPUT = T.StructType(
+    [
+        T.StructField("request_key", T.StringType()),
+        T.StructField("status", T.StringType()),
+        *KEPT.fields,
+        T.StructField("other_log", T.StringType()),
+    ]
+)
+
+INPUT_COLUMNS = ["request_key", "kind", "topic", "partition", "offset", "ms", "content",
+                 "thread_name"]
+
+
+class ExchangeProcessor(StatefulProcessor):
+    """Follows one request key from its start to its end, or until it expires.
+
+    A batch of lines without a start, for a key that is not open, is dropped. The expiry timer
+    stands at the start of the exchange, moved ``timer_shift_ms`` back; see
+    ``streaming.log_job`` for the watermark that goes with it.
+    """
+
+    def __init__(self, timer_shift_ms: int, emit_fragments: bool):
+        self.timer_shift_ms = timer_shift_ms
+        self.emit_fragments = emit_fragments
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", KEPT)
+        self.texts = handle.getListState(
+            "texts", T.StructType([T.StructField("text", T.StringType())])
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        lines = sorted(
+            rows, key=lambda row: (row["topic"], row["partition"], row["offset"])
+        )
+        known = self.kept.exists()
+        kept = Kept(*self.kept.get()) if known else Kept()
+        old_start = kept.start_ms
+        for row in lines:
+            kept.add(row["kind"], row["ms"], row["content"], row["thread_name"])
+        texts = [row["content"] or "" for row in lines if row["kind"] == L.OTHER]
+
+        if kept.start_ms is None:
+            yield self._row(key, DROPPED, Kept(), [])
+            return
+        if known and self.emit_fragments:
+            batch = Kept()
+            for row in lines:
+                batch.add(row["kind"], row["ms"], row["content"], row["thread_name"])
+            if batch.start_ms is None:
+                yield self._row(key, "fragment", batch, texts)
+        if kept.end_ms is not None:
+            before = [row[0] for row in self.texts.get()] if known else []
+            yield self._row(key, "complete", kept, before + texts)
+            if known:
+                self._forget(old_start)
+            return
+        self.kept.update(astuple(kept))
+        if texts:
+            self.texts.appendList([(text,) for text in texts])
+        if kept.start_ms != old_start:
+            if known:
+                self.handle.deleteTimer(old_start - self.timer_shift_ms)
+            self.handle.registerTimer(kept.start_ms - self.timer_shift_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.kept.exists():
+            return
+        kept = Kept(*self.kept.get())
+        yield self._row(key, "timeout", kept, [row[0] for row in self.texts.get()])
+        self.kept.clear()
+        self.texts.clear()
+
+    def close(self) -> None:
+        pass
+
+    def _forget(self, start_ms: int) -> None:
+        self.kept.clear()
+        self.texts.clear()
+        self.handle.deleteTimer(start_ms - self.timer_shift_ms)
+
+    def _row(self, key, status: str, kept: Kept, texts: list[str]) -> Row:
+        text = LOG_SEPARATOR.join(texts) if texts else None
+        return Row(*OUTPUT.names)(key[0], status, *astuple(kept), text)
+
+
+def to_exchanges(output: DataFrame) -> DataFrame:
+    """Rows of schema ``EXCHANGE`` with ``status`` from the output of the processor."""
+
+    def at(name: str) -> Column:
+        return F.timestamp_millis(name)
+
+    def line_at(ms: str, content: str) -> Column:
+        timed = F.struct(at(ms).alias("ts"), F.col(content).alias("content"))
+        return F.when(F.col(ms).isNotNull(), timed)
+
+    chain = {
+        "n": F.col("n_bodies").cast("int"),
+        "last_ts": at("last_body_ms"),
+        "last_text": F.col("last_body"),
+        "last_down": F.col("last_down"),
+        "kept_text": F.col("kept_body"),
+    }
+    bodies = F.struct(
+        *[
+            chain.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in BODY_CHAIN.fields
+        ]
+    )
+    columns = {
+        "request_key": F.col("request_key"),
+        "first_ts": at("first_ms"),
+        "start": line_at("start_ms", "start_content"),
+        "caller_thread": F.col("caller_thread"),
+        **{name: F.col(name) for name in HEADER_LINES},
+        "request_end_ts": at("request_end_ms"),
+        "response": line_at("response_ms", "response_content"),
+        "end_ts": at("end_ms"),
+        "bodies": F.when(F.col("n_bodies") > 0, bodies),
+        "other_log": F.col("other_log"),
+        "other_log_segments": F.lit(0).cast("long"),
+    }
+    return output.select(
+        *[columns[name].alias(name) for name in EXCHANGE.fieldNames()], "status"
+    )

@@ -17,28 +17,32 @@ def read_member_csv(
 ) -> DataFrame:
     """Rows of headerless partner files, with ``seq``, their place in the files.
 
-    Files come in the order of their names. ``corrupt_record`` holds the text of a row that
-    does not fit the schema, and is null for all others.
+    Files come in the order of their names. ``corrupt_record`` holds what does not fit the
+    schema, the row or its points, and is null for all other rows. Points are read as text and
+    cast here: the reader would check them only in plans that use them.
     """
     settings = {
         "header": "false",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
+        "columnPruning": "false",
         **(options or {}),
     }
-    rows = (
-        spark.read.schema(f"{_ddl(MEMBER_CSV)}, {CORRUPT} string").options(**settings).csv(path)
-    )
+    columns = [f"{name} string" for name in MEMBER_CSV.fieldNames()]
+    rows = spark.read.schema(", ".join([*columns, f"{CORRUPT} string"])).options(**settings)
+    points = F.col("partner_point").try_cast("long")
+    bad_points = F.when(points.isNull(), F.col("partner_point"))
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return rows.select("*", place.alias("seq"))
-
-
-def _ddl(schema) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return rows.csv(path).select(
+        *[c for c in MEMBER_CSV.fieldNames() if c != "partner_point"],
+        points.alias("partner_point"),
+        F.coalesce(CORRUPT, bad_points).alias(CORRUPT),
+        place.alias("seq"),
+    )
 
 
 def as_member_rows(df: DataFrame, *keep: str) -> DataFrame:

@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from wireloom.operators import lines as L
 from wireloom.operators.assemble import HEADER_LINES, LOG_SEPARATOR
+from wireloom.operators.lines import (
+    BODY,
+    OTHER,
+    REQUEST_END,
+    REQUEST_START,
+    RESPONSE_END,
+    RESPONSE_START,
+)
 from wireloom.schema import BODY_CHAIN, EXCHANGE
 
 DROPPED = "dropped"
@@ -53,19 +60,19 @@ class Kept:
     def add(self, kind: str, ms: int, content: str | None, thread: str) -> None:
         if self.first_ms is None:
             self.first_ms = ms
-        if kind in (L.REQUEST_START, L.OTHER):
+        if kind in (REQUEST_START, OTHER):
             self.caller_thread = thread
-        if kind == L.REQUEST_START:
+        if kind == REQUEST_START:
             self.start_ms, self.start_content = ms, content
-        elif kind == L.REQUEST_END:
+        elif kind == REQUEST_END:
             self.request_end_ms = ms
-        elif kind == L.RESPONSE_START:
+        elif kind == RESPONSE_START:
             self.response_ms, self.response_content = ms, content
-        elif kind == L.RESPONSE_END:
+        elif kind == RESPONSE_END:
             self.end_ms = ms
-        elif kind == L.BODY:
+        elif kind == BODY:
             self._add_body(ms, content)
-        elif kind != L.OTHER:
+        elif kind != OTHER:
             setattr(self, f"{kind}_line", content)
 
     def _add_body(self, ms: int, text: str) -> None:
@@ -124,7 +131,7 @@ class ExchangeProcessor(StatefulProcessor):
         old_start = kept.start_ms
         for row in lines:
             kept.add(row["kind"], row["ms"], row["content"], row["thread_name"])
-        texts = [row["content"] or "" for row in lines if row["kind"] == L.OTHER]
+        texts = [row["content"] or "" for row in lines if row["kind"] == OTHER]
 
         if kept.start_ms is None:
             yield self._row(key, DROPPED, Kept(), [])

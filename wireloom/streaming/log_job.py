@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wireloom.operators.lines import classify, malformed_lines, parse_lines
 from wireloom.operators.route import EXPIRE_MINUTES, to_emitted
 from wireloom.operators.upsert import append_batch
+from wireloom.streaming import exchange_state
 from wireloom.streaming.exchange_state import (
     DROPPED,
     INPUT_COLUMNS,
@@ -22,6 +24,9 @@ from wireloom.streaming.exchange_state import (
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MINUTE_MS = 60_000
 
+# The processor travels whole, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(exchange_state)
+
 
 def event_stream(
     records: DataFrame,

@@ -57,31 +57,30 @@ def server_profile_of(header_line: Column) -> Column:
     return _behind_first_colon(header_line)
 
 
-def _pool_name(thread: Column) -> Column:
-    """Middle of a dashed thread name: without its first two pieces and its last one."""
+def pool_name(thread: Column) -> Column:
+    """Middle of a dashed thread name: without its first two pieces and its last one.
+
+    Null if client and profile cannot be read from the name: without a colon behind its first
+    character, or with nothing but colons in the middle.
+    """
     pieces = F.split(F.rtrim(thread, F.lit("-")), "-")
-    return F.array_join(
+    pool = F.array_join(
         F.slice(pieces, F.lit(3), F.greatest(F.size(pieces) - 3, F.lit(0))), "-"
     )
+    return F.when((F.instr(thread, ":") > 1) & ~pool.rlike("^:+$"), pool)
 
 
-def _names_pool(thread: Column) -> Column:
-    """Whether client and profile can be read from the thread name at all."""
-    pool = _pool_name(thread)
-    only_colons = (pool != "") & (F.rtrim(pool, F.lit(":")) == "")
-    return (F.instr(thread, ":") > 1) & ~only_colons
-
+def client_of(thread: Column, pool: Column | None = None) -> Column:
+    """Calling client of a pool thread; other threads stand for themselves.
 
-def client_of(thread: Column) -> Column:
-    """Calling client of a pool thread; other threads stand for themselves."""
-    return F.when(
-        _names_pool(thread), F.substring_index(_pool_name(thread), ":", 1)
-    ).otherwise(thread)
+    ``pool`` is the ``pool_name`` of the thread, if that is at hand already.
+    """
+    pool = pool_name(thread) if pool is None else pool
+    return F.coalesce(F.substring_index(pool, ":", 1), thread)
 
 
-def client_profile_of(thread: Column) -> Column:
+def client_profile_of(thread: Column, pool: Column | None = None) -> Column:
     """Profile and port of a pool thread, joined; empty for other threads."""
-    pool = _pool_name(thread)
-    return F.when(
-        _names_pool(thread) & (F.instr(pool, ":") > 0), _behind_first_colon(pool)
-    ).otherwise(F.when(thread.isNotNull(), ""))
+    pool = pool_name(thread) if pool is None else pool
+    profile = F.when(F.instr(pool, ":") > 0, _behind_first_colon(pool))
+    return F.coalesce(profile, F.when(thread.isNotNull(), ""))

@@ -16,6 +16,7 @@ from wireloom.functions.text import (
     duration_of,
     header_value,
     method_of,
+    pool_name,
     server_profile_of,
     status_of,
     url_of,
@@ -56,7 +57,7 @@ LINE_COLUMNS = [
 ]
 
 
-def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``withColumn`` for a costly value that later filters and projections share.
 
     A filter on a computed column is pushed below the projection, with a second copy of the
@@ -69,8 +70,8 @@ def _cut(records: DataFrame) -> DataFrame:
     def word(index: int) -> Column:
         return F.get("words", F.lit(index))
 
-    cut = _once(records, "words", F.split(F.rtrim("value"), " ", 7))
-    cut = _once(cut, "log_ts", parse_log_time(word(0), word(1)))
+    cut = computed_once(records, "words", F.split(F.rtrim("value"), " ", 7))
+    cut = computed_once(cut, "log_ts", parse_log_time(word(0), word(1)))
     return cut.select(
         "topic",
         "partition",
@@ -148,7 +149,8 @@ def fragments(lines: DataFrame) -> DataFrame:
     """Classified lines with every payload in a column of its own."""
     kind, content, thread = F.col("kind"), F.col("content"), F.col("thread_name")
     named = kind.isin(REQUEST_START, OTHER)
-    return classify(lines).select(
+    pooled = computed_once(classify(lines), "pool", F.when(named, pool_name(thread)))
+    return pooled.select(
         "request_key",
         "kind",
         "log_ts",
@@ -157,8 +159,10 @@ def fragments(lines: DataFrame) -> DataFrame:
         "offset",
         F.when(kind == REQUEST_START, method_of(content)).alias("method"),
         F.when(kind == REQUEST_START, url_of(content)).alias("url"),
-        F.when(named, client_of(thread)).alias("client"),
-        F.when(named, client_profile_of(thread)).alias("client_profile"),
+        F.when(named, client_of(thread, F.col("pool"))).alias("client"),
+        F.when(named, client_profile_of(thread, F.col("pool"))).alias(
+            "client_profile"
+        ),
         F.when(kind.isin(*EVENT_HEADERS), header_value(content)).alias("header_value"),
         F.when(kind == BODY, content).alias("body"),
         F.when(kind == RESPONSE_START, duration_of(content)).alias("duration_ms"),

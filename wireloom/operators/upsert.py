@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from wireloom.plans.staging import staged
+from wireloom.plans.staging import Staging
 from wireloom.schema import EMITTED
 
 KEY = ["event_day", "request_key"]
 
+# Files that the rows of one day are spread over by ``upsert_days``.
+DAY_FILES = 64
+
 
 def last_writes(writes: DataFrame) -> DataFrame:
     """The last row of each key and day, by ``batch_id``.
@@ -69,21 +72,19 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def upsert_days(events: DataFrame, batch_id: int, path: str) -> None:
     """Folds one row per key and day into the table at ``path``; safe to repeat.
 
-    The new days are staged before they replace the old ones: the table is read and written
-    in the same step.
+    The new days are staged before they replace the old ones, because they are read from the
+    table that they go to.
     """
-    spark = events.sparkSession
-    incoming = staged(
-        events.withColumn("batch_id", F.lit(batch_id).cast("long")), "upsert-incoming"
-    )
-    days = incoming.select("event_day").distinct()
-    standing = _read(spark, path).join(days, "event_day", "left_semi")
-    merged = last_writes(standing.unionByName(incoming))
-    (
-        staged(merged, "upsert-days")
-        .repartition("event_day", F.pmod(F.xxhash64("request_key"), F.lit(64)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_day")
-        .parquet(path)
-    )
+    with Staging(events.sparkSession) as stage:
+        numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        incoming = stage(numbered, "incoming")
+        days = incoming.select("event_day").distinct()
+        standing = _read(stage.spark, path).join(days, "event_day", "left_semi")
+        (
+            stage(last_writes(standing.unionByName(incoming)), "days")
+            .repartition("event_day", F.pmod(F.xxhash64("request_key"), F.lit(DAY_FILES)))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_day")
+            .parquet(path)
+        )

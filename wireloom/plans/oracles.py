@@ -6,7 +6,7 @@ expressions, bodies are told apart by the request end, and batches are condition
 
 from __future__ import annotations
 
-from wireloom.plans.queries import IMPORT_MS, MIDDLE_MS, PARTNER
+from wireloom.plans.queries import IMPORT_MS, MIDDLE_MS, PARTNER, SLICE_DAYS
 
 _OWN_KEY = "'req-' || event_id"
 _SHARED_KEY = "CASE WHEN event_id % 3 = 0 THEN 'shared' ELSE 'req-' || event_id END"
@@ -305,6 +305,28 @@ WHERE end_ms IS NULL AND (clock.ms - start_ms) // 60000 > 15"""
   {_EVENT_DAY} AS event_day
 FROM ev, (SELECT max(log_ms) AS newest FROM lines)
 WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR start_ms + 16 * 60000 <= newest)"""
+    )
+    first, second = SLICE_DAYS
+    in_batches = (
+        _with(*_LOG, _events())
+        + f""",
+places AS (
+  SELECT request_key, left(line, 10) AS day FROM rec JOIN lines USING (topic, part, off)
+),
+spans AS (
+  SELECT request_key, min((day >= '{first}')::INT + (day >= '{second}')::INT) AS opened,
+    max((day >= '{first}')::INT + (day >= '{second}')::INT) AS closed
+  FROM places GROUP BY request_key
+),
+clocks AS (
+  SELECT closed AS slice, min(start_ms) AS ms FROM ev JOIN spans USING (request_key)
+  WHERE end_ms IS NOT NULL AND opened = closed GROUP BY closed
+)
+SELECT ev.*, CASE WHEN end_ms IS NULL THEN 'timeout' ELSE 'complete' END AS status,
+  {_EVENT_DAY} AS event_day
+FROM ev JOIN spans USING (request_key)
+WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR EXISTS (
+  FROM clocks WHERE slice > opened AND (clocks.ms - start_ms) // 60000 > 15))"""
     )
     return {
         "log_lines": _with(_records(), _CUT) + f" SELECT {line_columns} FROM lines",
@@ -361,6 +383,7 @@ FROM ev WHERE start_ms IS NOT NULL ORDER BY start_ms, request_key""",
         + f""" SELECT request_key, {_EVENT_DAY} AS event_day, 'complete' AS status,
   CAST(1 AS BIGINT) AS batch_id FROM ev""",
         "streamed_events": streamed,
+        "streamed_batches": in_batches,
         "member_rows": _with(_PARTNER_ROWS, _new_rows()) + " SELECT * FROM fresh",
         "member_points": _with(_PARTNER_ROWS)
         + f""" SELECT partner_member_card, seq, partner_point,

@@ -27,19 +27,19 @@ from wireloom.operators.route import (
     TIMEOUT,
     batch_clock,
     by_start,
-    reconcile,
     to_emitted,
     with_completeness,
     with_event_day,
 )
 from wireloom.operators.upsert import append_batch, last_writes, read_events, upsert_days
+from wireloom.plans.log_batch import LogTables, reconcile_lines, staged_lines
 from wireloom.plans.member_import import run_import
-from wireloom.plans.staging import new_folder
+from wireloom.plans.staging import new_folder, staged
 from wireloom.schema import EXCHANGE, MEMBER_CSV, MEMBER_TABLE
 from wireloom.sources.derived import log_records, new_members, old_members, table
 from wireloom.sources.logs import record_files
 from wireloom.sources.members import read_member_csv
-from wireloom.streaming.log_job import start_log_job
+from wireloom.streaming.log_job import start_log_batches, start_log_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,7 +140,7 @@ def assembled_shared_keys(spark: SparkSession, folder: str) -> DataFrame:
     """A third of all lines carries one request key, which is summed up in pieces."""
     own = F.concat(F.lit("req-"), F.col("event_id").cast("string"))
     key = F.when(F.col("event_id") % 3 == 0, F.lit("shared")).otherwise(own)
-    lines = classify(parse_lines(records(spark, folder, key)))
+    lines = staged_lines(records(spark, folder, key))
     return _plain(assemble(lines, Limits(hot_lines=1_000, piece_bits=10)))
 
 
@@ -156,7 +156,7 @@ def completeness(spark: SparkSession, folder: str) -> DataFrame:
 
 def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
     """Events with a start in their order, and the minutes since the clock of the batch."""
-    exchanges = summarise(_classified(spark, folder))
+    exchanges = staged(summarise(_classified(spark, folder)), "exchanges")
     clock = batch_clock(exchanges, _no_open(spark))
     ordered = by_start(to_events(exchanges))
     return ordered.select(
@@ -186,21 +186,21 @@ def daily_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def attached_fragments(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches: what comes before the response in the first one, the rest in the second."""
-    lines = _classified(spark, folder)
+    lines = staged_lines(records(spark, folder))
     requests = F.col("offset") % 16 < 8
-    first = reconcile(summarise(lines.filter(requests)), _no_open(spark))
-    second = reconcile(
-        summarise(lines.filter(~requests)), first.open_exchanges, emit_fragments=True
+    first = reconcile_lines(lines.filter(requests))
+    second = reconcile_lines(
+        lines.filter(~requests), first.open_exchanges, emit_fragments=True
     )
     return _plain(second.emitted)
 
 
 def expired_events(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches cut by time: open events of the first one that the second one gives up."""
-    lines = _classified(spark, folder)
+    lines = staged_lines(records(spark, folder))
     early = F.unix_millis("log_ts") < MIDDLE_MS
-    first = reconcile(summarise(lines.filter(early)), _no_open(spark))
-    second = reconcile(summarise(lines.filter(~early)), first.open_exchanges)
+    first = reconcile_lines(lines.filter(early))
+    second = reconcile_lines(lines.filter(~early), first.open_exchanges)
     expired = second.emitted.filter(F.col("status") == TIMEOUT)
     return _plain(expired).select(
         "request_key", "status", "event_day", "start_ms", "end_ms", "request_body", "duration_ms"
@@ -209,7 +209,7 @@ def expired_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def _two_writes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All events, first as known before the response, then as known in the end."""
-    lines = _classified(spark, folder)
+    lines = staged_lines(records(spark, folder))
     early = summarise(lines.filter(F.col("offset") % 16 < 8))
     return (
         to_emitted(early.withColumn("status", F.lit("fragment"))),
@@ -221,6 +221,7 @@ def upserted_events(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of the same keys in one table, both delivered twice."""
     early, final = _two_writes(spark, folder)
     path = new_folder(spark, "upserted-events")
+    early, final = staged(early, "early-write"), staged(final, "final-write")
     for batch_id, batch in ((0, early), (1, final), (1, final), (0, early)):
         append_batch(batch, batch_id, path)
     return _plain(read_events(spark, path))
@@ -243,23 +244,28 @@ def last_written_events(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(last_writes(writes)).select("request_key", "event_day", "status", "batch_id")
 
 
-def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole log through the streaming job, in three slices of time.
+# Days at which the stream source is cut into three slices.
+SLICE_DAYS = ("2024-01-11", "2024-01-21")
 
-    The files of a slice split it by exchange. Exchanges that cross a border between slices
-    stay open from one micro-batch to a later one.
+
+def _slices(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The log in three slices of time; the files of a slice split it by exchange.
+
+    Exchanges that cross a border between slices stay open from one to the next.
     """
-    source = new_folder(spark, "stream-source")
     log = records(spark, folder)
-    days = F.substring("value", 1, 10)
-    slices = (
-        days < "2024-01-11",
-        (days >= "2024-01-11") & (days < "2024-01-21"),
-        days >= "2024-01-21",
-    )
-    for part in slices:
-        exchange = F.shiftright("offset", 4)
-        log.filter(part).repartition(4, exchange).write.mode("append").parquet(source)
+    day = F.substring("value", 1, 10)
+    first, second = SLICE_DAYS
+    parts = (day < first, (day >= first) & (day < second), day >= second)
+    exchange = F.shiftright("offset", 4)
+    return [log.filter(part).repartition(4, exchange) for part in parts]
+
+
+def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole log through the stream with keyed state."""
+    source = new_folder(spark, "stream-source")
+    for part in _slices(spark, folder):
+        part.write.mode("append").parquet(source)
     events = new_folder(spark, "stream-events")
     query = start_log_job(
         record_files(spark, source, files_per_trigger=4),
@@ -272,6 +278,22 @@ def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(read_events(spark, events))
 
 
+def streamed_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole log through the stream in micro-batches, restarted after each slice."""
+    source, tables = new_folder(spark, "batch-source"), new_folder(spark, "batch-tables")
+    checkpoint = new_folder(spark, "batch-checkpoint")
+    for part in _slices(spark, folder):
+        part.write.mode("append").parquet(source)
+        query = start_log_batches(
+            record_files(spark, source, files_per_trigger=1000),
+            LogTables.under(tables),
+            checkpoint,
+            trigger={"availableNow": True},
+        )
+        query.awaitTermination()
+    return _plain(read_events(spark, LogTables.under(tables).events))
+
+
 # Members
 
 
@@ -372,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "upserted_days": upserted_days,
     "last_written_events": last_written_events,
     "streamed_events": streamed_events,
+    "streamed_batches": streamed_batches,
     "member_rows": member_rows,
     "member_points": member_points,
     "member_merge": member_merge,

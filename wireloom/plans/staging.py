@@ -27,12 +27,38 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder, if it is there, from whatever file system it is on."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to a table of its own and reads it back.
 
     Unlike a cache the table survives lost executors, and later plans read only the columns
-    they use.
+    they use. It stays until someone removes it; see ``Staging`` for tables of a single run.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, new_folder(df.sparkSession, name))
+
+
+class Staging:
+    """Intermediate tables of one run, removed at its end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = new_folder(spark, "run")
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        return _written(df, f"{self.folder}/{name}")
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove_folder(self.spark, self.folder)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wireloom.operators.lines import classify, malformed_lines, parse_lines
 from wireloom.operators.route import EXPIRE_MINUTES, to_emitted
 from wireloom.operators.upsert import append_batch
+from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.streaming import exchange_state
 from wireloom.streaming.exchange_state import (
     DROPPED,
@@ -96,6 +97,32 @@ def start_log_job(
     )
 
 
+def start_log_batches(
+    records: DataFrame,
+    tables: LogTables,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+    **rules,
+) -> StreamingQuery:
+    """The job in large micro-batches; ``rules`` go to ``plans.log_batch.run_log_batch``.
+
+    Every micro-batch takes a few Spark jobs, so this suits high volume rather than low
+    latency. Exchanges expire by the clock of the batch: the time of the first event that it
+    gives out.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        run_log_batch(batch, batch_id, tables, **rules)
+
+    return (
+        records.writeStream.queryName("log-batches")
+        .foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )
+
+
 def start_malformed_job(
     records: DataFrame,
     path: str,

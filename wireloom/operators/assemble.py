@@ -308,14 +308,17 @@ def log_segments(
 
 
 def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
-    """Full join of two sets of exchange rows by key; ``later`` continues ``earlier``.
+    """All exchange rows of two sets, those of one key joined; ``later`` continues ``earlier``.
 
-    Adds ``known`` (the key is in ``earlier``) and ``seen`` (it is in ``later``).
+    Adds ``known`` (the key is in ``earlier``) and ``seen`` (it is in ``later``). This is a full
+    join, written as a left join and the rest: as open exchanges are few, Spark can broadcast
+    them and leave the later rows where they are, which it cannot do in a full join. Only keys
+    are shuffled to find the rest.
     """
     a, b = earlier.alias("a"), later.alias("b")
-    joined = a.join(b, F.col("a.request_key") == F.col("b.request_key"), "full_outer")
-    return joined.select(
-        F.coalesce("a.request_key", "b.request_key").alias("request_key"),
+    joined = b.join(a, F.col("a.request_key") == F.col("b.request_key"), "left")
+    continued = joined.select(
+        F.col("b.request_key"),
         F.coalesce("a.first_ts", "b.first_ts").alias("first_ts"),
         *[F.coalesce(f"b.{name}", f"a.{name}").alias(name) for name in LAST_WINS],
         join_chains(F.col("a.bodies"), F.col("b.bodies")).alias("bodies"),
@@ -323,13 +326,16 @@ def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
             F.coalesce("a.other_log", "b.other_log").isNotNull(),
             F.concat_ws(LOG_SEPARATOR, "a.other_log", "b.other_log"),
         ).alias("other_log"),
-        (
-            F.coalesce("a.other_log_segments", F.lit(0))
-            + F.coalesce("b.other_log_segments", F.lit(0))
-        ).alias("other_log_segments"),
+        (F.coalesce("a.other_log_segments", F.lit(0)) + F.col("b.other_log_segments")).alias(
+            "other_log_segments"
+        ),
         F.col("a.request_key").isNotNull().alias("known"),
-        F.col("b.request_key").isNotNull().alias("seen"),
+        F.lit(True).alias("seen"),
+    )
+    rest = earlier.join(later.select("request_key"), "request_key", "left_anti").select(
+        *EXCHANGE.fieldNames(), F.lit(True).alias("known"), F.lit(False).alias("seen")
     )
+    return continued.unionByName(rest)
 
 
 def to_events(exchanges: DataFrame, *keep: str) -> DataFrame:

@@ -95,8 +95,9 @@ def reconcile(
 ) -> Reconciled:
     """Continues the open exchanges with the exchange rows of a batch.
 
-    Both sides hold one row per key, so the join cannot be skewed. ``clock`` is a one-row
-    frame as ``batch_clock`` makes it; it enters the plan as a scalar subquery.
+    Both sides hold one row per key, so the join cannot be skewed. They are read several
+    times, so they should be tables. ``clock`` is a one-row frame as ``batch_clock`` makes it;
+    it enters the plan as a scalar subquery.
     """
     clock = batch_clock(batch, open_exchanges) if clock is None else clock
     joined = join_exchanges(open_exchanges, batch)

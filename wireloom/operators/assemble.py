@@ -10,8 +10,8 @@ Scale. Nearly all keys have a few dozen lines and are summed up in one shuffle.
 if its lines exceed ``hot_lines`` or ``hot_bytes`` (a broken client that logs under one constant
 key may own a third of the log). Hot keys are found by one narrow count with map-side combine
 and are cut into pieces of ``2**piece_bits`` offsets; a piece is bounded by its offsets, and
-pieces are joined level by level, ``2**piece_bits`` of them at most each time. Without hot keys
-the second path is not in the plan at all.
+pieces are joined level by level, ``2**piece_bits`` of them at most each time, before those of
+one key meet. Without hot keys the second path is not in the plan at all.
 """
 
 from __future__ import annotations
@@ -76,7 +76,8 @@ class Limits:
     hot_lines: int = 50_000
     hot_bytes: int = 64 << 20
     inline_bytes: int = 64 << 20
-    piece_bits: int = 14
+    piece_bits: int = 10
+    piece_levels: int = 3
     hot_keys: int = 10_000
     hot_key_bytes: int = 4 << 20
 
@@ -237,9 +238,11 @@ def _sum_up_in_pieces(
             .withColumn("other_log_segments", F.when(away, 1).otherwise(0).cast("long"))
             .withColumn("other_log", F.when(F.col("oversize").isNull(), F.col("other_log")))
         )
-    pieces = pieces.withColumn("part", F.shiftright("piece", bits))
-    parts = _join_pieces(pieces, [*place, "part"], ["piece"])
-    return _join_pieces(parts, ["request_key"], ["topic", "partition", "part"])
+    for _ in range(limits.piece_levels - 1):
+        larger = pieces.withColumn("larger", F.shiftright("piece", bits))
+        joined = _join_pieces(larger, [*place, "larger"], ["piece"])
+        pieces = joined.withColumnRenamed("larger", "piece")
+    return _join_pieces(pieces, ["request_key"], ["topic", "partition", "piece"])
 
 
 def _oversize_keys(hot_lines: DataFrame, limits: Limits) -> KeySet:

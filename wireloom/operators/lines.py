@@ -84,27 +84,38 @@ def _cut(records: DataFrame) -> DataFrame:
     )
 
 
-def parse_lines(records: DataFrame) -> DataFrame:
-    """Well-formed log lines; ``content`` is null where a line has none."""
-    cut = _cut(records)
-    return cut.filter(
-        F.col("request_key").isNotNull() & F.col("log_ts").isNotNull()
-    ).select(*LINE_COLUMNS)
-
+def parse_records(records: DataFrame) -> DataFrame:
+    """All records cut into line columns; those that are no line have a ``reason``.
 
-def malformed_lines(records: DataFrame) -> DataFrame:
-    """The records that ``parse_lines`` leaves out, each with the reason."""
-    cut = _cut(records)
+    ``value`` is kept for the latter only, so that the result can be staged once for both.
+    """
     reason = (
         F.when(F.col("value").isNull(), "no value")
         .when(F.col("request_key").isNull(), "too few words")
         .when(F.col("log_ts").isNull(), "bad time")
     )
-    return (
-        cut.withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .select("topic", "partition", "offset", "value", "reason")
-    )
+    cut = _cut(records).withColumn("reason", reason)
+    bad_value = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+    return cut.select(*LINE_COLUMNS, bad_value, "reason")
+
+
+def well_formed(parsed: DataFrame) -> DataFrame:
+    """The log lines among parsed records; ``content`` is null where a line has none."""
+    return parsed.filter(F.col("reason").isNull()).drop("value", "reason")
+
+
+def malformed(parsed: DataFrame) -> DataFrame:
+    """The parsed records that are no lines, each with the reason."""
+    rows = parsed.filter(F.col("reason").isNotNull())
+    return rows.select("topic", "partition", "offset", "value", "reason")
+
+
+def parse_lines(records: DataFrame) -> DataFrame:
+    return well_formed(parse_records(records))
+
+
+def malformed_lines(records: DataFrame) -> DataFrame:
+    return malformed(parse_records(records))
 
 
 def _spelled(content: Column, spellings: tuple[str, str]) -> Column:

@@ -18,9 +18,6 @@ from wireloom.schema import EMITTED
 
 KEY = ["event_day", "request_key"]
 
-# Files that the rows of one day are spread over by ``upsert_days``.
-DAY_FILES = 64
-
 
 def last_writes(writes: DataFrame) -> DataFrame:
     """The last row of each key and day, by ``batch_id``.
@@ -43,9 +40,15 @@ def last_writes(writes: DataFrame) -> DataFrame:
 
 
 def append_batch(events: DataFrame, batch_id: int, path: str) -> None:
-    """Writes the rows of one batch; a second call for the batch replaces the first."""
+    """Writes the rows of one batch; a second call for the batch replaces the first.
+
+    Under adaptive execution the rows of a day are brought together for few, evenly sized
+    files, and a day that holds most rows is split again.
+    """
+    adaptive = events.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    rows = events.hint("rebalance", "event_day") if adaptive else events
     (
-        events.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_day", "batch_id")
@@ -82,7 +85,7 @@ def upsert_days(events: DataFrame, batch_id: int, path: str) -> None:
         standing = _read(stage.spark, path).join(days, "event_day", "left_semi")
         (
             stage(last_writes(standing.unionByName(incoming)), "days")
-            .repartition("event_day", F.pmod(F.xxhash64("request_key"), F.lit(DAY_FILES)))
+            .hint("rebalance", "event_day")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_day")

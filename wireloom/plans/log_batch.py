@@ -18,7 +18,13 @@ from wireloom.operators.assemble import (
     log_segments,
     summarise,
 )
-from wireloom.operators.lines import classify, malformed_lines, parse_lines
+from wireloom.operators.lines import (
+    classify,
+    malformed,
+    parse_lines,
+    parse_records,
+    well_formed,
+)
 from wireloom.operators.route import EXPIRE_MINUTES, Reconciled, reconcile
 from wireloom.operators.upsert import append_batch
 from wireloom.plans.staging import Staging, remove_folder, staged
@@ -79,9 +85,10 @@ def run_log_batch(
         before = spark.read.schema(EXCHANGE).parquet(part(tables.open, batch_id - 1))
     else:
         before = spark.createDataFrame([], EXCHANGE)
-    malformed_lines(records).write.mode("overwrite").parquet(part(tables.malformed))
     with Staging(spark) as stage:
-        lines = stage(classify(parse_lines(records)), "lines")
+        parsed = stage(classify(parse_records(records)), "parsed")
+        malformed(parsed).write.mode("overwrite").parquet(part(tables.malformed))
+        lines = well_formed(parsed)
         hot = find_hot_keys(lines, limits)
         if hot:
             segments = log_segments(lines, limits, hot)

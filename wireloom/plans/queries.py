@@ -57,8 +57,8 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return parse_lines(records(spark, folder))
 
 
-def _classified(spark: SparkSession, folder: str) -> DataFrame:
-    return classify(_lines(spark, folder))
+def _staged(spark: SparkSession, folder: str) -> DataFrame:
+    return staged_lines(records(spark, folder))
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def all_fragments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fragment_counts(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _classified(spark, folder)
+    lines = classify(_lines(spark, folder))
     return lines.groupBy("kind").agg(F.count("*").alias("n"))
 
 
@@ -133,7 +133,7 @@ def request_start_server(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def assembled_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(assemble(_classified(spark, folder)))
+    return _plain(assemble(_staged(spark, folder)))
 
 
 def assembled_shared_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,22 +141,22 @@ def assembled_shared_keys(spark: SparkSession, folder: str) -> DataFrame:
     own = F.concat(F.lit("req-"), F.col("event_id").cast("string"))
     key = F.when(F.col("event_id") % 3 == 0, F.lit("shared")).otherwise(own)
     lines = staged_lines(records(spark, folder, key))
-    return _plain(assemble(lines, Limits(hot_lines=1_000, piece_bits=10)))
+    return _plain(assemble(lines, Limits(hot_lines=1_000)))
 
 
 def event_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    events = assemble(_classified(spark, folder))
+    events = assemble(_staged(spark, folder))
     return events.select("request_key", "request_body", "response_body")
 
 
 def completeness(spark: SparkSession, folder: str) -> DataFrame:
-    events = with_completeness(assemble(_classified(spark, folder)))
+    events = with_completeness(assemble(_staged(spark, folder)))
     return events.select("request_key", "completeness")
 
 
 def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
     """Events with a start in their order, and the minutes since the clock of the batch."""
-    exchanges = staged(summarise(_classified(spark, folder)), "exchanges")
+    exchanges = staged(summarise(_staged(spark, folder)), "exchanges")
     clock = batch_clock(exchanges, _no_open(spark))
     ordered = by_start(to_events(exchanges))
     return ordered.select(
@@ -168,7 +168,7 @@ def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events per day, written to a day table and read back from it."""
-    events = with_completeness(assemble(_classified(spark, folder)))
+    events = with_completeness(assemble(_staged(spark, folder)))
     emitted = with_event_day(events.withColumnRenamed("completeness", "status"))
     path = new_folder(spark, "daily-events")
     append_batch(emitted, 0, path)
@@ -186,7 +186,7 @@ def daily_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def attached_fragments(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches: what comes before the response in the first one, the rest in the second."""
-    lines = staged_lines(records(spark, folder))
+    lines = _staged(spark, folder)
     requests = F.col("offset") % 16 < 8
     first = reconcile_lines(lines.filter(requests))
     second = reconcile_lines(
@@ -197,7 +197,7 @@ def attached_fragments(spark: SparkSession, folder: str) -> DataFrame:
 
 def expired_events(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches cut by time: open events of the first one that the second one gives up."""
-    lines = staged_lines(records(spark, folder))
+    lines = _staged(spark, folder)
     early = F.unix_millis("log_ts") < MIDDLE_MS
     first = reconcile_lines(lines.filter(early))
     second = reconcile_lines(lines.filter(~early), first.open_exchanges)
@@ -209,7 +209,7 @@ def expired_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def _two_writes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All events, first as known before the response, then as known in the end."""
-    lines = staged_lines(records(spark, folder))
+    lines = _staged(spark, folder)
     early = summarise(lines.filter(F.col("offset") % 16 < 8))
     return (
         to_emitted(early.withColumn("status", F.lit("fragment"))),

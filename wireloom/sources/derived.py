@@ -32,9 +32,7 @@ def log_records(events: DataFrame, key: Column | None = None) -> DataFrame:
     s = lambda c: F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
     waited = F.floor("value").cast("long")
     delay = F.when(j < 8, j.cast("long")).otherwise(j + waited)
-    at = F.col("ts") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (delay / 1000.0).cast("decimal(18,6)")
-    )
+    at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + delay * 1000)
     content = (
         F.when(
             j == 0,

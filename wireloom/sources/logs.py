@@ -31,7 +31,7 @@ def kafka_stream(
     servers: str,
     topics: str,
     options: Mapping[str, str] | None = None,
-    max_records: int = 2_000_000,
+    max_records: int = 500_000,
 ) -> DataFrame:
     """Stream of log records, from the earliest offset unless a checkpoint knows better.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass, fields
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -99,8 +100,24 @@ OUTPUT = T.StructType(
     ]
 )
 
-INPUT_COLUMNS = ["request_key", "kind", "topic", "partition", "offset", "ms", "content",
-                 "thread_name"]
+OutputRow = Row(*OUTPUT.names)
+
+
+def to_input(lines: DataFrame) -> DataFrame:
+    """What of a classified line goes through Python: the columns, and content and thread only
+    where they count. ``place`` stands for topic and partition."""
+    kind = F.col("kind")
+    return lines.select(
+        "request_key",
+        "kind",
+        F.concat_ws(
+            "/", "topic", F.lpad(F.col("partition").cast("string"), 10, "0")
+        ).alias("place"),
+        "offset",
+        F.unix_millis("log_ts").alias("ms"),
+        F.when(~kind.isin(REQUEST_END, RESPONSE_END), F.col("content")).alias("content"),
+        F.when(kind.isin(REQUEST_START, OTHER), F.col("thread_name")).alias("thread_name"),
+    )
 
 
 class ExchangeProcessor(StatefulProcessor):
@@ -124,22 +141,26 @@ class ExchangeProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         lines = sorted(
-            rows, key=lambda row: (row["topic"], row["partition"], row["offset"])
+            (
+                (place, offset, kind, ms, content, thread)
+                for _, kind, place, offset, ms, content, thread in rows
+            ),
+            key=itemgetter(0, 1),
         )
         known = self.kept.exists()
         kept = Kept(*self.kept.get()) if known else Kept()
         old_start = kept.start_ms
-        for row in lines:
-            kept.add(row["kind"], row["ms"], row["content"], row["thread_name"])
-        texts = [row["content"] or "" for row in lines if row["kind"] == OTHER]
+        for _, _, *line in lines:
+            kept.add(*line)
+        texts = [content or "" for _, _, kind, _, content, _ in lines if kind == OTHER]
 
         if kept.start_ms is None:
             yield self._row(key, DROPPED, Kept(), [])
             return
         if known and self.emit_fragments:
             batch = Kept()
-            for row in lines:
-                batch.add(row["kind"], row["ms"], row["content"], row["thread_name"])
+            for _, _, *line in lines:
+                batch.add(*line)
             if batch.start_ms is None:
                 yield self._row(key, "fragment", batch, texts)
         if kept.end_ms is not None:
@@ -174,7 +195,7 @@ class ExchangeProcessor(StatefulProcessor):
 
     def _row(self, key, status: str, kept: Kept, texts: list[str]) -> Row:
         text = LOG_SEPARATOR.join(texts) if texts else None
-        return Row(*OUTPUT.names)(key[0], status, *astuple(kept), text)
+        return OutputRow(key[0], status, *astuple(kept), text)
 
 
 def to_exchanges(output: DataFrame) -> DataFrame:

@@ -16,10 +16,10 @@ from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.streaming import exchange_state
 from wireloom.streaming.exchange_state import (
     DROPPED,
-    INPUT_COLUMNS,
     OUTPUT,
     ExchangeProcessor,
     to_exchanges,
+    to_input,
 )
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,14 +47,15 @@ def event_stream(
     """
     expiry_ms = (expire_minutes + 1) * MINUTE_MS
     shift_ms = lateness_minutes * MINUTE_MS
-    lines = (
-        classify(parse_lines(records))
-        .withWatermark("log_ts", f"{expiry_ms + shift_ms} milliseconds")
-        .withColumn("ms", F.unix_millis("log_ts"))
-        .select(*INPUT_COLUMNS, "log_ts")
+    lines = classify(parse_lines(records)).withWatermark(
+        "log_ts", f"{expiry_ms + shift_ms} milliseconds"
     )
-    decided = lines.groupBy("request_key").transformWithState(
-        ExchangeProcessor(shift_ms, emit_fragments), OUTPUT, "Append", "EventTime"
+    decided = (
+        to_input(lines)
+        .groupBy("request_key")
+        .transformWithState(
+            ExchangeProcessor(shift_ms, emit_fragments), OUTPUT, "Append", "EventTime"
+        )
     )
     counted = decided.observe(
         "exchanges",

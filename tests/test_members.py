@@ -241,3 +241,42 @@ def test_jdbc_write_options():
         ("option", ("batchsize", 5000), {}),
         ("jdbc", ("u", "t"), {"properties": {"user": "x"}}),
     ]
+
+
+@pytest.mark.parametrize(
+    "text, old, counts",
+    [
+        ("c0,n,a,p,1,x\n", [], (1, 0, 0, 1, 0)),
+        ("c0,n,,p,1,x\n", ["a"], (1, 1, 1, 1, 0)),
+        ("", ["a", "a"], (0, 0, 2, 1, 1)),
+        ("", [], (0, 0, 0, 0, 0)),
+    ],
+)
+def test_import_of_nothing(spark, tmp_path, text, old, counts):
+    (tmp_path / "in.csv").write_text(text)
+    written = []
+    summary = run_import(
+        read_member_csv(spark, str(tmp_path / "in.csv")),
+        old_rows(spark, old) if old else old_rows(spark, ["a"]).limit(0),
+        "P",
+        lambda rows: written.append(rows.count()),
+        now(),
+    )
+    assert counts == (
+        summary.rows_read, summary.rows_rejected, summary.old_rows, summary.rows_written,
+        summary.rows_merged,
+    )
+    assert written == [summary.rows_written]
+
+
+def test_old_rows_without_required_columns_stop_the_import(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("c0,n,a,p,1,x\n")
+    old = old_rows(spark, ["b"]).withColumn("id", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="unchanged"):
+        run_import(
+            read_member_csv(spark, str(tmp_path / "in.csv")),
+            old,
+            "P",
+            lambda rows: pytest.fail("table was replaced"),
+            now(),
+        )

@@ -105,13 +105,13 @@ OutputRow = Row(*OUTPUT.names)
 
 def to_input(lines: DataFrame) -> DataFrame:
     """What of a classified line goes through Python: the columns, and content and thread only
-    where they count. ``place`` stands for topic and partition."""
+    where they count. ``place`` stands for topic and partition and sorts as they do."""
     kind = F.col("kind")
     return lines.select(
         "request_key",
         "kind",
         F.concat_ws(
-            "/", "topic", F.lpad(F.col("partition").cast("string"), 10, "0")
+            "\u0001", "topic", F.lpad(F.col("partition").cast("string"), 10, "0")
         ).alias("place"),
         "offset",
         F.unix_millis("log_ts").alias("ms"),

@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wireloom.llm.text import n_words
+from wireloom.llm.text import kept, n_words
+
+#: Sources whose plan is broadcast; with more, rows of a source are dealt over so many parts for the join.
+BROADCAST_SOURCES, PARTS = 20_000, 64
 
 #: Ranks are summed in so many steps a source before single documents are ordered, so no source meets in one task.
 BINS = 1024
@@ -66,8 +69,9 @@ def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
     """
     plan = source_targets(sizes, **rules)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(ratio + 1e-12)
-    plan = plan.withColumn("copies", whole).withColumn("p", F.greatest(ratio - whole, F.lit(0.0)))
+    plan = kept(plan.withColumn("ratio", ratio))
+    whole = F.floor(F.col("ratio") + 1e-12)
+    plan = plan.withColumn("copies", whole).withColumn("p", F.greatest(F.col("ratio") - whole, F.lit(0.0)))
     plan = plan.withColumn("wanted", F.col("target") - F.col("copies") * F.col("source_size"))
     bin_of = F.floor(F.col("u") * BINS)
 
@@ -85,7 +89,7 @@ def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
         F.coalesce("edge", F.lit(BINS)).alias("edge"),
         F.coalesce("taken_before", F.lit(0)).alias("taken_before"),
     )
-    plan = plan.join(edge, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    plan = kept(plan.join(edge, F.col("source").eqNullSafe(F.col("s"))).drop("s"))
 
     key = F.struct(F.col("rank"), F.col("doc_id").alias("id"))
     rows = _with_plan(sizes, plan)
@@ -95,19 +99,27 @@ def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
     last = at_edge.agg(F.max(key).alias("last"), F.max("upto").alias("reached"))
     last = last.select(F.col("source").alias("s"), "last", "reached")
     plan = plan.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = plan.withColumn("lacking", F.col("wanted") - F.coalesce("reached", "taken_before"))
+    plan = kept(plan.withColumn("lacking", F.col("wanted") - F.coalesce("reached", "taken_before")))
 
     left = _with_plan(sizes, plan).filter(~_picked(bin_of)).filter((F.col("p") > 0) & (F.col("size") > 0))
     gap = F.abs(F.col("size") - F.col("lacking"))
     left = left.filter(gap < F.col("lacking")).groupBy("source").agg(F.min_by(key, F.struct(gap, key)).alias("fill"))
     left = left.select(F.col("source").alias("s"), "fill")
-    return plan.join(left, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    return kept(plan.join(left, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with their source's plan and their rank; the plan has a row a source, the optimizer picks the join."""
+    """Rows with their source's plan and their rank. A plan of few sources is broadcast; a larger one is joined with
+    each source's rows dealt over parts, as one source may hold most rows."""
     plan = plan.withColumnRenamed("source", "plan_source")
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    same = F.col("source").eqNullSafe(F.col("plan_source"))
+    if plan.count() <= BROADCAST_SOURCES:
+        joined = rows.join(F.broadcast(plan), same)
+    else:
+        plan = plan.withColumn("plan_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        part = F.floor(F.col("u") * BINS) % PARTS
+        joined = rows.join(plan, same & (part == F.col("plan_part"))).drop("plan_part")
+    joined = joined.drop("plan_source")
     return joined.withColumn("rank", _odds(F.col("u")) / _odds(F.greatest(F.col("p"), F.lit(1e-12))))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, language_id, mixing, quality_rules
+from wireloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, toxicity
 from wireloom.llm.text import held_out, kept
 
 
@@ -15,6 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    index = toxicity.fit(docs, labels, ~held_out(5, 0))
+    rows = toxicity.score(docs.withColumn("held_out", held_out(5, 0)), index)
+    return rows.select("doc_id", "held_out", "score", "predicted", "neighbours", "evidence")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.hit_digest(decontamination.find_hits(docs.select("doc_id", "text"), benchmark))
@@ -32,6 +39,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sizes, mixing.mix_plan(sizes))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    space = quality_classifier.fit(docs, labels, ~held_out(4, 2))
+    rows = quality_classifier.score(docs.withColumn("held_out", held_out(4, 2)), space)
+    return rows.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("failed_rules").bitwiseAND(F.lit(quality_rules.mask_of("base"))) != 0
@@ -41,9 +55,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
     "op10_quality_rules": op10_quality_rules,
 }
 

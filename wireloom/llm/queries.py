@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, toxicity
+from wireloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, token_counts, toxicity
 from wireloom.llm.text import held_out, kept
 
 
@@ -46,6 +46,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("failed_rules").bitwiseAND(F.lit(quality_rules.mask_of("base"))) != 0
@@ -60,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, token_counts, toxicity
+from wireloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, sharding, token_counts, toxicity
 from wireloom.llm.text import held_out, kept
 
 
@@ -46,6 +46,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_manifest(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "tokens",
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_sharding": op7_sharding,
     "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }

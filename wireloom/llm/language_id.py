@@ -106,8 +106,11 @@ def fit(labelled: DataFrame, documents: int = DOCUMENTS, grams: int = GRAMS) ->
     fixed random order of their ids; null languages and texts teach nothing. The n-grams that come to the driver are
     at most `grams` a language. A table without rows gives filters without a language."""
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    chosen = labelled.join(sizes, "lang").filter(sampled_share(documents)(F.col("n")))
+    sizes = {row["lang"]: row["n"] for row in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return Filters.of({})
+    size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("lang")]
+    chosen = labelled.filter(sampled_share(documents)(size))
 
     def counter():
         def count(columns: dict) -> dict:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, sharding, token_counts, toxicity
+from wireloom.llm import decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, token_counts, toxicity
 from wireloom.llm.text import held_out, kept
 
 
@@ -34,6 +34,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "coverage")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = kept(mixing.document_sizes(_table(spark, sf_dir, "documents")))
     return mixing.mix(sizes, mixing.mix_plan(sizes))
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,

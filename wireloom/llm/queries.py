@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, token_counts, toxicity
+from wireloom.llm import decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, toxicity
 from wireloom.llm.text import held_out, kept
 
 
@@ -65,6 +65,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.find_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("failed_rules").bitwiseAND(F.lit(quality_rules.mask_of("base"))) != 0
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 

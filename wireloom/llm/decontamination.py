@@ -7,11 +7,15 @@ beyond the bound is cut into parts, and the documents pass them one after the ot
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from wireloom.llm.text import RangeHash, WORD_TABLE, map_rows, spaced_words, text_bytes, window_hashes, word_bounds
 
@@ -21,7 +25,8 @@ WINDOW = 10
 #: Benchmark words in one broadcast part.
 PART_WORDS = 2_000_000
 
-FOUND = "_spans array<struct<first:int,last:int>>, _items array<string>"
+#: What is found in a text: its words, the first and last number of hit words, the items that hit.
+FOUND = "n_words:bigint,_spans:array<struct<first:int,last:int>>,_items:array<string>"
 
 
 class Windows:
@@ -101,41 +106,35 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_
     no hits; items without words have no window; an item without an id counts under the empty name. Rows that
     repeat are each looked at. Narrow: no shuffle, whatever a passage's frequency.
     """
-    kept = [name for name in docs.columns if name not in ("n_words", "_spans", "_items")]
-    rows = docs.select(*kept, F.struct(F.lit(0).cast("long").alias("n_words"), F.expr(
-        "cast(array() as array<struct<first:int,last:int>>) as _spans"), F.expr("cast(array() as array<string>) as _items"),
-    ).alias("_hits"))
+    stay = [F.col(f"`{name}`") for name in docs.columns if name not in ("n_words", "_spans", "_items")]
+    rows = docs.select(F.struct(*stay).alias("document"), F.expr(f"cast(null as struct<{FOUND}>)").alias("hits"))
     for part in benchmark_parts(benchmark, window, part_words):
         rows = rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(part), rows.schema), rows.schema)
-    return rows.select(*kept, "_hits.*")
+    return rows.select("document.*", "hits.*")
 
 
-def _scan(shared, schema):
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    import pyarrow as pa
-
+def _scan(shared, schema: StructType):
     arrow = to_arrow_schema(schema)
 
-    def loop(batches):
+    def loop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, hasher = shared.value, RangeHash()
         with np.errstate(over="ignore"):
             for whole in batches:
                 for at in range(0, whole.num_rows, 512):
                     batch, out = whole.slice(at, 512), []
-                    texts = batch.column("text").cast(pa.binary())
-                    for text, hits in zip(texts, batch.column("_hits")):
-                        text, hits = text.as_py(), hits.as_py()
+                    texts = pc.struct_field(batch.column("document"), "text").cast(pa.binary())
+                    for text, before in zip(texts, batch.column("hits").to_pylist()):
+                        text, before = text.as_py(), before or {"_spans": [], "_items": []}
                         spans, items = windows.look_up(hasher, text)
-                        before = [(x["first"], x["last"]) for x in hits["_spans"]]
+                        spans = merged([*((x["first"], x["last"]) for x in before["_spans"]), *spans])
                         words = spaced_words(text)
                         out.append({
                             "n_words": words.count(b" ") + 1 if words else 0,
-                            "_spans": [{"first": f, "last": t} for f, t in merged([*before, *spans])],
-                            "_items": [*hits["_items"], *(windows.names[i] for i in sorted(items))],
+                            "_spans": [{"first": first, "last": last} for first, last in spans],
+                            "_items": [*before["_items"], *(windows.names[i] for i in sorted(items))],
                         })
-                    columns = [*batch.columns[:-1], pa.array(out, arrow.field("_hits").type)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                    hits = pa.array(out, arrow.field("hits").type)
+                    yield pa.RecordBatch.from_arrays([batch.column("document"), hits], schema=arrow)
 
     return loop
 

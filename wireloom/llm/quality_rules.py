@@ -69,7 +69,8 @@ def ledger(docs: DataFrame) -> DataFrame:
     one_kind = F.translate(text, SPACE_CHARS, " " * len(SPACE_CHARS))
     words = F.array_remove(F.split(one_kind, " "), "")
     lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, SPACE_CHARS, "")) > 0)
-    rows = docs.withColumn("_words", words).withColumn("_lines", lines).withColumn("_grams", _grams(F.col("_words")))
+    stay = [F.col(f"`{name}`") for name in docs.columns if name not in MEASURES]
+    rows = docs.select(F.struct(*stay).alias("document"), "text").withColumn("_words", words).withColumn("_lines", lines).withColumn("_grams", _grams(F.col("_words")))
     # Windows sorted by fingerprint together with their place: equal neighbours are repeats.
     placed = F.sort_array(F.transform(F.col("_grams"), lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     repeated = F.size(F.array_distinct("_grams")) < F.size("_grams")
@@ -91,7 +92,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     failed = bits[0]
     for bit in bits[1:]:
         failed = failed.bitwiseOR(bit)
-    return rows.withColumn("failed_rules", failed)
+    return rows.withColumn("failed_rules", failed).select("document.*", *MEASURES)
 
 
 def apply_policy(rows: DataFrame, policy: str) -> DataFrame:

@@ -5,13 +5,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from wireloom.operators import assemble as assembling
 from wireloom.operators.assemble import (
     LOG_SEPARATOR,
-    Limits,
     assemble,
-    find_hot_keys,
     join_exchanges,
-    log_segments,
+    joined_logs,
     summarise,
     to_events,
 )
@@ -75,7 +74,6 @@ def test_golden_exchange(spark):
         "duration_ms": 47,
         "end_time": 53,
         "other_log": "Accept: application/json ; Connection: close",
-        "other_log_segments": 0,
         "client": "svc3",
         "client_profile": "dev8081",
         "response_start_time": 50,
@@ -204,45 +202,49 @@ def to_lines(spark, rows):
     return lines_of(spark, [(p, o, line(key, ms, text)) for p, o, key, ms, text in rows])
 
 
-SPLIT = Limits(hot_lines=20, piece_bits=3)
-ALL_SPLIT = Limits(hot_lines=2, piece_bits=2, hot_keys=3)
+@pytest.mark.parametrize("bits", [10, 3, 1])
+def test_random_lines_against_fold(spark, bits, monkeypatch):
+    monkeypatch.setattr(assembling, "PIECE_BITS", bits)
+    rows = random_rows(1, ["hot"] * 40 + [f"k{i}" for i in range(80)], 900)
+    assert observed(assemble(to_lines(spark, rows))) == expected_events(rows)
 
 
-@pytest.mark.parametrize("limits", [Limits(), SPLIT, ALL_SPLIT])
-def test_random_lines_against_fold(spark, limits):
-    rows = random_rows(1, ["hot"] * 40 + [f"k{i}" for i in range(80)], 900)
-    lines = to_lines(spark, rows)
-    assert observed(assemble(lines, limits)) == expected_events(rows)
-
-
-def test_hot_keys_are_found(spark):
-    rows = random_rows(2, ["hot"] * 40 + [f"k{i}" for i in range(80)], 300)
-    lines = to_lines(spark, rows)
-    assert find_hot_keys(lines).keys == []
-    assert find_hot_keys(lines, SPLIT).keys == ["hot"]
-    assert find_hot_keys(lines, ALL_SPLIT).keys is None
-
-
-@pytest.mark.parametrize("hot_keys", [10, 0])
-def test_long_logs_go_to_segments_whole(spark, hot_keys):
-    rows = random_rows(3, ["hot"] * 40 + [f"k{i}" for i in range(80)], 600)
-    lines = to_lines(spark, rows)
-    limits = Limits(hot_lines=20, piece_bits=3, inline_bytes=100, hot_keys=hot_keys)
-    expected = expected_events(rows)
-    events = as_dicts(assemble(lines, limits))
-    parts = log_segments(lines, limits).orderBy("topic", "partition", "piece").collect()
-    mine = [p.other_log for p in parts if p.request_key == "hot"]
-    assert events["hot"]["other_log"] is None
-    assert events["hot"]["other_log_segments"] == len(mine) > 1
-    assert LOG_SEPARATOR.join(mine) == expected["hot"][-1]
-    inline = {k: e["other_log"] for k, e in events.items() if e["other_log_segments"] == 0}
-    assert inline == {k: expected[k][-1] for k in inline}
-    assert len(inline) > 20
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan()
+
+
+def test_one_scan_and_no_sum_before_the_shuffle(spark, tmp_path):
+    rows = random_rows(2, [f"k{i}" for i in range(300)], 3000)
+    records = [("t", p, o, line(key, ms, text)) for p, o, key, ms, text in rows]
+    spark.createDataFrame(records, LOG_RECORD).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    text = plan_of(assemble(classify(parse_lines(log)))).toString().split("== Initial Plan ==")[0]
+    scans = [part for part in text.splitlines() if "FileScan" in part]
+    assert len(scans) == 1
+    # Nothing but a projection lies between the scan and the first exchange, so map tasks
+    # neither sum up nor sort.
+    below = text[: text.index("FileScan")]
+    first = below[below.rindex("Exchange hashpartitioning(request_key") :]
+    assert "Aggregate" not in first and "Sort" not in first
+
+
+def test_log_too_long_for_a_row_fails_with_its_key(spark, monkeypatch):
+    monkeypatch.setattr(assembling, "MOST_LOG_BYTES", 30)
+    rows = [(0, i, line("short", 0, "note")) for i in range(2)]
+    rows += [(0, 10 + i, line("long", 0, f"note {i}")) for i in range(5)]
+    known = summarise(lines_of(spark, rows))
+    logs = joined_logs(known.texts)
+    assert logs.filter("request_key = 'short'").first().other_log == "note ; note"
+    with pytest.raises(Exception, match="request key long"):
+        logs.collect()
 
 
 @pytest.mark.parametrize("seed", [4, 5])
 def test_joined_batches_equal_one_batch(spark, seed):
     rows = random_rows(seed, [f"k{i}" for i in range(40)], 500, partitions=1)
-    early = summarise(to_lines(spark, rows[:200]))
-    late = summarise(to_lines(spark, rows[200:]))
-    assert observed(to_events(join_exchanges(early, late))) == expected_events(rows)
+    early = summarise(to_lines(spark, rows[:200]), 0)
+    late = summarise(to_lines(spark, rows[200:]), 1)
+    joined = join_exchanges(early.exchanges, late.exchanges)
+    events = to_events(joined, early.texts.unionByName(late.texts))
+    assert observed(events) == expected_events(rows)

@@ -3,14 +3,14 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from test_assemble import line, observed, random_rows, to_lines
 from wireloom.operators.assemble import assemble
 from wireloom.operators.upsert import read_events
 from wireloom.schema import LOG_RECORD
 from wireloom.sources.logs import record_files
-from wireloom.streaming.log_job import start_log_job, start_malformed_job
+from wireloom.plans.log_batch import LogTables
+from wireloom.streaming.log_job import start_log_job
 
 
 class Stream:
@@ -18,7 +18,8 @@ class Stream:
 
     def __init__(self, spark, folder, **rules):
         self.spark, self.folder, self.rules, self.n = spark, folder, rules, 0
-        self.source, self.events = str(folder / "in"), str(folder / "events")
+        self.source, self.tables = str(folder / "in"), LogTables.under(str(folder / "tables"))
+        self.counts = {}
         (folder / "in").mkdir()
 
     def feed(self, rows):
@@ -31,19 +32,20 @@ class Stream:
         self.n += 1
         return self
 
-    def run(self):
+    def run(self, checkpoint="checkpoint"):
         query = start_log_job(
             record_files(self.spark, self.source),
-            self.events,
-            str(self.folder / "checkpoint"),
+            self.tables,
+            str(self.folder / checkpoint),
             trigger={"availableNow": True},
+            report=self.counts.__setitem__,
             **self.rules,
         )
         assert query.awaitTermination(120)
         return query
 
     def rows(self):
-        return read_events(self.spark, self.events)
+        return read_events(self.spark, self.tables.events)
 
     def outcome(self):
         return sorted((r.request_key, r.status) for r in self.rows().collect())
@@ -85,7 +87,8 @@ def test_any_cut_gives_the_batch_result(spark, tmp_path, seed):
 
 
 def test_fate_of_keys(spark, tmp_path):
-    """Expiry border, lines without an open exchange, and a start after its fragments."""
+    """Expiry by the clock of the batch, lines without an open exchange, and a start after its
+    fragments."""
     stream = Stream(spark, tmp_path)
     stream.feed(
         [
@@ -99,14 +102,14 @@ def test_fate_of_keys(spark, tmp_path):
         ]
     )
     stream.feed([(0, 7, at(1, 0, "before", START)), (0, 8, at(1, 1, "before", END))])
-    stream.feed([(0, 9, at(16, 0, "other", START))])
-    stream.feed([(0, 10, at(16, 0, "other", "note"))])
-    query = stream.run()
-    assert stream.outcome() == [("before", "complete"), ("early", "timeout"), ("same", "complete")]
+    stream.feed([(0, 9, at(16, 0, "other", START)), (0, 10, at(16, 0, "other", END))])
+    stream.run()
+    assert stream.outcome() == [
+        ("before", "complete"), ("early", "timeout"), ("other", "complete"), ("same", "complete"),
+    ]
     before = stream.rows().filter("request_key = 'before'").first()
     assert before.other_log is None
-    metrics = [p.observedMetrics.get("exchanges") for p in query.recentProgress]
-    assert sum(m.dropped for m in metrics if m) == 2
+    assert {n: c.dropped for n, c in stream.counts.items()} == {0: 2, 1: 0, 2: 0}
 
     stream.feed([(0, 11, at(16, 2, "late", END))])
     stream.run()
@@ -114,12 +117,25 @@ def test_fate_of_keys(spark, tmp_path):
 
 
 def test_lagging_partition_is_not_lost(spark, tmp_path):
+    """An hour behind, and its exchange spans two micro-batches."""
     stream = Stream(spark, tmp_path)
     stream.feed([(0, 0, at(300, 0, "new", START)), (0, 1, at(300, 1, "new", END))])
-    stream.feed([(0, 2, at(301, 0, "new2", START))])
-    stream.feed([(1, 0, at(0, 0, "old", START)), (1, 1, at(0, 1, "old", END))])
+    stream.feed([(0, 2, at(301, 0, "new2", START)), (1, 0, at(0, 0, "old", START))])
+    stream.feed([(0, 3, at(301, 1, "new3", "note")), (1, 1, at(0, 1, "old", END))])
     stream.run()
     assert ("old", "complete") in stream.outcome()
+    assert not [r for r in stream.outcome() if r[1] == "timeout"]
+
+
+def test_one_line_from_the_future(spark, tmp_path):
+    """Exchanges that span two batches are not given up because of it."""
+    stream = Stream(spark, tmp_path)
+    future = at(0, 0, "future", START).replace("2018-01-02", "2099-01-02")
+    stream.feed([(0, 0, future), (0, 1, at(0, 0, "a", START)), (0, 2, at(0, 0, "b", START))])
+    stream.feed([(0, 3, at(0, 9, "a", END)), (0, 4, at(1, 0, "c", START))])
+    stream.feed([(0, 5, at(1, 9, "b", END)), (0, 6, at(1, 9, "c", END))])
+    stream.run()
+    assert stream.outcome() == [("a", "complete"), ("b", "complete"), ("c", "complete")]
 
 
 def test_fragments_on_request(spark, tmp_path):
@@ -128,7 +144,8 @@ def test_fragments_on_request(spark, tmp_path):
     stream.feed([(0, 1, at(0, 1, "k", "note"))])
     stream.feed([(0, 2, at(0, 2, "k", END))])
     stream.run()
-    writes = spark.read.parquet(stream.events).orderBy("batch_id", "status").collect()
+    appended = spark.read.parquet(f"{stream.tables.events}/appended")
+    writes = appended.orderBy("batch_id", "status").collect()
     assert [(w.status, w.other_log) for w in writes] == [
         ("fragment", "note"), ("complete", "note"), ("fragment", None),
     ]
@@ -136,28 +153,33 @@ def test_fragments_on_request(spark, tmp_path):
 
 
 def test_second_start_moves_the_expiry(spark, tmp_path):
+    done = lambda minutes, key: [at(minutes, 0, key, START), at(minutes, 1, key, END)]
     stream = Stream(spark, tmp_path)
     stream.feed([(0, 0, at(0, 0, "k", START))])
     stream.feed([(0, 1, at(10, 0, "k", START + " again"))])
-    stream.feed([(0, 2, at(20, 0, "x", "note"))])
-    stream.feed([(0, 3, at(20, 1, "x", "note"))])
+    stream.feed([(0, 2 + i, text) for i, text in enumerate(done(20, "x"))])
     stream.run()
-    assert stream.outcome() == []
-    stream.feed([(0, 4, at(26, 0, "x", "note"))])
-    stream.feed([(0, 5, at(26, 1, "x", "note"))])
+    assert stream.outcome() == [("x", "complete")]
+    stream.feed([(0, 6 + i, text) for i, text in enumerate(done(26, "y"))])
     stream.run()
-    assert stream.outcome() == [("k", "timeout")]
+    assert ("k", "timeout") in stream.outcome()
 
 
 def test_malformed_records_are_kept(spark, tmp_path):
     stream = Stream(spark, tmp_path)
     stream.feed([(0, 0, "no line"), (0, 1, at(0, 0, "k", START))])
-    query = start_malformed_job(
-        record_files(spark, stream.source),
-        str(tmp_path / "malformed"),
-        str(tmp_path / "malformed-checkpoint"),
-        {"availableNow": True},
-    )
-    assert query.awaitTermination(120)
-    rows = spark.read.parquet(str(tmp_path / "malformed")).select("offset", F.col("reason"))
+    stream.run()
+    rows = spark.read.parquet(stream.tables.malformed).select("offset", "reason")
     assert [tuple(r) for r in rows.collect()] == [(0, "too few words")]
+    assert stream.counts[0].malformed == 1
+
+
+def test_a_new_checkpoint_does_not_overwrite(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    stream.feed([(0, 0, at(0, 0, "a", START)), (0, 1, at(0, 1, "a", END))])
+    stream.run()
+    before = spark.read.parquet(f"{stream.tables.events}/appended").count()
+    stream.feed([(0, 2, at(1, 0, "b", START)), (0, 3, at(1, 1, "b", END))])
+    stream.run("another")
+    assert stream.outcome() == [("a", "complete"), ("b", "complete")]
+    assert spark.read.parquet(f"{stream.tables.events}/appended").count() == before + 2

@@ -1,24 +1,24 @@
 """Assembly: the lines of one request key become one event.
 
-``summarise`` reduces classified lines to one *exchange* row per key (schema ``EXCHANGE``),
-``to_events`` cuts the payloads out of it. Exchange rows of the same key can be joined again
+Lines are summed up in *pieces* of ``2**PIECE_BITS`` offsets of a key, pieces in stretches of as
+many pieces, and stretches in one *exchange* row per key (schema ``EXCHANGE``); ``to_events``
+cuts the payloads out of it. Exchange rows of the same key can be joined again
 (``join_exchanges``), which carries an exchange over from one batch to the next.
 
 Lines count in the order ``(topic, partition, offset)``.
 
-Scale. Nearly all keys have a few dozen lines and are summed up in one shuffle. A key is *hot*
-if its lines exceed ``hot_lines`` or ``hot_bytes`` (a broken client that logs under one constant
-key may own a third of the log). Hot keys are found by one narrow count with map-side combine
-and are cut into pieces of ``2**piece_bits`` offsets; a piece is bounded by its offsets, and
-pieces are joined level by level, ``2**piece_bits`` of them at most each time, before those of
-one key meet. Without hot keys the second path is not in the plan at all.
+Scale. There is one plan for keys of any size. A broken client that logs under one constant key
+may own a third of the log; so the lines are shuffled by key and stretch, where groups are
+bounded by their offsets, and summed up in place; only one row for each key and stretch is
+shuffled by key. Other log text is kept in pieces until an event is given out: as rows of its
+own where exchanges go on from batch to batch, so that open exchanges do not grow with it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wireloom.functions.text import (
@@ -40,7 +40,7 @@ from wireloom.operators.bodies import (
     request_body,
     response_body,
 )
-from wireloom.schema import EVENTS, EXCHANGE
+from wireloom.schema import EVENTS, EXCHANGE, TEXTS
 
 # Fixed value: what stands between two texts of a joined log.
 LOG_SEPARATOR = " ; "
@@ -65,80 +65,70 @@ LAST_WINS = [
 ]
 
 
+PIECE_BITS = 10
+
+# Most bytes of a joined log: what one value of a row can hold.
+MOST_LOG_BYTES = 2_000_000_000
+
+
 @dataclass(frozen=True)
-class Limits:
-    """Bounds of what one group may hold; results do not depend on them.
+class Summed:
+    """What is known of some exchanges: rows of schema ``EXCHANGE`` and of schema ``TEXTS``."""
 
-    The one visible effect: if the other log text of a hot key exceeds ``inline_bytes``, the
-    event row counts its pieces in ``other_log_segments`` and ``log_segments`` has the text.
-    """
+    exchanges: DataFrame
+    texts: DataFrame
 
-    hot_lines: int = 50_000
-    hot_bytes: int = 64 << 20
-    inline_bytes: int = 64 << 20
-    piece_bits: int = 10
-    piece_levels: int = 3
-    hot_keys: int = 10_000
-    hot_key_bytes: int = 4 << 20
+    @classmethod
+    def nothing(cls, spark: SparkSession) -> Summed:
+        return cls(spark.createDataFrame([], EXCHANGE), spark.createDataFrame([], TEXTS))
 
 
-DEFAULT_LIMITS = Limits()
+PLACE = ["request_key", "topic", "partition"]
 
 
-class KeySet:
-    """Request keys found by a query.
+def sum_pieces(lines: DataFrame) -> DataFrame:
+    """One row per key and piece of classified lines, with the piece's ``other_log``.
 
-    ``keys`` lists them if they are few enough to send to every task (``Limits.hot_keys`` keys
-    of ``Limits.hot_key_bytes`` in all); otherwise it is None and joins go through ``frame``.
+    Parsed records that still have a ``reason`` may be among the lines. Those that are no line
+    have no key; their pieces have them in ``malformed``.
     """
+    wide = F.shiftright("offset", 2 * PIECE_BITS).alias("stretch")
+    near = lines.repartition(*[F.col(c) for c in PLACE], wide)
+    near = near.withColumns({"stretch": wide, "piece": F.shiftright("offset", PIECE_BITS)})
+    return _sum_up(near, [*PLACE, "stretch", "piece"])
 
-    def __init__(self, frame: DataFrame, limits: Limits):
-        longest = limits.hot_key_bytes // (limits.hot_keys + 1)
-        short = F.when(F.octet_length("request_key") <= longest, F.col("request_key"))
-        found = [row[0] for row in frame.select(short).take(limits.hot_keys + 1)]
-        too_many = len(found) > limits.hot_keys or None in found
-        self.keys = None if too_many else sorted(found)
-        self.frame = frame
-
-    def __bool__(self) -> bool:
-        return self.keys is None or bool(self.keys)
-
-    def _side(self) -> DataFrame:
-        if self.keys is None:
-            return self.frame.select("request_key")
-        rows = [(key,) for key in self.keys]
-        return F.broadcast(
-            self.frame.sparkSession.createDataFrame(rows, "request_key string")
-        )
 
-    def only(self, df: DataFrame) -> DataFrame:
-        return df.join(self._side(), "request_key", "left_semi")
+def malformed_of(pieces: DataFrame) -> DataFrame:
+    """The records among the pieces that are no lines, each with the reason."""
+    bad = F.explode("malformed").alias("bad")
+    return pieces.select("topic", "partition", bad).select("topic", "partition", "bad.*")
 
-    def without(self, df: DataFrame) -> DataFrame:
-        return df.join(self._side(), "request_key", "left_anti")
 
-    def flag(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` with a column that is true for the keys of this set, else null."""
-        return df.join(self._side().withColumn(name, F.lit(True)), "request_key", "left")
+def summed(pieces: DataFrame, batch: int = 0) -> Summed:
+    """Exchange rows and text rows of pieces; ``batch`` orders texts of several batches."""
+    keyed = pieces.filter(F.col("request_key").isNotNull())
+    exchanges = _by_key(keyed.drop("other_log", "malformed"))
+    texts = keyed.filter(F.col("other_log").isNotNull()).withColumn(
+        "batch", F.lit(batch).cast("long")
+    )
+    names, text_names = EXCHANGE.fieldNames(), TEXTS.fieldNames()
+    return Summed(exchanges.select(*names), texts.select(*text_names))
 
 
-def find_hot_keys(lines: DataFrame, limits: Limits = DEFAULT_LIMITS) -> KeySet:
-    """Keys with too many lines or bytes for one group; runs one job.
+def _by_key(pieces: DataFrame) -> DataFrame:
+    stretches = _join_pieces(pieces, [*PLACE, "stretch"], ["piece"])
+    # Summed up where a key's rows meet: a map-side sum would save nothing for most keys.
+    met = stretches.repartition("request_key")
+    return _join_pieces(met, ["request_key"], ["topic", "partition", "stretch"])
 
-    The job counts with map-side combine and reads nothing but keys and lengths.
-    """
-    size = F.octet_length(F.coalesce("content", F.lit(""))) + 64
-    sizes = lines.groupBy("request_key").agg(
-        F.count("*").alias("n"), F.sum(size).alias("n_bytes")
-    )
-    hot = sizes.filter(
-        (F.col("n") > limits.hot_lines) | (F.col("n_bytes") > limits.hot_bytes)
-    )
-    return KeySet(hot, limits)
+
+def summarise(lines: DataFrame, batch: int = 0) -> Summed:
+    """Exchange rows, one per request key, and text rows of classified lines."""
+    return summed(sum_pieces(lines), batch)
 
 
 def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
-    """One exchange row per group of classified lines; a group must be of bounded size."""
+    """One row per group of classified lines; a group must be of bounded size."""
     seq = F.struct("topic", "partition", "offset")
     kind = F.col("kind")
 
@@ -159,7 +149,11 @@ def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
             F.struct(*in_order, F.coalesce("content", F.lit("")).alias("text")),
         )
     )
-    summed = lines.groupBy(*group).agg(
+    bad = F.array().cast("array<struct<offset:bigint,value:string,reason:string>>")
+    if "reason" in lines.columns:
+        record = F.struct("offset", "value", "reason")
+        bad = F.collect_list(F.when(F.col("reason").isNotNull(), record))
+    total = lines.groupBy(*group).agg(
         F.min_by("log_ts", seq).alias("first_ts"),
         last(timed, kind == L.REQUEST_START).alias("start"),
         last(F.col("thread_name"), kind.isin(L.REQUEST_START, L.OTHER)).alias(
@@ -174,11 +168,11 @@ def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
         last(F.col("log_ts"), kind == L.RESPONSE_END).alias("end_ts"),
         F.array_sort(bodies).alias("bodies"),
         F.array_sort(others).alias("others"),
+        bad.alias("malformed"),
     )
     return (
-        summed.withColumn("bodies", chain_of(F.col("bodies")))
+        total.withColumn("bodies", chain_of(F.col("bodies")))
         .withColumn("other_log", _joined_text(F.col("others")))
-        .withColumn("other_log_segments", F.lit(0).cast("long"))
         .drop("others")
     )
 
@@ -199,115 +193,42 @@ def _join_pieces(pieces: DataFrame, group: list[str], order: list[str]) -> DataF
     bodies = F.collect_list(
         F.when(F.col("bodies").isNotNull(), F.struct(*in_order, F.col("bodies").alias("run")))
     )
-    texts = F.collect_list(
-        F.when(
-            F.col("other_log").isNotNull(), F.struct(*in_order, F.col("other_log").alias("text"))
-        )
-    )
+    texts = []
+    if "texts" in pieces.columns:
+        texts.append(F.flatten(F.collect_list("texts")).alias("texts"))
     joined = pieces.groupBy(*group).agg(
         F.min_by("first_ts", place).alias("first_ts"),
         *[last(name) for name in LAST_WINS],
         F.array_sort(bodies).alias("bodies"),
-        F.array_sort(texts).alias("texts"),
-        F.sum("other_log_segments").alias("other_log_segments"),
+        *texts,
     )
     runs = F.transform("bodies", lambda b: b["run"])
-    return (
-        joined.withColumn("bodies", F.aggregate(runs, no_chain(), join_chains))
-        .withColumn("other_log", _joined_text(F.col("texts")))
-        .drop("texts")
-    )
+    return joined.withColumn("bodies", F.aggregate(runs, no_chain(), join_chains))
 
 
-def _piece(bits: int) -> Column:
-    return F.shiftright("offset", bits)
-
-
-def _sum_up_in_pieces(
-    lines: DataFrame, oversize: KeySet, limits: Limits
-) -> DataFrame:
-    """The same as ``_sum_up`` by request key, for keys of any size."""
-    bits = limits.piece_bits
-    place = ["request_key", "topic", "partition"]
-    pieces = _sum_up(lines.withColumn("piece", _piece(bits)), [*place, "piece"])
-    if oversize:
-        # Their text stays out of the rows that move on; log_segments has it, piece by piece.
-        away = F.col("oversize") & F.col("other_log").isNotNull()
-        pieces = (
-            oversize.flag(pieces, "oversize")
-            .withColumn("other_log_segments", F.when(away, 1).otherwise(0).cast("long"))
-            .withColumn("other_log", F.when(F.col("oversize").isNull(), F.col("other_log")))
-        )
-    for _ in range(limits.piece_levels - 1):
-        larger = pieces.withColumn("larger", F.shiftright("piece", bits))
-        joined = _join_pieces(larger, [*place, "larger"], ["piece"])
-        pieces = joined.withColumnRenamed("larger", "piece")
-    return _join_pieces(pieces, ["request_key"], ["topic", "partition", "piece"])
-
-
-def _oversize_keys(hot_lines: DataFrame, limits: Limits) -> KeySet:
-    """Hot keys whose other log text does not fit into one value."""
-    text = F.octet_length(F.coalesce("content", F.lit(""))) + len(LOG_SEPARATOR)
-    sizes = (
-        hot_lines.filter(F.col("kind") == L.OTHER)
-        .groupBy("request_key")
-        .agg(F.sum(text).alias("n_bytes"))
-    )
-    return KeySet(sizes.filter(F.col("n_bytes") > limits.inline_bytes), limits)
+def joined_logs(texts: DataFrame) -> DataFrame:
+    """``request_key`` and ``other_log``, the whole text of each key in order.
 
+    A text that no row can hold fails, with the key in the message; nothing is cut.
+    """
+    collected = texts.groupBy("request_key").agg(F.collect_list(_text()).alias("texts"))
+    return collected.select("request_key", _whole_log().alias("other_log"))
 
-def summarise(
-    lines: DataFrame, limits: Limits = DEFAULT_LIMITS, hot: KeySet | None = None
-) -> DataFrame:
-    """One exchange row per request key of classified lines.
 
-    Looks for hot keys first, unless ``hot`` is given. That reads ``lines`` twice, so stage
-    them (``plans.staging``) if parsing them again costs more than writing them.
-    """
-    hot = find_hot_keys(lines, limits) if hot is None else hot
-    names = EXCHANGE.fieldNames()
-    if not hot:
-        return _sum_up(lines, ["request_key"]).select(*names)
-    if hot.keys is None:  # too many to tell apart cheaply: cut every key into pieces
-        oversize = _oversize_keys(lines, limits)
-        return _sum_up_in_pieces(lines, oversize, limits).select(*names)
-    hot_lines = hot.only(lines)
-    oversize = _oversize_keys(hot_lines, limits)
-    pieced = _sum_up_in_pieces(hot_lines, oversize, limits).select(*names)
-    rest = _sum_up(hot.without(lines), ["request_key"]).select(*names)
-    return rest.unionByName(pieced)
-
-
-def log_segments(
-    lines: DataFrame, limits: Limits = DEFAULT_LIMITS, hot: KeySet | None = None
-) -> DataFrame:
-    """Other log text of the keys that have too much of it for one value.
-
-    Texts of one key, joined by ``LOG_SEPARATOR`` in the order ``(topic, partition, piece)``,
-    are its whole other log.
-    """
-    hot = find_hot_keys(lines, limits) if hot is None else hot
-    if hot.keys is not None:
-        lines = hot.only(lines)
-    texts = (
-        _oversize_keys(lines, limits)
-        .only(lines.filter(F.col("kind") == L.OTHER))
-        .withColumn("piece", _piece(limits.piece_bits))
-    )
-    collected = F.array_sort(
-        F.collect_list(F.struct("offset", F.coalesce("content", F.lit("")).alias("text")))
-    )
-    return (
-        texts.groupBy("request_key", "topic", "partition", "piece")
-        .agg(collected.alias("texts"))
-        .select(
-            "request_key",
-            "topic",
-            "partition",
-            "piece",
-            _joined_text(F.col("texts")).alias("other_log"),
-        )
+def _text() -> Column:
+    return F.struct("batch", "topic", "partition", "piece", F.col("other_log").alias("text"))
+
+
+def _whole_log() -> Column:
+    """The text of ``texts``, an array of pieces in any order."""
+    pieces = F.array_sort("texts")
+    size = F.aggregate(
+        "texts",
+        F.lit(0).cast("long"),
+        lambda n, t: n + F.octet_length(t["text"]) + len(LOG_SEPARATOR),
     )
+    message = F.concat(F.lit("the other log is too long for a row, request key "), "request_key")
+    return F.when(size > MOST_LOG_BYTES, F.raise_error(message)).otherwise(_joined_text(pieces))
 
 
 def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
@@ -325,13 +246,6 @@ def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
         F.coalesce("a.first_ts", "b.first_ts").alias("first_ts"),
         *[F.coalesce(f"b.{name}", f"a.{name}").alias(name) for name in LAST_WINS],
         join_chains(F.col("a.bodies"), F.col("b.bodies")).alias("bodies"),
-        F.when(
-            F.coalesce("a.other_log", "b.other_log").isNotNull(),
-            F.concat_ws(LOG_SEPARATOR, "a.other_log", "b.other_log"),
-        ).alias("other_log"),
-        (F.coalesce("a.other_log_segments", F.lit(0)) + F.col("b.other_log_segments")).alias(
-            "other_log_segments"
-        ),
         F.col("a.request_key").isNotNull().alias("known"),
         F.lit(True).alias("seen"),
     )
@@ -341,8 +255,13 @@ def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
     return continued.unionByName(rest)
 
 
-def to_events(exchanges: DataFrame, *keep: str) -> DataFrame:
-    """Events of exchange rows; ``keep`` names further columns to carry along."""
+def to_events(exchanges: DataFrame, texts: DataFrame, *keep: str) -> DataFrame:
+    """Events of exchange rows and text rows; ``keep`` names further columns to carry along."""
+    return _to_events(exchanges.join(joined_logs(texts), "request_key", "left"), *keep)
+
+
+def _to_events(exchanges: DataFrame, *keep: str) -> DataFrame:
+    """Events of exchange rows that have their ``other_log``."""
     start, response, bodies = F.col("start"), F.col("response"), F.col("bodies")
     request_end, thread = F.col("request_end_ts"), F.col("caller_thread")
     url = url_of(start["content"])
@@ -366,7 +285,6 @@ def to_events(exchanges: DataFrame, *keep: str) -> DataFrame:
         "duration_ms": F.coalesce(duration_of(response["content"]), F.lit(0)),
         "end_time": F.col("end_ts"),
         "other_log": F.col("other_log"),
-        "other_log_segments": F.col("other_log_segments"),
         "client": client_of(thread),
         "client_profile": client_profile_of(thread),
         "response_start_time": response["ts"],
@@ -376,8 +294,10 @@ def to_events(exchanges: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def assemble(
-    lines: DataFrame, limits: Limits = DEFAULT_LIMITS, hot: KeySet | None = None
-) -> DataFrame:
-    """Events of classified lines, one row per request key."""
-    return to_events(summarise(lines, limits, hot))
+def assemble(lines: DataFrame) -> DataFrame:
+    """Events of classified lines, one row per request key; the lines are read once."""
+    pieces = sum_pieces(lines).filter(F.col("request_key").isNotNull())
+    text = F.when(F.col("other_log").isNotNull(), F.array(_text()))
+    pieces = pieces.withColumn("batch", F.lit(0).cast("long")).withColumn("texts", text)
+    exchanges = _by_key(pieces.drop("other_log", "malformed", "batch"))
+    return _to_events(exchanges.withColumn("other_log", _whole_log()))

@@ -110,6 +110,12 @@ def malformed(parsed: DataFrame) -> DataFrame:
     return rows.select("topic", "partition", "offset", "value", "reason")
 
 
+def classified_records(parsed: DataFrame) -> DataFrame:
+    """All parsed records with the ``kind`` of the lines; those that are no line have no key."""
+    key = F.when(F.col("reason").isNull(), F.col("request_key"))
+    return classify(parsed.withColumn("request_key", key))
+
+
 def parse_lines(records: DataFrame) -> DataFrame:
     return well_formed(parse_records(records))
 

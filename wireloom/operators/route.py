@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireloom.functions.clock import log_day, whole_minutes
-from wireloom.operators.assemble import join_exchanges, to_events
+from wireloom.operators.assemble import Summed, join_exchanges, to_events
 from wireloom.schema import EMITTED, EXCHANGE
 
 # Fixed value: an open event older than this many whole minutes is given up.
@@ -24,6 +24,9 @@ NEITHER = "neither"
 TIMEOUT = "timeout"
 FRAGMENT = "fragment"
 
+# Status of what belongs to no open event.
+DROPPED = "dropped"
+
 
 def completeness(start: Column, end: Column) -> Column:
     return (
@@ -82,42 +85,44 @@ class Reconciled:
     """Outcome of one batch; each part is lazy."""
 
     emitted: DataFrame  # rows of schema EMITTED
-    open_exchanges: DataFrame  # rows of schema EXCHANGE, for the next batch
-    dropped: DataFrame  # exchange rows without an open event
+    still_open: Summed  # for the next batch
+    dropped: DataFrame  # rows of schema EMITTED: what came without an open event
 
 
 def reconcile(
-    batch: DataFrame,
-    open_exchanges: DataFrame,
+    batch: Summed,
+    before: Summed,
     clock: DataFrame | None = None,
     expire_minutes: int = EXPIRE_MINUTES,
     emit_fragments: bool = False,
 ) -> Reconciled:
-    """Continues the open exchanges with the exchange rows of a batch.
+    """Continues the open exchanges with those of a batch.
 
-    Both sides hold one row per key, so the join cannot be skewed. They are read several
-    times, so they should be tables. ``clock`` is a one-row frame as ``batch_clock`` makes it;
-    it enters the plan as a scalar subquery.
+    Exchange rows are one per key on both sides, so their join cannot be skewed. They are read
+    several times, so they should be tables. ``clock`` is a one-row frame as ``batch_clock``
+    makes it; it enters the plan as a scalar subquery.
     """
-    clock = batch_clock(batch, open_exchanges) if clock is None else clock
-    joined = join_exchanges(open_exchanges, batch)
+    clock = batch_clock(batch.exchanges, before.exchanges) if clock is None else clock
+    joined = join_exchanges(before.exchanges, batch.exchanges)
     ended = F.col("start").isNotNull() & F.col("end_ts").isNotNull()
     expired = F.col("known") & is_expired(clock.scalar(), F.col("start.ts"), expire_minutes)
     fate = (
-        F.when(F.col("start").isNull(), "dropped")
+        F.when(F.col("start").isNull(), DROPPED)
         .when(ended, COMPLETE)
         .when(expired, TIMEOUT)
         .otherwise(OPEN)
     )
     decided = joined.withColumn("status", fate)
-    emitted = to_emitted(decided.filter(F.col("status").isin(COMPLETE, TIMEOUT)))
+    texts = before.texts.unionByName(batch.texts)
+    emitted = to_emitted(decided.filter(F.col("status").isin(COMPLETE, TIMEOUT)), texts)
     if emit_fragments:
-        emitted = to_emitted(attached_fragments(batch, open_exchanges)).unionByName(emitted)
-    names = EXCHANGE.fieldNames()
+        attached = to_emitted(attached_fragments(batch.exchanges, before.exchanges), batch.texts)
+        emitted = attached.unionByName(emitted)
+    kept = decided.filter(F.col("status") == OPEN).select(*EXCHANGE.fieldNames())
     return Reconciled(
         emitted=emitted,
-        open_exchanges=decided.filter(F.col("status") == OPEN).select(*names),
-        dropped=decided.filter(F.col("status") == "dropped").select(*names),
+        still_open=Summed(kept, texts.join(kept.select("request_key"), "request_key", "left_semi")),
+        dropped=to_emitted(decided.filter(F.col("status") == DROPPED), batch.texts),
     )
 
 
@@ -130,6 +135,6 @@ def attached_fragments(batch: DataFrame, open_exchanges: DataFrame) -> DataFrame
     )
 
 
-def to_emitted(exchanges: DataFrame) -> DataFrame:
+def to_emitted(exchanges: DataFrame, texts: DataFrame) -> DataFrame:
     """Rows of schema ``EMITTED`` from exchange rows that have a ``status``."""
-    return with_event_day(to_events(exchanges, "status")).select(*EMITTED.fieldNames())
+    return with_event_day(to_events(exchanges, texts, "status")).select(*EMITTED.fieldNames())

@@ -1,22 +1,29 @@
 """Tables of one row per request key and day: the last write of a key replaces the others.
 
-A stream appends: every micro-batch owns the folder ``event_day=.../batch_id=...`` and a replay
-overwrites just that, so the cost of a batch does not depend on the size of the day. Readers
-take the last write of each key. ``upsert_days`` folds rows into a table that has the replaced
-rows gone, rewriting the days touched and no others.
+A stream appends: every write owns the folder ``appended/event_day=.../batch_id=...`` and a
+replay overwrites just that, so the cost of a write does not depend on the size of the day.
+Readers take the last write of each key. ``compact_days`` folds the writes of closed days into
+``folded/event_day=...``, one row per key in few files, where readers need no window.
+``upsert_days`` folds rows into a plain table at once, rewriting the days touched and no others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from wireloom.plans.staging import Staging
+from wireloom.plans.staging import Staging, remove_folder
 from wireloom.schema import EMITTED
 
 KEY = ["event_day", "request_key"]
+WRITES = T.StructType([*EMITTED.fields, T.StructField("batch_id", T.LongType())])
+
+# Days that a condition lists one by one; more are given as first and last.
+LISTED_DAYS = 366
 
 
 def last_writes(writes: DataFrame) -> DataFrame:
@@ -39,55 +46,119 @@ def last_writes(writes: DataFrame) -> DataFrame:
     )
 
 
-def append_batch(events: DataFrame, batch_id: int, path: str) -> None:
-    """Writes the rows of one batch; a second call for the batch replaces the first.
+def _rebalanced(rows: DataFrame) -> DataFrame:
+    """Under adaptive execution the rows of a day are brought together for few, evenly sized
+    files, and a day that holds most rows is split again."""
+    adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return rows.hint("rebalance", "event_day") if adaptive else rows
 
-    Under adaptive execution the rows of a day are brought together for few, evenly sized
-    files, and a day that holds most rows is split again.
-    """
-    adaptive = events.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    rows = events.hint("rebalance", "event_day") if adaptive else events
+
+def _write(rows: DataFrame, path: str, *partitions: str) -> None:
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        _rebalanced(rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_day", "batch_id")
+        .partitionBy(*partitions)
         .parquet(path)
     )
 
 
+def append_batch(events: DataFrame, batch_id: int, path: str) -> None:
+    """Writes the rows of one batch; a second call for the batch replaces the first.
+
+    ``batch_id`` numbers the writes of the table, whoever makes them; ``plans.log_batch`` keeps
+    the numbers of several runs apart.
+    """
+    numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    _write(numbered, f"{path}/appended", "event_day", "batch_id")
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a day table with their ``batch_id``; none if it does not exist yet."""
-    schema = T.StructType([*EMITTED.fields, T.StructField("batch_id", T.LongType())])
+    """The rows at a path with their ``batch_id``; none if it does not exist yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(WRITES).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], WRITES)
+
+
+def _days(rows: DataFrame) -> list[datetime.date]:
+    return sorted(r[0] for r in rows.select("event_day").distinct().collect())
+
+
+def _of_days(days: list[datetime.date]) -> Column:
+    """A condition that prunes the scan to these days, or at least to the span of them."""
+    if not days:
+        return F.lit(False)
+    if len(days) > LISTED_DAYS:
+        return F.col("event_day").between(days[0], days[-1])
+    return F.col("event_day").isin(days)
+
+
+def next_write(spark: SparkSession, path: str) -> int:
+    """A number above those of all writes in the table."""
+    numbers = [
+        _read(spark, f"{path}/{part}").agg(F.max("batch_id")).first()[0]
+        for part in ("appended", "folded")
+    ]
+    return max((n + 1 for n in numbers if n is not None), default=0)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """One row per key and day; a filter on ``event_day`` prunes the scan."""
-    return last_writes(_read(spark, path)).drop("batch_id")
+    """One row per key and day; a filter on ``event_day`` prunes the scan.
+
+    Only days with writes that are not folded yet go through a window. Which these are is told
+    by folder names.
+    """
+    appended, folded = (_read(spark, f"{path}/{part}") for part in ("appended", "folded"))
+    days = _days(appended)
+    if not days:
+        return folded.drop("batch_id")
+    unsettled = _of_days(days)
+    merged = last_writes(appended.unionByName(folded.filter(unsettled)))
+    return folded.filter(~unsettled).unionByName(merged).drop("batch_id")
+
+
+def compact_days(spark: SparkSession, path: str, before: datetime.date | None = None) -> int:
+    """Folds the writes of all days, or those before a day, to one row per key; how many days.
+
+    Safe to repeat: the folded rows are staged, replace their days, and only then the writes
+    they come from go. Writes for a folded day that come later are folded in by the next call.
+    Run it when nobody writes to these days.
+    """
+    appended = _read(spark, f"{path}/appended")
+    days = [day for day in _days(appended) if before is None or day < before]
+    if not days:
+        return 0
+    chosen = _of_days(days) if before is None else _of_days(days) & (F.col("event_day") < before)
+    writes = appended.unionByName(_read(spark, f"{path}/folded")).filter(chosen)
+    with Staging(spark) as stage:
+        _write(stage(last_writes(writes), "days"), f"{path}/folded", "event_day")
+    for day in days:
+        remove_folder(spark, f"{path}/appended/event_day={day}")
+    return len(days)
 
 
 def upsert_days(events: DataFrame, batch_id: int, path: str) -> None:
     """Folds one row per key and day into the table at ``path``; safe to repeat.
 
     The new days are staged before they replace the old ones, because they are read from the
-    table that they go to.
+    table that they go to. If replacing them fails, the staged days are kept.
     """
     with Staging(events.sparkSession) as stage:
         numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long"))
         incoming = stage(numbered, "incoming")
-        days = incoming.select("event_day").distinct()
-        standing = _read(stage.spark, path).join(days, "event_day", "left_semi")
-        (
-            stage(last_writes(standing.unionByName(incoming)), "days")
-            .hint("rebalance", "event_day")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_day")
-            .parquet(path)
-        )
+        standing = standing_days(stage.spark, path, _days(incoming))
+        folded = stage(last_writes(standing.unionByName(incoming)), "days")
+        _write(folded, path, "event_day")
+
+
+def standing_days(spark: SparkSession, path: str, days: list[datetime.date]) -> DataFrame:
+    """The rows of these days in a table of ``upsert_days``; other days are not read."""
+    rows = _read(spark, path)
+    wanted = rows.filter(_of_days(days))
+    if len(days) > LISTED_DAYS:
+        found = spark.createDataFrame([(day,) for day in days], "event_day date")
+        wanted = wanted.join(found, "event_day", "left_semi")
+    return wanted

@@ -1,103 +1,115 @@
 """The log job over a bounded set of records, with open exchanges kept in a table.
 
-For a backlog, for a scheduler that runs batches, and as the body of a stream in large
-micro-batches (``streaming.log_job.start_log_batches``): no line passes through Python, and hot
-keys are split.
+For a backlog, for a scheduler that runs batches, and as the body of the stream
+(``streaming.log_job``). No line passes through Python.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-
-from wireloom.operators.assemble import (
-    DEFAULT_LIMITS,
-    Limits,
-    find_hot_keys,
-    log_segments,
-    summarise,
-)
-from wireloom.operators.lines import (
-    classify,
-    malformed,
-    parse_lines,
-    parse_records,
-    well_formed,
-)
-from wireloom.operators.route import EXPIRE_MINUTES, Reconciled, reconcile
-from wireloom.operators.upsert import append_batch
-from wireloom.plans.staging import Staging, remove_folder, staged
-from wireloom.schema import EXCHANGE
-
-
-def staged_lines(records: DataFrame) -> DataFrame:
-    """Classified lines in a table of their own: assembly reads them more than once."""
-    return staged(classify(parse_lines(records)), "log-lines")
-
-
-def reconcile_lines(
-    lines: DataFrame,
-    open_exchanges: DataFrame | None = None,
-    emit_fragments: bool = False,
-) -> Reconciled:
-    """Sums up the lines of a batch, stages that, and continues the open exchanges."""
-    if open_exchanges is None:
-        open_exchanges = lines.sparkSession.createDataFrame([], EXCHANGE)
-    exchanges = staged(summarise(lines), "exchanges")
-    return reconcile(exchanges, open_exchanges, emit_fragments=emit_fragments)
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from wireloom.operators.assemble import Summed, malformed_of, sum_pieces, summed
+from wireloom.operators.lines import classified_records, parse_records
+from wireloom.operators.route import EXPIRE_MINUTES, reconcile
+from wireloom.operators.upsert import append_batch, next_write
+from wireloom.plans.staging import Staging, remove_folder
+from wireloom.schema import EXCHANGE, TEXTS
+
+RUNS = "run string, base bigint"
 
 
 @dataclass(frozen=True)
 class LogTables:
-    """Folders of the job: events by day, the exchanges that each batch leaves open, records
-    that are no lines, and the text of over-long logs (see ``assemble``)."""
+    """Folders of the job: events by day, what each batch leaves open, records that are no
+    lines, what came without an open event, and the first write number of each run."""
 
     events: str
     open: str
     malformed: str
-    segments: str
+    dropped: str
+    runs: str
 
     @classmethod
     def under(cls, folder: str) -> LogTables:
-        return cls(*[f"{folder}/{name}" for name in ("events", "open", "malformed", "segments")])
+        names = ("events", "open", "malformed", "dropped", "runs")
+        return cls(*[f"{folder}/{name}" for name in names])
+
+
+@dataclass(frozen=True)
+class BatchCounts:
+    """What a batch kept apart: records that are no lines, and fragments without an event."""
+
+    malformed: int
+    dropped: int
+
+
+def first_write(spark: SparkSession, tables: LogTables, run: str) -> int:
+    """The write number of a run's batch 0.
+
+    Batches of a run are numbered from 0, so a run that starts over, such as a stream with a
+    new checkpoint, would overwrite the writes of the one before. Each run gets numbers above
+    all that the tables hold when it first writes.
+    """
+    try:
+        known = spark.read.schema(RUNS).parquet(tables.runs)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], RUNS)
+    found = known.filter(F.col("run") == run).agg(F.max("base")).first()[0]
+    if found is not None:
+        return found
+    base = max(next_write(spark, tables.events), 1 + (known.agg(F.max("base")).first()[0] or -1))
+    spark.createDataFrame([(run, base)], RUNS).coalesce(1).write.mode("append").parquet(tables.runs)
+    return base
 
 
 def run_log_batch(
     records: DataFrame,
     batch_id: int,
     tables: LogTables,
-    limits: Limits = DEFAULT_LIMITS,
     expire_minutes: int = EXPIRE_MINUTES,
     emit_fragments: bool = False,
-) -> None:
-    """One batch: continues what batch ``batch_id - 1`` left open, and writes the events.
-
-    Batches are numbered from 0. A batch that runs again replaces what it wrote, as long as
-    the next one has not run; snapshots before the last one are removed.
+    run: str = "",
+) -> BatchCounts:
+    """One batch: continues what batch ``batch_id - 1`` of the run left open, and writes the
+    events. The records are read once.
+
+    Batches of a run are numbered from 0. A batch that runs again replaces what it wrote, as
+    long as the next one has not run; snapshots before the last one are removed. Malformed
+    records and dropped fragments are kept in tables of their own, and counted.
     """
     spark = records.sparkSession
+    base = first_write(spark, tables, run)
 
     def part(table: str, number: int = batch_id) -> str:
-        return f"{table}/batch_id={number}"
+        return f"{table}/batch_id={base + number}"
 
+    before = Summed.nothing(spark)
     if batch_id:
-        before = spark.read.schema(EXCHANGE).parquet(part(tables.open, batch_id - 1))
-    else:
-        before = spark.createDataFrame([], EXCHANGE)
+        folder = part(tables.open, batch_id - 1)
+        before = Summed(
+            spark.read.schema(EXCHANGE).parquet(f"{folder}/exchanges"),
+            spark.read.schema(TEXTS).parquet(f"{folder}/texts"),
+        )
     with Staging(spark) as stage:
-        parsed = stage(classify(parse_records(records)), "parsed")
-        malformed(parsed).write.mode("overwrite").parquet(part(tables.malformed))
-        lines = well_formed(parsed)
-        hot = find_hot_keys(lines, limits)
-        if hot:
-            segments = log_segments(lines, limits, hot)
-            segments.write.mode("overwrite").parquet(part(tables.segments))
-        exchanges = stage(summarise(lines, limits, hot), "exchanges")
+        pieces = stage(sum_pieces(classified_records(parse_records(records))), "pieces")
+        malformed_of(pieces).write.mode("overwrite").parquet(part(tables.malformed))
+        batch = summed(pieces, base + batch_id)
+        batch = Summed(stage(batch.exchanges, "exchanges"), batch.texts)
         outcome = reconcile(
-            exchanges, before, expire_minutes=expire_minutes, emit_fragments=emit_fragments
+            batch, before, expire_minutes=expire_minutes, emit_fragments=emit_fragments
         )
-        append_batch(outcome.emitted, batch_id, tables.events)
-        outcome.open_exchanges.write.mode("overwrite").parquet(part(tables.open))
+        append_batch(outcome.emitted, base + batch_id, tables.events)
+        outcome.dropped.write.mode("overwrite").parquet(part(tables.dropped))
+        left = part(tables.open)
+        outcome.still_open.exchanges.write.mode("overwrite").parquet(f"{left}/exchanges")
+        outcome.still_open.texts.write.mode("overwrite").parquet(f"{left}/texts")
     if batch_id > 1:
         remove_folder(spark, part(tables.open, batch_id - 2))
+    count = lambda table: spark.read.parquet(part(table)).count()
+    return BatchCounts(count(tables.malformed), count(tables.dropped))

@@ -6,7 +6,14 @@ expressions, bodies are told apart by the request end, and batches are condition
 
 from __future__ import annotations
 
-from wireloom.plans.queries import IMPORT_MS, MIDDLE_MS, PARTNER, SLICE_DAYS
+from wireloom.plans.queries import (
+    IMPORT_MS,
+    MIDDLE_DAY,
+    NOTE_KEYS,
+    ODD_CONTENTS,
+    PARTNER,
+    SLICE_DAYS,
+)
 
 _OWN_KEY = "'req-' || event_id"
 _SHARED_KEY = "CASE WHEN event_id % 3 = 0 THEN 'shared' ELSE 'req-' || event_id END"
@@ -82,7 +89,8 @@ payloads AS (
     CASE WHEN kind IN ('request_start', 'other')
       THEN replace(regexp_extract(thread_name, '^[^:]*:(.*)-[^-]*$', 1), ':', '')
       END AS client_profile,
-    CASE WHEN kind LIKE 'event_%' THEN trim(split_part(content, ':', 2)) END AS header_value,
+    CASE WHEN kind LIKE 'event_%' AND regexp_matches(content, ':.*[^:]')
+      THEN trim(split_part(content, ':', 2)) END AS header_value,
     CASE WHEN kind = 'body' THEN content END AS body,
     CASE WHEN kind = 'response_start'
       THEN CAST(regexp_extract(content, '\(([0-9]+)ms\)$', 1) AS INTEGER) END AS duration_ms,
@@ -134,8 +142,7 @@ def _events(name: str = "ev", where: str = "TRUE") -> str:
 ),
 {name} AS (
   SELECT e.* EXCLUDE (first_ms), coalesce(start_ms, first_ms) AS event_ms,
-    nullif(regexp_extract(url, '//([^/]*)', 1), '') AS server, request_body, response_body,
-    CAST(0 AS BIGINT) AS other_log_segments
+    nullif(regexp_extract(url, '//([^/]*)', 1), '') AS server, request_body, response_body
   FROM {name}_folded e LEFT JOIN {name}_bodies USING (request_key)
 )"""
     )
@@ -164,8 +171,7 @@ ev AS (
     CASE WHEN n_all = 1 THEN CASE WHEN last_ms <= request_end_ms THEN last_body END
       WHEN last_down THEN last_body ELSE kept END AS request_body,
     CASE WHEN n_all = 1 THEN CASE WHEN last_ms <= request_end_ms THEN NULL ELSE last_body END
-      WHEN last_down THEN kept ELSE last_body END AS response_body,
-    CAST(0 AS BIGINT) AS other_log_segments
+      WHEN last_down THEN kept ELSE last_body END AS response_body
   FROM ev_folded e LEFT JOIN ends USING (request_key)
 )"""
     )
@@ -178,7 +184,7 @@ def _with(*parts: str) -> str:
 _LOG = (_records(), _CUT, _PAYLOADS)
 _DAY = "strftime(make_timestamp(({ms} + 28800000) * 1000), '%Y-%m-%d')"
 _REQUESTS = "off % 16 < 8"
-_EARLY = f"log_ms < {MIDDLE_MS}"
+_EARLY = f"{_DAY.format(ms='log_ms')} < '{MIDDLE_DAY}'"
 _EVENT_DAY = _DAY.format(ms="event_ms")
 
 _POINTS = "CAST(floor(greatest(c_acctbal, 0) * 2) AS BIGINT)"
@@ -290,8 +296,7 @@ clock AS (
     (SELECT min(start_ms) FROM late WHERE end_ms IS NOT NULL),
     (SELECT min(event_ms) FROM late JOIN open USING (request_key) WHERE start_ms IS NULL)) AS ms
 )
-SELECT request_key, 'timeout' AS status, {_EVENT_DAY} AS event_day, start_ms, end_ms,
-  request_body, duration_ms
+SELECT whole.*, 'timeout' AS status, {_EVENT_DAY} AS event_day
 FROM whole JOIN open USING (request_key), clock
 WHERE end_ms IS NULL AND (clock.ms - start_ms) // 60000 > 15"""
     )
@@ -299,13 +304,33 @@ WHERE end_ms IS NULL AND (clock.ms - start_ms) // 60000 > 15"""
         _with(*_LOG, _events())
         + f" SELECT *, 'complete' AS status, {_EVENT_DAY} AS event_day FROM ev"
     )
-    streamed = (
-        _with(*_LOG, _events())
-        + f""" SELECT ev.*, CASE WHEN end_ms IS NULL THEN 'timeout' ELSE 'complete' END AS status,
-  {_EVENT_DAY} AS event_day
-FROM ev, (SELECT max(log_ms) AS newest FROM lines)
-WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR start_ms + 16 * 60000 <= newest)"""
+    dropped = (
+        _with(*_LOG, _events("early", _EARLY), _events("late", f"NOT ({_EARLY})"))
+        + f""",
+open AS (SELECT request_key FROM early WHERE start_ms IS NOT NULL AND end_ms IS NULL),
+stray AS (
+  SELECT * FROM early WHERE start_ms IS NULL
+  UNION ALL BY NAME
+  SELECT * FROM late WHERE start_ms IS NULL AND request_key NOT IN (SELECT request_key FROM open)
+)
+SELECT *, 'dropped' AS status, {_EVENT_DAY} AS event_day FROM stray"""
+    )
+    odd = " ".join(
+        f"WHEN {number} THEN " + (f"' DEBUG c.f.Client {content}'" if content else "''")
+        for number, content in enumerate(ODD_CONTENTS)
     )
+    odd_records = f"""
+odd AS (
+  SELECT topic, part, off,
+    regexp_extract(line, '^[^ ]* [^ ]* [^ ]* [^ ]*') || CASE off % 16 {odd} END AS line FROM rec
+)"""
+    malformed = """ SELECT topic, part AS "partition", off AS "offset",
+  CASE WHEN off % 11 = 0 THEN left(line, 23) ELSE replace(line, ',', ';') END AS "value",
+  CASE WHEN off % 11 = 0 THEN 'too few words' ELSE 'bad time' END AS reason
+FROM rec WHERE off % 11 = 0 OR off % 13 = 0"""
+    fragment_columns = """ SELECT request_key, kind, log_ms, topic, part AS "partition", off AS "offset",
+  method, url, client, client_profile, header_value, body, duration_ms, http_status,
+  server_profile, other_log FROM payloads"""
     first, second = SLICE_DAYS
     in_batches = (
         _with(*_LOG, _events())
@@ -330,11 +355,8 @@ WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR EXISTS (
     )
     return {
         "log_lines": _with(_records(), _CUT) + f" SELECT {line_columns} FROM lines",
-        "malformed_lines": _with(_records())
-        + """ SELECT topic, part AS "partition", off AS "offset",
-  CASE WHEN off % 11 = 0 THEN left(line, 23) ELSE replace(line, ',', ';') END AS "value",
-  CASE WHEN off % 11 = 0 THEN 'too few words' ELSE 'bad time' END AS reason
-FROM rec WHERE off % 11 = 0 OR off % 13 = 0""",
+        "malformed_lines": _with(_records()) + malformed,
+        "batch_malformed": _with(_records()) + malformed,
         "thread_client": _with(_records(), _CUT)
         + r""", names AS (
   SELECT DISTINCT CASE part WHEN 0 THEN thread_name WHEN 1 THEN replace(thread_name, ':', '-')
@@ -347,10 +369,11 @@ SELECT thread_name,
     THEN replace(regexp_extract(thread_name, '^[^:]*:(.*)-[^-]*$', 1), ':', '')
     ELSE '' END AS client_profile
 FROM names""",
-        "fragments": _with(*_LOG)
-        + """ SELECT request_key, kind, log_ms, topic, part AS "partition", off AS "offset",
-  method, url, client, client_profile, header_value, body, duration_ms, http_status,
-  server_profile, other_log FROM payloads""",
+        "fragments": _with(*_LOG) + fragment_columns,
+        "odd_fragments": _with(
+            _records(), odd_records, _CUT.replace("FROM rec", "FROM odd"), _PAYLOADS
+        )
+        + fragment_columns,
         "fragment_counts": _with(_records(), _CUT)
         + " SELECT kind, count(*) AS n FROM lines GROUP BY kind",
         "request_start_server": _with(*_LOG)
@@ -379,10 +402,15 @@ FROM ev WHERE start_ms IS NOT NULL ORDER BY start_ms, request_key""",
         "expired_events": expired,
         "upserted_events": upserted,
         "upserted_days": upserted,
+        "compacted_events": upserted,
+        "dropped_fragments": dropped,
+        "long_logs": f"""SELECT 'user-' || (user_id % {NOTE_KEYS}) AS request_key, 'complete' AS status,
+  string_agg('note ' || event_id, ' ; ' ORDER BY event_id % 3, event_id) AS other_log
+FROM events GROUP BY 1""",
         "last_written_events": _with(*_LOG, _events())
         + f""" SELECT request_key, {_EVENT_DAY} AS event_day, 'complete' AS status,
   CAST(1 AS BIGINT) AS batch_id FROM ev""",
-        "streamed_events": streamed,
+        "streamed_events": in_batches,
         "streamed_batches": in_batches,
         "member_rows": _with(_PARTNER_ROWS, _new_rows()) + " SELECT * FROM fresh",
         "member_points": _with(_PARTNER_ROWS)

@@ -5,6 +5,7 @@ Times come out as epoch milliseconds and days as text, so no time zone setting c
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from wireloom.functions.clock import whole_minutes
 from wireloom.functions.text import client_of, client_profile_of, server_of
 from wireloom.operators import lines as L
-from wireloom.operators.assemble import Limits, assemble, summarise, to_events
+from wireloom.operators.assemble import assemble, summarise, to_events
 from wireloom.operators.lines import classify, fragments, malformed_lines, parse_lines
 from wireloom.operators.members import (
     first_per_member,
@@ -31,22 +32,28 @@ from wireloom.operators.route import (
     with_completeness,
     with_event_day,
 )
-from wireloom.operators.upsert import append_batch, last_writes, read_events, upsert_days
-from wireloom.plans.log_batch import LogTables, reconcile_lines, staged_lines
+from wireloom.operators.upsert import (
+    append_batch,
+    compact_days,
+    last_writes,
+    read_events,
+    upsert_days,
+)
+from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.plans.member_import import run_import
-from wireloom.plans.staging import new_folder, staged
-from wireloom.schema import EXCHANGE, MEMBER_CSV, MEMBER_TABLE
+from wireloom.plans.staging import Staging, new_folder
+from wireloom.schema import EXCHANGE, LOG_RECORD, MEMBER_CSV, MEMBER_TABLE
 from wireloom.sources.derived import log_records, new_members, old_members, table
 from wireloom.sources.logs import record_files
 from wireloom.sources.members import read_member_csv
-from wireloom.streaming.log_job import start_log_batches, start_log_job
+from wireloom.streaming.log_job import start_log_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PARTNER = "P1"
 IMPORT_MS = 1_700_000_000_000
-# Middle of the period of the events table, as epoch millis on the log clock.
-MIDDLE_MS = 1_705_334_400_000
+# A day in the middle of the period of the events table, on the log clock.
+MIDDLE_DAY = "2024-01-16"
 
 
 def records(spark: SparkSession, folder: str, key: Column | None = None) -> DataFrame:
@@ -57,8 +64,8 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return parse_lines(records(spark, folder))
 
 
-def _staged(spark: SparkSession, folder: str) -> DataFrame:
-    return staged_lines(records(spark, folder))
+def _classified(spark: SparkSession, folder: str, key: Column | None = None) -> DataFrame:
+    return classify(parse_lines(records(spark, folder, key)))
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -87,14 +94,41 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(_lines(spark, folder))
 
 
-def bad_lines(spark: SparkSession, folder: str) -> DataFrame:
+def _with_bad_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every 11th record is cut short and every 13th has a broken time."""
     value = (
         F.when(F.col("offset") % 11 == 0, F.left("value", F.lit(23)))
         .when(F.col("offset") % 13 == 0, F.replace("value", F.lit(","), F.lit(";")))
         .otherwise(F.col("value"))
     )
-    return malformed_lines(records(spark, folder).withColumn("value", value))
+    return records(spark, folder).withColumn("value", value)
+
+
+def bad_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return malformed_lines(_with_bad_lines(spark, folder))
+
+
+# Contents that the derived log lacks, by the place of a line in its exchange; null ends the
+# line at its key.
+ODD_CONTENTS = (
+    "---> RETRYING", "X-EVENT-ID: E1", "<xml>1</xml>", None, " ---> GET http://h/x HTTP/1.1",
+    "x-event-id::b", "<--- HTTP/1.1 200 OK {x} (5ms)", "x-event-code:", "x-Event-Type: a",
+    "X-Application-Context: a:b:c", "X-Event-Platform:  P 1  ", "<--- END {", "---> END <xml>",
+)
+
+
+def odd_fragments(spark: SparkSession, folder: str) -> DataFrame:
+    """Fragments of the log with other contents: odd spellings, blanks, braces, none at all."""
+    words = F.split("value", " ", 7)
+    head = F.array_join(F.slice(words, 1, 6), " ")
+    value = F.array_join(F.slice(words, 1, 4), " ")
+    place = F.col("offset") % 16
+    for number, content in enumerate(ODD_CONTENTS):
+        if content is not None:
+            odd = F.concat(head, F.lit(f" {content}"))
+            value = F.when(place == number, odd).otherwise(value)
+    odd = records(spark, folder).withColumn("value", value)
+    return _plain(fragments(parse_lines(odd)))
 
 
 def thread_client(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,32 +167,31 @@ def request_start_server(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def assembled_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(assemble(_staged(spark, folder)))
+    return _plain(assemble(_classified(spark, folder)))
 
 
 def assembled_shared_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """A third of all lines carries one request key, which is summed up in pieces."""
+    """A third of all lines carries one request key."""
     own = F.concat(F.lit("req-"), F.col("event_id").cast("string"))
     key = F.when(F.col("event_id") % 3 == 0, F.lit("shared")).otherwise(own)
-    lines = staged_lines(records(spark, folder, key))
-    return _plain(assemble(lines, Limits(hot_lines=1_000)))
+    return _plain(assemble(_classified(spark, folder, key)))
 
 
 def event_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    events = assemble(_staged(spark, folder))
+    events = assemble(_classified(spark, folder))
     return events.select("request_key", "request_body", "response_body")
 
 
 def completeness(spark: SparkSession, folder: str) -> DataFrame:
-    events = with_completeness(assemble(_staged(spark, folder)))
+    events = with_completeness(assemble(_classified(spark, folder)))
     return events.select("request_key", "completeness")
 
 
 def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
     """Events with a start in their order, and the minutes since the clock of the batch."""
-    exchanges = staged(summarise(_staged(spark, folder)), "exchanges")
-    clock = batch_clock(exchanges, _no_open(spark))
-    ordered = by_start(to_events(exchanges))
+    known = summarise(_classified(spark, folder))
+    clock = batch_clock(known.exchanges, _no_open(spark))
+    ordered = by_start(to_events(known.exchanges, known.texts))
     return ordered.select(
         "request_key",
         F.unix_millis("start_time").alias("start_ms"),
@@ -168,7 +201,7 @@ def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events per day, written to a day table and read back from it."""
-    events = with_completeness(assemble(_staged(spark, folder)))
+    events = with_completeness(assemble(_classified(spark, folder)))
     emitted = with_event_day(events.withColumnRenamed("completeness", "status"))
     path = new_folder(spark, "daily-events")
     append_batch(emitted, 0, path)
@@ -184,36 +217,92 @@ def daily_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _in_batches(spark: SparkSession, batches: list[DataFrame], **rules) -> LogTables:
+    """Tables of the log job after these batches of records."""
+    tables = LogTables.under(new_folder(spark, "log-tables"))
+    for number, batch in enumerate(batches):
+        run_log_batch(batch, number, tables, **rules)
+    return tables
+
+
+def _written(spark: SparkSession, tables: LogTables, batch: int) -> DataFrame:
+    """The rows that one batch wrote."""
+    rows = spark.read.parquet(f"{tables.events}/appended")
+    return rows.filter(F.col("batch_id") == batch).drop("batch_id")
+
+
 def attached_fragments(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches: what comes before the response in the first one, the rest in the second."""
-    lines = _staged(spark, folder)
-    requests = F.col("offset") % 16 < 8
-    first = reconcile_lines(lines.filter(requests))
-    second = reconcile_lines(
-        lines.filter(~requests), first.open_exchanges, emit_fragments=True
-    )
-    return _plain(second.emitted)
+    log, requests = records(spark, folder), F.col("offset") % 16 < 8
+    batches = [log.filter(requests), log.filter(~requests)]
+    return _plain(_written(spark, _in_batches(spark, batches, emit_fragments=True), 1))
+
+
+def _two_periods(spark: SparkSession, folder: str) -> LogTables:
+    log, early = records(spark, folder), F.substring("value", 1, 10) < MIDDLE_DAY
+    return _in_batches(spark, [log.filter(early), log.filter(~early)])
 
 
 def expired_events(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches cut by time: open events of the first one that the second one gives up."""
-    lines = _staged(spark, folder)
-    early = F.unix_millis("log_ts") < MIDDLE_MS
-    first = reconcile_lines(lines.filter(early))
-    second = reconcile_lines(lines.filter(~early), first.open_exchanges)
-    expired = second.emitted.filter(F.col("status") == TIMEOUT)
-    return _plain(expired).select(
-        "request_key", "status", "event_day", "start_ms", "end_ms", "request_body", "duration_ms"
-    )
+    written = _written(spark, _two_periods(spark, folder), 1)
+    return _plain(written.filter(F.col("status") == TIMEOUT))
+
+
+def dropped_fragments(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches cut by time: what came without an open event, as kept by the job."""
+    return _plain(spark.read.parquet(_two_periods(spark, folder).dropped).drop("batch_id"))
+
+
+def batch_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches with broken records among them: what the job kept of these."""
+    log, early = _with_bad_lines(spark, folder), F.col("offset") % 32 < 16
+    tables = _in_batches(spark, [log.filter(early), log.filter(~early)])
+    return spark.read.parquet(tables.malformed).drop("batch_id")
+
+
+# Keys among which the notes of ``long_logs`` are dealt.
+NOTE_KEYS = 20
+
+
+def long_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches of nothing but other log for a few open exchanges; their whole text."""
+    events = table(spark, folder, "events")
+    prefix = F.lit("2024-01-10 10:00:00,000 a-b-c:d-1 user-")
+
+    def lines(rows: DataFrame, user: Column, offset: Column, content: Column) -> DataFrame:
+        value = F.concat(prefix, user.cast("string"), F.lit(" DEBUG c.f.Client "), content)
+        columns = (F.lit("applog"), F.lit(0), offset, value)
+        return rows.select(
+            *[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, LOG_RECORD)]
+        )
+
+    user, number = F.col("user_id") % NOTE_KEYS, F.col("event_id")
+    notes = [
+        lines(
+            events.filter(number % 3 == batch),
+            user,
+            number,
+            F.concat(F.lit("note "), number.cast("string")),
+        )
+        for batch in range(3)
+    ]
+    users = events.select(user.alias("user")).distinct()
+    one = F.col("user")
+    starts = lines(users, one, one - NOTE_KEYS, F.lit("---> GET http://h/x HTTP/1.1"))
+    ends = lines(users, one, one + (1 << 40), F.lit("<--- END HTTP"))
+    batches = [notes[0].unionByName(starts), notes[1], notes[2].unionByName(ends)]
+    events_path = _in_batches(spark, batches).events
+    return read_events(spark, events_path).select("request_key", "status", "other_log")
 
 
 def _two_writes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All events, first as known before the response, then as known in the end."""
-    lines = _staged(spark, folder)
-    early = summarise(lines.filter(F.col("offset") % 16 < 8))
+    lines = _classified(spark, folder)
+    early, final = summarise(lines.filter(F.col("offset") % 16 < 8)), summarise(lines)
     return (
-        to_emitted(early.withColumn("status", F.lit("fragment"))),
-        to_emitted(summarise(lines).withColumn("status", F.lit("complete"))),
+        to_emitted(early.exchanges.withColumn("status", F.lit("fragment")), early.texts),
+        to_emitted(final.exchanges.withColumn("status", F.lit("complete")), final.texts),
     )
 
 
@@ -221,9 +310,22 @@ def upserted_events(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of the same keys in one table, both delivered twice."""
     early, final = _two_writes(spark, folder)
     path = new_folder(spark, "upserted-events")
-    early, final = staged(early, "early-write"), staged(final, "final-write")
-    for batch_id, batch in ((0, early), (1, final), (1, final), (0, early)):
-        append_batch(batch, batch_id, path)
+    with Staging(spark) as stage:
+        early, final = stage(early, "early"), stage(final, "final")
+        for batch_id, batch in ((0, early), (1, final), (1, final), (0, early)):
+            append_batch(batch, batch_id, path)
+    return _plain(read_events(spark, path))
+
+
+def compacted_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The same two batches, with the days folded after each; the later half of the days is
+    read from writes that are not folded."""
+    early, final = _two_writes(spark, folder)
+    path = new_folder(spark, "compacted-events")
+    append_batch(early, 0, path)
+    compact_days(spark, path)
+    append_batch(final, 1, path)
+    compact_days(spark, path, before=datetime.date.fromisoformat(MIDDLE_DAY))
     return _plain(read_events(spark, path))
 
 
@@ -246,6 +348,8 @@ def last_written_events(spark: SparkSession, folder: str) -> DataFrame:
 
 # Days at which the stream source is cut into three slices.
 SLICE_DAYS = ("2024-01-11", "2024-01-21")
+# Files of a slice.
+SLICE_FILES = 4
 
 
 def _slices(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -258,40 +362,37 @@ def _slices(spark: SparkSession, folder: str) -> list[DataFrame]:
     first, second = SLICE_DAYS
     parts = (day < first, (day >= first) & (day < second), day >= second)
     exchange = F.shiftright("offset", 4)
-    return [log.filter(part).repartition(4, exchange) for part in parts]
+    return [log.filter(part).repartition(SLICE_FILES, exchange) for part in parts]
 
 
-def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole log through the stream with keyed state."""
-    source = new_folder(spark, "stream-source")
-    for part in _slices(spark, folder):
-        part.write.mode("append").parquet(source)
-    events = new_folder(spark, "stream-events")
+def _stream(spark: SparkSession, tables: LogTables, source: str, checkpoint: str, files: int) -> None:
     query = start_log_job(
-        record_files(spark, source, files_per_trigger=4),
-        events,
-        new_folder(spark, "stream-checkpoint"),
+        record_files(spark, source, files_per_trigger=files),
+        tables,
+        checkpoint,
         trigger={"availableNow": True},
-        lateness_minutes=60 * 24 * 60,
     )
     query.awaitTermination()
-    return _plain(read_events(spark, events))
+
+
+def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole log through the stream, a micro-batch for each slice."""
+    source = new_folder(spark, "stream-source")
+    for part in _slices(spark, folder):
+        part.write.mode("append").parquet(source)
+    tables = LogTables.under(new_folder(spark, "stream-tables"))
+    _stream(spark, tables, source, new_folder(spark, "stream-checkpoint"), SLICE_FILES)
+    return _plain(read_events(spark, tables.events))
 
 
 def streamed_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole log through the stream in micro-batches, restarted after each slice."""
-    source, tables = new_folder(spark, "batch-source"), new_folder(spark, "batch-tables")
-    checkpoint = new_folder(spark, "batch-checkpoint")
+    """The whole log through the stream, restarted after each slice."""
+    source, checkpoint = new_folder(spark, "batch-source"), new_folder(spark, "batch-checkpoint")
+    tables = LogTables.under(new_folder(spark, "batch-tables"))
     for part in _slices(spark, folder):
         part.write.mode("append").parquet(source)
-        query = start_log_batches(
-            record_files(spark, source, files_per_trigger=1000),
-            LogTables.under(tables),
-            checkpoint,
-            trigger={"availableNow": True},
-        )
-        query.awaitTermination()
-    return _plain(read_events(spark, LogTables.under(tables).events))
+        _stream(spark, tables, source, checkpoint, 1000)
+    return _plain(read_events(spark, tables.events))
 
 
 # Members
@@ -380,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "malformed_lines": bad_lines,
     "thread_client": thread_client,
     "fragments": all_fragments,
+    "odd_fragments": odd_fragments,
     "fragment_counts": fragment_counts,
     "request_start_server": request_start_server,
     "assembled_events": assembled_events,
@@ -390,7 +492,11 @@ QUERIES: dict[str, Query] = {
     "daily_events": daily_events,
     "attached_fragments": attached_fragments,
     "expired_events": expired_events,
+    "dropped_fragments": dropped_fragments,
+    "batch_malformed": batch_malformed,
+    "long_logs": long_logs,
     "upserted_events": upserted_events,
+    "compacted_events": compacted_events,
     "upserted_days": upserted_days,
     "last_written_events": last_written_events,
     "streamed_events": streamed_events,

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session without that setting gets a temporary folder.
-    """
+    """Folder that all executors share: ``spark.checkpoint.dir`` of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="wireloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
@@ -38,17 +30,12 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to a table of its own and reads it back.
+class Staging:
+    """Intermediate tables of one run, removed at its end.
 
-    Unlike a cache the table survives lost executors, and later plans read only the columns
-    they use. It stays until someone removes it; see ``Staging`` for tables of a single run.
+    Unlike a cache they survive lost executors, and later plans read only the columns they use.
+    After an error they stay: what failed half-way may need them.
     """
-    return _written(df, new_folder(df.sparkSession, name))
-
-
-class Staging:
-    """Intermediate tables of one run, removed at its end."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -60,5 +47,6 @@ class Staging:
     def __enter__(self) -> Staging:
         return self
 
-    def __exit__(self, *_) -> None:
-        remove_folder(self.spark, self.folder)
+    def __exit__(self, failed, *_) -> None:
+        if failed is None:
+            remove_folder(self.spark, self.folder)

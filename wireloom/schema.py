@@ -72,8 +72,18 @@ EXCHANGE = T.StructType(
         ),
         T.StructField("end_ts", T.TimestampType()),
         T.StructField("bodies", BODY_CHAIN),
+    ]
+)
+
+# Other log text of an exchange, a row for each piece of it.
+TEXTS = T.StructType(
+    [
+        T.StructField("request_key", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("piece", T.LongType()),
         T.StructField("other_log", T.StringType()),
-        T.StructField("other_log_segments", T.LongType()),
     ]
 )
 
@@ -98,7 +108,6 @@ EVENTS = T.StructType(
         T.StructField("duration_ms", T.IntegerType()),
         T.StructField("end_time", T.TimestampType()),
         T.StructField("other_log", T.StringType()),
-        T.StructField("other_log_segments", T.LongType()),
         T.StructField("client", T.StringType()),
         T.StructField("client_profile", T.StringType()),
         T.StructField("response_start_time", T.TimestampType()),

@@ -31,17 +31,14 @@ def kafka_stream(
     servers: str,
     topics: str,
     options: Mapping[str, str] | None = None,
-    max_records: int = 500_000,
 ) -> DataFrame:
     """Stream of log records, from the earliest offset unless a checkpoint knows better.
 
-    ``max_records`` bounds a micro-batch, and with it what one key can bring into it.
-    Consumer settings go into ``options`` with the prefix ``kafka.``.
+    Consumer settings go into ``options`` with the prefix ``kafka.``. A micro-batch takes all
+    that has come; ``maxOffsetsPerTrigger`` bounds it where a backlog should be worked off in
+    parts.
     """
-    settings = {
-        "maxOffsetsPerTrigger": str(max_records),
-        **_options(servers, topics, options),
-    }
+    settings = _options(servers, topics, options)
     return as_records(spark.readStream.format("kafka").options(**settings).load())
 
 

@@ -1,143 +1,50 @@
-"""The log job: records in, events by day out, open exchanges in keyed state."""
+"""The log job as a stream: records in, events by day out, open exchanges in a table."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from wireloom.operators.lines import classify, malformed_lines, parse_lines
-from wireloom.operators.route import EXPIRE_MINUTES, to_emitted
-from wireloom.operators.upsert import append_batch
-from wireloom.plans.log_batch import LogTables, run_log_batch
-from wireloom.streaming import exchange_state
-from wireloom.streaming.exchange_state import (
-    DROPPED,
-    OUTPUT,
-    ExchangeProcessor,
-    to_exchanges,
-    to_input,
-)
+from wireloom.plans.log_batch import BatchCounts, LogTables, run_log_batch
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-MINUTE_MS = 60_000
 
-# The processor travels whole, so workers need not have this package installed.
-cloudpickle.register_pickle_by_value(exchange_state)
-
-
-def event_stream(
-    records: DataFrame,
-    expire_minutes: int = EXPIRE_MINUTES,
-    lateness_minutes: int = 7 * 24 * 60,
-    emit_fragments: bool = False,
-) -> DataFrame:
-    """Stream of emitted rows from a stream of log records.
-
-    An exchange expires once the newest line is ``expire_minutes + 1`` minutes past its start.
-    Spark drops lines behind the watermark, which would lose whole exchanges of a source
-    partition that lags. So the watermark trails by ``lateness_minutes`` more, and the timers
-    stand as much earlier: the expiry rule is the same, and state lives no longer.
-
-    The observed metric ``exchanges`` counts the rows of each status in every micro-batch,
-    dropped ones included.
-    """
-    expiry_ms = (expire_minutes + 1) * MINUTE_MS
-    shift_ms = lateness_minutes * MINUTE_MS
-    lines = classify(parse_lines(records)).withWatermark(
-        "log_ts", f"{expiry_ms + shift_ms} milliseconds"
-    )
-    decided = (
-        to_input(lines)
-        .groupBy("request_key")
-        .transformWithState(
-            ExchangeProcessor(shift_ms, emit_fragments), OUTPUT, "Append", "EventTime"
-        )
-    )
-    counted = decided.observe(
-        "exchanges",
-        *[
-            F.count_if(F.col("status") == status).alias(status)
-            for status in ("complete", "timeout", "fragment", DROPPED)
-        ],
-    )
-    return to_emitted(to_exchanges(counted.filter(F.col("status") != DROPPED)))
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint; a new checkpoint is a new run."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start_log_job(
-    records: DataFrame,
-    events_path: str,
-    checkpoint: str,
-    trigger: Mapping[str, object] | None = None,
-    write_partitions: int | None = None,
-    **rules,
-) -> StreamingQuery:
-    """Starts the job; ``rules`` go to ``event_stream``. Stop it with ``query.stop()``.
-
-    Progress is in ``checkpoint``. A batch that is delivered again after a failure overwrites
-    its own rows. ``write_partitions`` bounds the files of a batch.
-    """
-    records.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass", ROCKSDB
-    )
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.repartition(write_partitions) if write_partitions else batch
-        append_batch(rows, batch_id, events_path)
-
-    return (
-        event_stream(records, **rules)
-        .writeStream.queryName("log-events")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
-    )
-
-
-def start_log_batches(
     records: DataFrame,
     tables: LogTables,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
+    report: Callable[[int, BatchCounts], None] | None = None,
     **rules,
 ) -> StreamingQuery:
-    """The job in large micro-batches; ``rules`` go to ``plans.log_batch.run_log_batch``.
+    """Starts the job; ``rules`` go to ``run_log_batch``. Stop it with ``query.stop()``.
 
-    Every micro-batch takes a few Spark jobs, so this suits high volume rather than low
-    latency. Exchanges expire by the clock of the batch: the time of the first event that it
-    gives out.
+    Progress is in ``checkpoint``. A batch that is delivered again after a failure replaces its
+    own rows. Exchanges expire by the clock of the batch, the time of the first event that it
+    gives out; so neither a source partition that runs ahead nor a line with a time in the
+    future expires what others still wait for. ``report`` gets the counts of each batch.
+
+    A micro-batch takes a few Spark jobs. The trigger is how long events may wait; without one
+    a batch starts when the one before is done.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_log_batch(batch, batch_id, tables, **rules)
+        run_id = run_of(batch.sparkSession, checkpoint)
+        counts = run_log_batch(batch, batch_id, tables, run=run_id, **rules)
+        if report:
+            report(batch_id, counts)
 
     return (
-        records.writeStream.queryName("log-batches")
+        records.writeStream.queryName("log-events")
         .foreachBatch(run)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
-    )
-
-
-def start_malformed_job(
-    records: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: Mapping[str, object] | None = None,
-) -> StreamingQuery:
-    """Keeps the records that are no log lines, by reason."""
-    return (
-        malformed_lines(records)
-        .writeStream.queryName("malformed-log-lines")
-        .format("parquet")
-        .partitionBy("reason")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
         .start()
     )

@@ -120,6 +120,15 @@ def test_groups_are_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_each_side_is_scanned_once(spark, tmp_path):
+    for name, rows in (("new", to_member_rows(new_rows(spark, [("a", 1)]), "P", now())),
+                       ("old", old_rows(spark, ["a", None]))):
+        rows.write.parquet(str(tmp_path / name))
+    new, old = (spark.read.parquet(str(tmp_path / name)) for name in ("new", "old"))
+    plan = merge_members(new, old, now())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
 def test_old_rows_without_member_id_pass(spark):
     got = merge_members(
         to_member_rows(new_rows(spark, [("a", 1)]), "P", now()), old_rows(spark, [None, None]), now()
@@ -210,17 +219,45 @@ def test_jdbc_read_options(spark):
     rows = spark.range(3)
     reader = _Recorder(rows)
     read_member_table(_Session(reader), "u", "t", {"user": "x"}, column="k", bounds=(0, 9))
+    size = {"fetchsize": "10000"}
     assert reader.calls == [
         (
             "jdbc",
             ("u", "t"),
             dict(column="k", lowerBound=0, upperBound=9, numPartitions=20,
-                 properties={"user": "x"}),
+                 properties={"user": "x", **size}),
         )
     ]
-    with pytest.raises(ValueError, match="more than 2 rows"):
-        read_member_table(_Session(_Recorder(rows)), "u", "t", row_cap=2)
-    assert read_member_table(_Session(_Recorder(rows)), "u", "t", row_cap=3) is rows
+    reader = _Recorder(rows)
+    read_member_table(_Session(reader), "u", "t", predicates=["a < 1", "a >= 1"], fetch_size=5)
+    assert reader.calls == [
+        ("jdbc", ("u", "t"), dict(predicates=["a < 1", "a >= 1"], properties={"fetchsize": "5"}))
+    ]
+    with pytest.raises(ValueError, match="split"):
+        read_member_table(_Session(_Recorder(rows)), "u", "t")
+
+
+@pytest.mark.parametrize("column", ["point", "partner_point", "convert_status", "generation_time"])
+def test_unreadable_old_rows_stop_the_import(spark, tmp_path, column):
+    (tmp_path / "in.csv").write_text("c0,n,a,p,1,x\n")
+    old = old_rows(spark, ["a", "b", "c"]).drop("unreadable")
+    odd = F.when(F.col("id") == "b", F.lit("many")).otherwise(F.col(column).cast("string"))
+    with pytest.raises(ValueError, match="1 old rows have values .* unchanged") as error:
+        run_import(
+            read_member_csv(spark, str(tmp_path / "in.csv")),
+            old.withColumn(column, odd),
+            "P",
+            lambda rows: pytest.fail("table was replaced"),
+            now(),
+        )
+    (row,) = spark.read.parquet(str(error.value).rsplit(" ", 1)[1]).collect()
+    assert (row.id, row.unreadable) == ("b", column)
+
+
+def test_null_old_values_still_get_defaults(spark, tmp_path):
+    old = old_rows(spark, ["a"]).withColumn("point", F.lit(None).cast("string"))
+    (row,) = normalised_old_rows(old, "seq").collect()
+    assert row.point == 0 and row.unreadable == ""
 
 
 def test_jdbc_write_options():

@@ -66,7 +66,11 @@ def to_member_rows(
 
 
 def normalised_old_rows(rows: DataFrame, *keep: str) -> DataFrame:
-    """Existing rows with the types and defaults of the member table."""
+    """Existing rows with the types and defaults of the member table.
+
+    Defaults stand for null only. What could not be read is named in ``unreadable``; such rows
+    must not be written back.
+    """
     typed = as_member_rows(rows, *keep)
     zero, empty = F.lit(0).cast("long"), F.lit("")
     return typed.withColumns(
@@ -96,7 +100,7 @@ def merge_members(
     ``merged`` tells whether a row comes from more than one. Old rows without a member id
     belong to no member and pass unchanged.
 
-    One shuffle. Only the first two rows of a member matter, and Spark keeps no more of them
+    One shuffle, and one scan of either side. Only the first two rows of a member matter, and Spark keeps no more of them
     per map task (the filter on ``row_number`` limits groups before the shuffle), so a member
     id that fills a third of the rows is as cheap as any other.
     """
@@ -116,14 +120,16 @@ def merge_members(
         nothing.cast(new.schema["seq"].dataType).alias("new_seq"),
         F.col("seq").alias("old_seq"),
     )
-    keyed = new_side.unionByName(old_side.filter(F.col("partner_member_id").isNotNull()))
-    unkeyed = old_side.filter(F.col("partner_member_id").isNull())
+    # A row without a member id is a group of its own.
+    own = F.when(F.col("partner_member_id").isNull(), F.monotonically_increasing_id())
+    rows = new_side.unionByName(old_side).withColumn("own", own)
 
-    in_order = Window.partitionBy("partner_member_id").orderBy(*order)
-    pairs = keyed.withColumn("place", F.row_number().over(in_order)).filter(
+    member = ["partner_member_id", "own"]
+    in_order = Window.partitionBy(*member).orderBy(*order)
+    pairs = rows.withColumn("place", F.row_number().over(in_order)).filter(
         F.col("place") <= 2
     )
-    by_place = Window.partitionBy("partner_member_id").orderBy(*order)
+    by_place = Window.partitionBy(*member).orderBy(*order)
     followed = pairs.withColumn(
         "second",
         F.lead(F.struct(*KEPT_FROM_SECOND)).over(by_place),
@@ -138,10 +144,9 @@ def merge_members(
     )
     for name in KEPT_FROM_SECOND:
         result[name] = F.when(merged, F.col("second")[name]).otherwise(F.col(name))
-    chosen = followed.select(
+    return followed.select(
         *[value.alias(name) for name, value in result.items()], merged.alias("merged")
     )
-    return chosen.unionByName(unkeyed.select(*columns, F.lit(False).alias("merged")))
 
 
 def lacks_required() -> Column:

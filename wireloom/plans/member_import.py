@@ -15,12 +15,12 @@ from wireloom.operators.members import (
     merge_members,
     normalised_old_rows,
     reject_reason,
-    rejected_rows,
     to_member_rows,
 )
-from wireloom.plans.staging import new_folder
+from wireloom.plans.staging import Staging, new_folder
 from wireloom.schema import MEMBER_TABLE
 from wireloom.sources.members import (
+    UNREADABLE,
     as_member_rows,
     read_member_csv,
     read_member_table,
@@ -50,19 +50,17 @@ def import_members(
     parallelism: int = 20,
     import_time: Column | None = None,
     dedupe_new: bool = False,
-    row_cap: int | None = None,
     read_options: Mapping[str, object] | None = None,
 ) -> ImportSummary:
     """Imports partner files over JDBC; every error is raised.
 
-    The order of old rows of one member is the order of their ids.
+    ``read_options`` say how the scan of the table is split (see ``read_member_table``). The
+    order of old rows of one member is the order of their ids.
     """
     for name, value in (("csv", csv), ("table", table), ("partner_code", partner_code)):
         if not value or not value.strip():
             raise ValueError(f"{name} is required")
-    old = read_member_table(
-        spark, url, table, properties, row_cap=row_cap, **(read_options or {})
-    )
+    old = read_member_table(spark, url, table, properties, **(read_options or {}))
     return run_import(
         read_member_csv(spark, csv),
         as_member_rows(old).withColumn("seq", F.struct("id", *OLD_ORDER)),
@@ -87,33 +85,48 @@ def run_import(
 ) -> ImportSummary:
     """Merges, stages the result, and hands the staged rows to ``replace``.
 
-    ``old_rows`` must carry ``seq``. The staged rows stay where ``ImportSummary.staging``
-    says, so the table can be restored if replacing it fails half-way. Row counts are
-    observed while the rows are written; nothing is read twice for them.
+    ``old_rows`` must carry ``seq``. Either input is read once, into a table of the run, so what
+    is counted, checked and merged is the same even if the member table changes meanwhile. The
+    merged rows stay where ``ImportSummary.staging`` says, so the table can be restored if
+    replacing it fails half-way.
+
+    Old rows with text that is no number or time stop the import: they would come back as
+    zeros. The rows are listed in a table that the error names; the member table is unchanged.
     """
     spark = partner_rows.sparkSession
     started = time.monotonic()
     rejects = new_folder(spark, "member-rejects")
     staging = new_folder(spark, "member-staging")
 
-    rejected_rows(partner_rows).drop("seq").write.parquet(rejects)
-    read, old_seen, written = (Observation() for _ in range(3))
-    observed = partner_rows.observe(
-        read,
-        F.count("*").alias("n"),
-        F.count_if(reject_reason(partner_rows).isNotNull()).alias("rejected"),
-    )
-    new = to_member_rows(observed, partner_code, import_time)
-    if dedupe_new:
-        new = first_per_member(new)
-    old = normalised_old_rows(old_rows, "seq").observe(old_seen, F.count("*").alias("n"))
-    merged = merge_members(new, old, import_time).observe(
-        written,
-        F.count("*").alias("n"),
-        F.count_if("merged").alias("merged"),
-        F.count_if(lacks_required()).alias("incomplete"),
-    )
-    merged.drop("merged").write.parquet(staging)
+    with Staging(spark) as stage:
+        partner = stage(
+            partner_rows.withColumn("reason", reject_reason(partner_rows)), "partner-rows"
+        )
+        bad = partner.filter(F.col("reason").isNotNull())
+        bad.drop("seq").write.parquet(rejects)
+        old = stage(normalised_old_rows(old_rows, "seq"), "old-rows")
+        unreadable = old.filter(F.col(UNREADABLE) != "")
+        seen = old.agg(F.count("*").alias("n"), F.count_if(F.col(UNREADABLE) != "").alias("lost"))
+        seen = seen.first()
+        if seen["lost"]:
+            listed = new_folder(spark, "member-unreadable")
+            unreadable.drop("seq").write.parquet(listed)
+            raise ValueError(
+                f"{seen['lost']} old rows have values that cannot be read; the table is"
+                f" unchanged, the rows are in {listed}"
+            )
+        new = to_member_rows(partner, partner_code, import_time)
+        if dedupe_new:
+            new = first_per_member(new)
+        written = Observation()
+        merged = merge_members(new, old, import_time).observe(
+            written,
+            F.count("*").alias("n"),
+            F.count_if("merged").alias("merged"),
+            F.count_if(lacks_required()).alias("incomplete"),
+        )
+        merged.drop("merged").write.parquet(staging)
+        rows_read, rejected = partner.count(), bad.count()
     if written.get["incomplete"]:
         raise ValueError(
             f"{written.get['incomplete']} old rows lack a required column; the table is"
@@ -121,9 +134,9 @@ def run_import(
         )
     replace(spark.read.schema(MEMBER_TABLE).parquet(staging))
     return ImportSummary(
-        rows_read=read.get["n"],
-        rows_rejected=read.get["rejected"],
-        old_rows=old_seen.get["n"],
+        rows_read=rows_read,
+        rows_rejected=rejected,
+        old_rows=seen["n"],
         rows_written=written.get["n"],
         rows_merged=written.get["merged"],
         seconds=time.monotonic() - started,

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir`` of the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    """Folder that all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only a session whose tasks run in its own process may do without that setting; it gets a
+    temporary folder as its checkpoint folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="wireloom-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wireloom.schema import MEMBER_CSV, MEMBER_TABLE
 
 CORRUPT = "corrupt_record"
+UNREADABLE = "unreadable"
 
 
 def read_member_csv(
@@ -48,10 +49,17 @@ def read_member_csv(
 def as_member_rows(df: DataFrame, *keep: str) -> DataFrame:
     """The thirteen columns of the member table, by name and with their types.
 
-    Text that is no number or time becomes null and is left to validation.
+    Text that is no number or time becomes null; ``unreadable`` lists the columns where that
+    happened, and is empty for all other rows.
     """
     columns = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in MEMBER_TABLE.fields]
-    return df.select(*columns, *keep)
+    lost = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f.name)
+        for f in MEMBER_TABLE.fields
+    ]
+    before = F.col(UNREADABLE) if UNREADABLE in df.columns else F.lit(None)
+    listed = F.coalesce(F.nullif(before, F.lit("")), F.concat_ws(", ", *lost))
+    return df.select(*columns, listed.alias(UNREADABLE), *keep)
 
 
 def read_member_table(
@@ -63,32 +71,28 @@ def read_member_table(
     column: str | None = None,
     bounds: tuple[int, int] | None = None,
     partitions: int = 20,
-    row_cap: int | None = None,
+    fetch_size: int = 10_000,
 ) -> DataFrame:
-    """The existing member table over JDBC.
+    """The existing member table over JDBC, in several connections.
 
-    A single connection reads it unless ``predicates`` (one per partition) or a numeric
-    ``column`` with ``bounds`` split the scan. ``row_cap`` makes the import refuse a larger
-    table: cutting rows off would delete them with the later overwrite.
+    ``predicates`` (one per partition) or a numeric ``column`` with ``bounds`` split the scan;
+    one of them is required, as the whole table through one connection is one task.
+    ``fetch_size`` is the number of rows of a round trip.
     """
-    properties = dict(properties or {})
+    properties = {"fetchsize": str(fetch_size), **(properties or {})}
     if predicates:
-        rows = spark.read.jdbc(url, table, predicates=list(predicates), properties=properties)
-    elif column and bounds:
-        rows = spark.read.jdbc(
-            url,
-            table,
-            column=column,
-            lowerBound=bounds[0],
-            upperBound=bounds[1],
-            numPartitions=partitions,
-            properties=properties,
-        )
-    else:
-        rows = spark.read.jdbc(url, table, properties=properties)
-    if row_cap is not None and rows.select(F.count("*")).first()[0] > row_cap:
-        raise ValueError(f"{table} has more than {row_cap} rows")
-    return rows
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=properties)
+    if not column or not bounds:
+        raise ValueError("give predicates, or a column and its bounds, to split the scan by")
+    return spark.read.jdbc(
+        url,
+        table,
+        column=column,
+        lowerBound=bounds[0],
+        upperBound=bounds[1],
+        numPartitions=partitions,
+        properties=properties,
+    )
 
 
 def replace_member_table(

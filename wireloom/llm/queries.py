@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wireloom.llm import decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, toxicity
+from wireloom.llm.oracles import ORACLE_SQL
 from wireloom.llm.text import held_out, kept
 
 
@@ -78,6 +79,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -90,6 +93,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
-
-#: SQL counterparts by query.
-ORACLE_SQL: dict[str, str] = {}

@@ -152,7 +152,7 @@ def mixed_documents(docs: DataFrame, **rules) -> DataFrame:
 
     No text is shuffled: the plan, a row a source, comes to the documents.
     """
-    sizes = document_sizes(docs)
+    sizes = kept(document_sizes(docs))
     plan = mix_plan(sizes, **rules)
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
     rows = docs.select("doc_id", "source", _uniform(17).alias("u"), whole)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -95,11 +96,13 @@ def reconcile(
     clock: DataFrame | None = None,
     expire_minutes: int = EXPIRE_MINUTES,
     emit_fragments: bool = False,
+    keep: Callable[[DataFrame], DataFrame] = lambda decided: decided,
 ) -> Reconciled:
     """Continues the open exchanges with those of a batch.
 
     Exchange rows are one per key on both sides, so their join cannot be skewed. They are read
-    several times, so they should be tables. ``clock`` is a one-row frame as ``batch_clock``
+    several times, so they should be tables; so is the fate of every exchange, which ``keep``
+    may put into a table. ``clock`` is a one-row frame as ``batch_clock``
     makes it; it enters the plan as a scalar subquery.
     """
     clock = batch_clock(batch.exchanges, before.exchanges) if clock is None else clock
@@ -112,7 +115,7 @@ def reconcile(
         .when(expired, TIMEOUT)
         .otherwise(OPEN)
     )
-    decided = joined.withColumn("status", fate)
+    decided = keep(joined.withColumn("status", fate))
     texts = before.texts.unionByName(batch.texts)
     emitted = to_emitted(decided.filter(F.col("status").isin(COMPLETE, TIMEOUT)), texts)
     if emit_fragments:

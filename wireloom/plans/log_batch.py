@@ -102,7 +102,11 @@ def run_log_batch(
         batch = summed(pieces, base + batch_id)
         batch = Summed(stage(batch.exchanges, "exchanges"), batch.texts)
         outcome = reconcile(
-            batch, before, expire_minutes=expire_minutes, emit_fragments=emit_fragments
+            batch,
+            before,
+            expire_minutes=expire_minutes,
+            emit_fragments=emit_fragments,
+            keep=lambda decided: stage(decided, "decided"),
         )
         append_batch(outcome.emitted, base + batch_id, tables.events)
         outcome.dropped.write.mode("overwrite").parquet(part(tables.dropped))

@@ -5,17 +5,21 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import __spark_entry__ as driver
 import corpus_pipeline
 from wireloom.llm import (
     decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup,
     token_counts, toxicity,
 )
 from wireloom.llm.components import components
+from wireloom.llm.queries import ORACLE_SQL, QUERIES
 from wireloom.llm.text import held_out
 
 FOLDER = "/root/testdata/sf0.001"
@@ -274,8 +278,6 @@ def test_toxicity(spark, edges, empty):
             vector = examples[number * toxicity.BLOCK + k] = [0.0] * len(index.idf)
             for term, weight in zip(terms, weights[:, k]):
                 vector[term] = weight
-    import numpy as np
-
     full = rows @ np.array([examples[k] for k in range(len(examples))], np.float32).T
     _, cosines = index.nearest(rows)
     assert np.allclose(cosines, -np.sort(-full, 1)[:, : toxicity.NEIGHBOURS], atol=1e-5)
@@ -397,3 +399,22 @@ def test_pipeline_stages(spark, docs, texts, benchmark, edges, empty):
         stage(spark, edges, FOLDER).collect()
     out = corpus_pipeline.run(spark, FOLDER).collect()
     assert set(ids(spark.createDataFrame(out))) <= set(texts) and len({r["shard"] for r in out}) == 16
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    result = con.execute(ORACLE_SQL[name])
+    columns = sorted(c[0] for c in result.description)
+    frame = QUERIES[name](spark, FOLDER)
+    assert sorted(frame.columns) == columns
+    expected = Counter(tuple(row) for row in con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall())
+    assert Counter(tuple(row) for row in frame.select(*columns).collect()) == expected
+
+
+def test_registered():
+    names = set(driver.queries())
+    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES} and set(QUERIES) <= names
+    assert "pipeline" in names and set(ORACLE_SQL) <= set(driver.oracle_sql())

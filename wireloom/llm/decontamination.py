@@ -85,18 +85,19 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_parts(benchmark: DataFrame, size: int = WINDOW, part_words: int = PART_WORDS) -> list[Windows]:
-    """The benchmark's windows in parts of about `part_words` words each, however large it is."""
+def benchmark_parts(benchmark: DataFrame, size: int = WINDOW, part_words: int = PART_WORDS) -> Iterator[Windows]:
+    """The benchmark's windows in parts of about `part_words` words each, one at a time, however large it is."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_bytes())
     items = items.filter(F.col("text").isNotNull())
-    parts, part, held = [], [], 0
+    part, held, given = [], 0, False
     for row in items.toLocalIterator():
         part.append((row["item"], bytes(row["text"])))
         held += len(row["text"]) // 5 + 1
         if held >= part_words:
-            parts.append(Windows(part, size))
-            part, held = [], 0
-    return [*parts, Windows(part, size)] if part or not parts else parts
+            yield Windows(part, size)
+            part, held, given = [], 0, True
+    if part or not given:
+        yield Windows(part, size)
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from wireloom.llm.text import RangeHash, WORD_TABLE, map_rows, spaced_words, text_bytes, window_hashes, word_bounds
+from wireloom.llm.text import RangeHash, WORD_TABLE, map_rows, shipped, spaced_words, text_bytes, window_hashes, word_bounds
 
 #: Consecutive words of a window; items of fewer words are one window.
 WINDOW = 10
@@ -110,7 +110,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_
     stay = [F.col(f"`{name}`") for name in docs.columns if name not in ("n_words", "_spans", "_items")]
     rows = docs.select(F.struct(*stay).alias("document"), F.expr(f"cast(null as struct<{FOUND}>)").alias("hits"))
     for part in benchmark_parts(benchmark, window, part_words):
-        rows = rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(part), rows.schema), rows.schema)
+        rows = shipped(rows).mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(part), rows.schema), rows.schema)
     return rows.select("document.*", "hits.*")
 
 

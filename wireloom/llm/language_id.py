@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from wireloom.llm.text import kept, map_rows, mixed, sampled_share, text_bytes
+from wireloom.llm.text import kept, map_rows, mixed, sampled_share, shipped, text_bytes
 
 #: Bytes of an n-gram, blanks at word borders included.
 GRAM = 5
@@ -179,4 +179,4 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
                     answers = [pa.array([x[k] for x in found], arrow.field(k + 1).type) for k in range(3)]
                     yield pa.RecordBatch.from_arrays([batch.column("document"), *answers], schema=arrow)
 
-    return rows.mapInArrow(loop, schema).select("document.*", "lang_pred", "score", "coverage")
+    return shipped(rows).mapInArrow(loop, schema).select("document.*", "lang_pred", "score", "coverage")

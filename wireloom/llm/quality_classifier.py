@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from wireloom.llm.labelled import EXAMPLES, Votes, labelled_sample
-from wireloom.llm.text import map_rows, text_bytes
+from wireloom.llm.text import map_rows, shipped, text_bytes
 
 #: Terms kept, by document frequency; dimensions of the space; neighbours that vote; documents of a product.
 TERMS, DIMENSIONS, NEIGHBOURS, BLOCK = 2048, 64, 15, 512
@@ -177,4 +177,4 @@ def score(docs: DataFrame, space: Space, threshold: float = 0.7) -> DataFrame:
                 out = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([batch.column("document"), *out], schema=arrow)
 
-    return rows.mapInArrow(loop, schema).select("document.*", "score", "predicted")
+    return shipped(rows).mapInArrow(loop, schema).select("document.*", "score", "predicted")

@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
 from wireloom.llm.packing import packed, squeezed, steps, unpacked, unsqueezed, walks
-from wireloom.llm.text import RangeHash, kept, mixed, text_bytes
+from wireloom.llm.text import RangeHash, kept, mixed, shipped, text_bytes
 
 #: Bytes of a string; bytes a trigger's rolling hash reads; starts of strings that a trigger is chosen among.
 LENGTH, ROLLING, REACH = 100, 8, 60
@@ -293,7 +293,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
         if documents:
             yield block()
 
-    held = kept(rows.mapInArrow(blocks, schema).withColumn("block", F.monotonically_increasing_id()))
+    held = kept(shipped(rows).mapInArrow(blocks, schema).withColumn("block", F.monotonically_increasing_id()))
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     ranges = int(min(1 << 16, max(8, total // RANGE_BYTES)))
     sent_arrow = to_arrow_schema(StructType.fromDDL(SENT))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +98,19 @@ def window_hashes(hasher: RangeHash, words: bytes, size: int) -> tuple[np.ndarra
     return hasher.ranges(hasher.prefixes(data), first, last), first, last
 
 
+def shipped(frame: DataFrame) -> DataFrame:
+    """The frame; executors get this package with the session's Python files, so they need not have it installed."""
+    context, package = frame.sparkSession.sparkContext, Path(__file__).parents[1]
+    name = f"{package.name}.zip"
+    if not any(file.endswith(name) for file in context._python_includes):
+        path = Path(tempfile.mkdtemp()) / name
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(path))
+    return frame
+
+
 def map_rows(
     frame: DataFrame, schema: str | StructType, rows: Callable[[], Callable[[dict], dict]], step: int = 512
 ) -> DataFrame:
@@ -110,7 +126,7 @@ def map_rows(
                     out = made(batch.slice(at, step).to_pydict())
                     yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
-    return frame.mapInArrow(loop, schema)
+    return shipped(frame).mapInArrow(loop, schema)
 
 
 def kept(frame: DataFrame) -> DataFrame:

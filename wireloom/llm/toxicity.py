@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from wireloom.llm.labelled import EXAMPLES, Votes, labelled_sample
-from wireloom.llm.text import map_rows, spaced_words, text_bytes
+from wireloom.llm.text import map_rows, shipped, spaced_words, text_bytes
 
 #: Terms of the index: those whose frequency differs most between the classes, at least by so many standard errors.
 TERMS, LEAST_Z = 512, 6.0
@@ -179,4 +179,4 @@ def score(docs: DataFrame, index: Index, evidence: int = 3) -> DataFrame:
                 arrays = [pa.array(x, arrow.field(k + 1).type) for k, x in enumerate(out)]
                 yield pa.RecordBatch.from_arrays([batch.column("document"), *arrays], schema=arrow)
 
-    return rows.mapInArrow(loop, schema).select("document.*", *added.names)
+    return shipped(rows).mapInArrow(loop, schema).select("document.*", *added.names)

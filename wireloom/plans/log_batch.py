@@ -75,16 +75,18 @@ def run_log_batch(
     expire_minutes: int = EXPIRE_MINUTES,
     emit_fragments: bool = False,
     run: str = "",
+    base: int | None = None,
 ) -> BatchCounts:
     """One batch: continues what batch ``batch_id - 1`` of the run left open, and writes the
     events. The records are read once.
 
     Batches of a run are numbered from 0. A batch that runs again replaces what it wrote, as
     long as the next one has not run; snapshots before the last one are removed. Malformed
-    records and dropped fragments are kept in tables of their own, and counted.
+    records and dropped fragments are kept in tables of their own, and counted. ``base`` is the
+    run's ``first_write``, for callers that know it.
     """
     spark = records.sparkSession
-    base = first_write(spark, tables, run)
+    base = first_write(spark, tables, run) if base is None else base
 
     def part(table: str, number: int = batch_id) -> str:
         return f"{table}/batch_id={base + number}"

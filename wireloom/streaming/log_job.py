@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from wireloom.plans.log_batch import BatchCounts, LogTables, run_log_batch
+from wireloom.plans.log_batch import BatchCounts, LogTables, first_write, run_log_batch
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -35,9 +35,13 @@ def start_log_job(
     once by the next, which then has more to do.
     """
 
+    base: list[int] = []
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = run_of(batch.sparkSession, checkpoint)
-        counts = run_log_batch(batch, batch_id, tables, run=run_id, **rules)
+        if not base:
+            spark = batch.sparkSession
+            base.append(first_write(spark, tables, run_of(spark, checkpoint)))
+        counts = run_log_batch(batch, batch_id, tables, base=base[0], **rules)
         if report:
             report(batch_id, counts)
 

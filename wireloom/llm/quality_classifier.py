@@ -89,8 +89,7 @@ class Space:
         for row, text in enumerate(texts):
             at, weights = self.weighted(text, memo)
             out[row] = weights @ self.axes[at]
-        lengths = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(lengths > 0, lengths, 1)
+        return unit_rows(out)
 
     def nearest(self, rows: np.ndarray, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         cosines = rows @ self.vectors.T
@@ -119,25 +118,45 @@ def fit(docs: DataFrame, labels: DataFrame, learnable, label: str = "quality", e
 
     counted = map_rows(sample, "term binary, n bigint", counter).groupBy("term").agg(F.sum("n").alias("n"))
     chosen = counted.filter("n >= 5").orderBy(F.desc("n"), "term").limit(TERMS).collect()
-    rows = sample.orderBy("doc_id").collect()
+    n = max(1, sample.count())
     terms = {bytes(row["term"]): number for number, row in enumerate(chosen)}
-    idf = np.array([np.log(1 + len(rows) / row["n"]) for row in chosen])
+    idf = np.array([np.log(1 + n / row["n"]) for row in chosen])
     idf *= np.array([FORM if t[:1] in b"#@" else 1.0 for t in terms])
-    votes = Votes.of(np.array([row["label"] for row in rows], int), sizes)
-    space = Space(terms, idf, np.zeros((len(terms), 1), np.float32), np.zeros((0, 1), np.float32), votes)
+    none = Votes.of(np.zeros(0, int), sizes)
+    space = Space(terms, idf, np.zeros((len(terms), 1), np.float32), np.zeros((0, 1), np.float32), none)
+    shared = docs.sparkSession.sparkContext.broadcast(space)
+
+    def coder():
+        known, memo = shared.value, {}
+
+        def code(columns: dict) -> dict:
+            coded = [known.weighted(text, memo) for text in columns["text"]]
+            out = {k: columns[k] for k in ("doc_id", "label")}
+            return out | {"terms": [at.tolist() for at, _ in coded], "weights": [w.tolist() for _, w in coded]}
+
+        return code
+
+    # Of an example no more than its weights comes to the driver, whatever its length.
+    coded = map_rows(sample, "doc_id bigint, label int, terms array<int>, weights array<float>", coder)
+    rows = coded.orderBy("doc_id").collect()
     if not rows or not terms:
         return space
     matrix = np.zeros((len(rows), len(terms)), np.float32)
-    for number, row in enumerate(rows):
-        at, weights = space.weighted(row["text"], {})
-        matrix[number, at] = weights
+    for vector, row in zip(matrix, rows):
+        vector[row["terms"]] = row["weights"]
     space.axes = principal_axes(matrix, DIMENSIONS)
-    space.vectors = space.project([row["text"] for row in rows], {})
+    space.vectors = unit_rows(matrix @ space.axes)
+    space.votes = votes = Votes.of(np.array([row["label"] for row in rows], int), sizes)
     blocks = [np.arange(f, min(f + BLOCK, len(rows))) for f in range(0, len(rows), BLOCK)]
     votes.calibrate(np.concatenate([votes.raw(*space.nearest(space.vectors[b], b)) for b in blocks]))
     return space
 
 
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    lengths = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(lengths > 0, lengths, 1)
+
+
 def principal_axes(matrix: np.ndarray, dimensions: int) -> np.ndarray:
     """Right singular vectors of the largest singular values, by subspace iteration from a fixed random start."""
     dimensions = min(dimensions, *matrix.shape)

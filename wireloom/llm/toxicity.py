@@ -122,10 +122,27 @@ def fit(docs: DataFrame, labels: DataFrame, learnable, label: str = "toxic", exa
     idf = np.array([*idf, np.log(2)], np.float32)
 
     index = Index(terms, idf, [], [], np.zeros((len(terms), 0), np.float32), Votes.of(np.zeros(0, int), {}))
-    rows = sample.orderBy("doc_id").collect()
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def coder():
+        known = shared.value
+
+        def code(columns: dict) -> dict:
+            vectors = known.vectors(columns["text"], {})
+            held = [np.flatnonzero(v) for v in vectors]
+            weights = [v[at].tolist() for v, at in zip(vectors, held)]
+            return {k: columns[k] for k in ("doc_id", "label")} | {"terms": [at.tolist() for at in held], "weights": weights}
+
+        return code
+
+    # Of an example no more than its weights comes to the driver, whatever its length.
+    coded = map_rows(sample, "doc_id bigint, label int, terms array<int>, weights array<float>", coder)
+    rows = coded.orderBy("doc_id").collect()
     if not rows:
         return index
-    vectors = index.vectors([row["text"] for row in rows], {})
+    vectors = np.zeros((len(rows), len(terms)), np.float32)
+    for vector, row in zip(vectors, rows):
+        vector[row["terms"]] = row["weights"]
     order = np.lexsort((np.arange(len(rows)), vectors.argmax(1), vectors.max(1) == 0))
     vectors, rows = vectors[order], [rows[at] for at in order]
     index.ids = [row["doc_id"] for row in rows]

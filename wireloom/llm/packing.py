@@ -17,8 +17,14 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def squeezed(data: bytes, level: int = 1) -> bytes:
-    return zstandard.ZstdCompressor(level=level).compress(data)
+def squeezed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def squeezed_text(data: bytes) -> bytes:
+    """Texts end to end; copies far apart in a block are found too."""
+    parameters = zstandard.ZstdCompressionParameters.from_level(6, window_log=24, enable_ldm=True)
+    return zstandard.ZstdCompressor(compression_params=parameters).compress(data)
 
 
 def unsqueezed(data: bytes) -> bytes:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
-from wireloom.llm.packing import packed, squeezed, steps, unpacked, unsqueezed, walks
+from wireloom.llm.packing import packed, squeezed, squeezed_text, steps, unpacked, unsqueezed, walks
 from wireloom.llm.text import RangeHash, kept, mixed, shipped, text_bytes
 
 #: Bytes of a string; bytes a trigger's rolling hash reads; starts of strings that a trigger is chosen among.
@@ -274,7 +274,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
         def block() -> pa.RecordBatch:
             data = {
                 "documents": documents, "ids": squeezed(np.array(ids, np.int64).tobytes()),
-                "lengths": packed(np.array([len(t) for t in texts])), "texts": squeezed(b"".join(texts), 3),
+                "lengths": packed(np.array([len(t) for t in texts])), "texts": squeezed_text(b"".join(texts)),
             }
             return pa.RecordBatch.from_pylist([data], schema=arrow)
 

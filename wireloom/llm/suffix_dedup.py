@@ -26,7 +26,7 @@ from wireloom.llm.text import RangeHash, kept, mixed, shipped, text_bytes
 LENGTH, ROLLING, REACH = 100, 8, 60
 
 #: Bytes of text in a block, about (a longer text is a block of its own), and bytes that are parsed at a time.
-BLOCK_BYTES, PARSED = 16 << 20, 1 << 20
+BLOCK_BYTES, PARSED = 12 << 20, 1 << 20
 
 #: Bytes of text for each range of fingerprints.
 RANGE_BYTES = 16 << 20

@@ -238,6 +238,26 @@ def test_mixing(docs, edges, empty, monkeypatch):
     assert mixing.mix(none, mixing.mix_plan(none)).count() == 0
 
 
+def test_mixing_skips_what_does_not_fit(spark):
+    rows = [(100 * k + n, f"s{k:02}", "w " * (99 if n else 9_900 - k)) for k in range(24) for n in range(101 - k % 2)]
+    rows += [(9_000, "s00", "w " * 40), (9_000, "s00", "w " * 60)]  # an id of two rows
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    sizes = mixing.document_sizes(docs)
+    out = mixing.mix(sizes, mixing.mix_plan(sizes)).collect()
+    taken, target = Counter(), {}
+    for r in out:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 99 for s in target)  # one of the short texts
+    twice = [r["copies"] for r in out if r["doc_id"] == 9_000]
+    assert len(twice) == 2 and len(set(twice)) == 1
+    copies = Counter((r["doc_id"], r["source"]) for r in mixing.mixed_documents(docs).collect())
+    expected = Counter()
+    for r in out:
+        expected[r["doc_id"], r["source"]] += r["copies"]
+    assert copies == +expected
+
+
 def measures_of(text):
     words = RUN.findall(text or "")
     grams, covered = Counter(zip(words, words[1:], words[2:])), set()

@@ -3,7 +3,8 @@
 A source's target over its size is the number of copies expected of each of its documents. Its whole part is
 certain; its fraction is the inclusion probability p of one more copy. Documents are ranked by random odds over
 inclusion odds, (u / (1 - u)) / (p / (1 - p)), and the lowest ranks of a source are taken until its words are
-reached: a sample of fixed size, counted in words, with probabilities that differ between sources.
+reached; a document beyond the words still lacking is skipped. That is a sample of fixed size, counted in words, with
+probabilities that differ between sources.
 """
 
 from __future__ import annotations
@@ -62,10 +63,14 @@ def _odds(p: Column) -> Column:
 
 
 def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
-    """A row a source: target, certain copies, and the last rank (rank, id) that gets one more copy.
-
-    `fill` is one more document of the source, that of a size nearest to the words still lacking; null if none
-    brings the source nearer to its target.
+    """A row a source: target, certain copies, and the rounds that tell which documents get one more copy.
+
+    Ranks are walked once: a document that fits into the words still lacking is taken, one that does not is skipped. A
+    round takes the ranks in front of the first that does not fit; the next goes on with those that are not larger than
+    what is lacking then, until none is left. As ranks are random, what is lacking falls by a factor from round to round.
+    All that are left then are larger than what is lacking. `fill` is the one of them of the nearest size, and `drops` are
+    rounds in the opposite order over the documents taken, which give back what it takes too much; both are empty
+    if they do not bring the source nearer to its target.
     """
     plan = source_targets(sizes, **rules)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -73,42 +78,76 @@ def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
     whole = F.floor(F.col("ratio") + 1e-12)
     plan = plan.withColumn("copies", whole).withColumn("p", F.greatest(F.col("ratio") - whole, F.lit(0.0)))
     plan = plan.withColumn("wanted", F.col("target") - F.col("copies") * F.col("source_size"))
-    bin_of = F.floor(F.col("u") * BINS)
+    units = kept(sizes.groupBy("source", "doc_id", "u").agg(F.sum("size").alias("unit")))
+    units = _with_plan(units, plan.select("source", "p", "wanted")).filter((F.col("p") > 0) & (F.col("unit") > 0))
+    left = units.withColumn("lacking", F.col("wanted")).filter("unit <= lacking")
+    plan = _with_rounds(plan, _walk(left), "rounds").withColumn("lacking", F.coalesce("left_over", "wanted"))
+    plan = kept(plan.drop("left_over"))
+
+    units = kept(_with_plan(units.select("source", "doc_id", "u", "unit"), plan).withColumn("picked", _picked()))
+    gap = F.abs(F.col("unit") - F.col("lacking"))
+    fill = units.filter(~F.col("picked")).groupBy("source")
+    fill = fill.agg(F.min_by(_key(), F.struct(gap, _key())).alias("fill"), F.min(F.col("unit") - F.col("lacking")).alias("excess"))
+    plan = plan.join(fill.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    plan = kept(plan)
+    taken = _with_plan(units.filter("picked").select("source", "doc_id", "u", "unit"), plan)
+    taken = taken.filter("unit <= excess").select("source", "doc_id", "unit", "p", "wanted", F.col("excess").alias("lacking"), *_back())
+    plan = _with_rounds(plan, _walk(taken), "drops").withColumn("left_over", F.coalesce("left_over", "excess"))
+    nearer = F.coalesce(F.col("left_over") < F.col("lacking"), F.lit(False))
+    plan = plan.withColumn("fill", F.when(nearer, F.col("fill"))).withColumn("drops", F.when(nearer, F.col("drops")))
+    return kept(plan.drop("excess", "left_over"))
+
+
+def _walk(left: DataFrame) -> DataFrame:
+    """source, left_over, rounds: the rounds over documents of at most `lacking` words, and what is lacking after."""
+    left, found = kept(left), []
+    while not left.isEmpty() or not found:
+        found.append(_round(left))
+        left = _with_plan(left.drop("lacking"), found[-1], ranked=False)
+        fits = ~_reached(F.col("edge"), F.col("last")) & (F.col("unit") <= F.col("lacking"))
+        left = kept(left.filter(fits).drop("edge", "last", "most"))
+    rounds = found[0]
+    for more in found[1:]:
+        rounds = rounds.unionByName(more)
+    return rounds.groupBy("source").agg(
+        F.min("lacking").alias("left_over"), F.collect_list(F.struct("most", "edge", "last")).alias("rounds")
+    )
+
+
+def _with_rounds(plan: DataFrame, walk: DataFrame, name: str) -> DataFrame:
+    walk = walk.select(F.col("source").alias("s"), "left_over", F.col("rounds").alias(name))
+    return plan.join(walk, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
 
-    bins = sizes.groupBy("source", bin_of.alias("bin")).agg(F.sum("size").alias("words"))
+def _back() -> tuple[Column, Column]:
+    """u and rank for a walk from the last rank to the first; both are exact."""
+    return (F.lit(1.0) - F.col("u")).alias("u"), (-F.col("rank")).alias("rank")
+
+
+def _round(left: DataFrame) -> DataFrame:
+    """source, most, edge, last, lacking: of the documents left, none larger than `most` words, those in bins before
+    `edge`, and in it up to `last`, fit; `lacking` are the words that a source lacks after them."""
+    bins = left.groupBy("source", _bin().alias("bin")).agg(F.sum("unit").alias("words"), F.max("lacking").alias("most"))
     running = Window.partitionBy("source").orderBy("bin")
     bins = bins.withColumn("upto", F.sum("words").over(running))
-    bins = bins.join(plan.select(F.col("source").alias("s"), "wanted"), F.col("source").eqNullSafe(F.col("s")))
     # The first bin that does not fit as a whole; those before it are taken.
     edge = bins.groupBy("source").agg(
-        F.min(F.when(F.col("upto") > F.col("wanted"), F.col("bin"))).alias("edge"),
-        F.max(F.when(F.col("upto") <= F.col("wanted"), F.col("upto"))).alias("taken_before"),
-    )
-    edge = edge.select(
-        F.col("source").alias("s"),
-        F.coalesce("edge", F.lit(BINS)).alias("edge"),
-        F.coalesce("taken_before", F.lit(0)).alias("taken_before"),
+        F.max("most").alias("most"),
+        F.coalesce(F.min(F.when(F.col("upto") > F.col("most"), F.col("bin"))), F.lit(BINS)).alias("edge"),
+        F.coalesce(F.max(F.when(F.col("upto") <= F.col("most"), F.col("upto"))), F.lit(0)).alias("taken_before"),
     )
-    plan = kept(plan.join(edge, F.col("source").eqNullSafe(F.col("s"))).drop("s"))
-
-    key = F.struct(F.col("rank"), F.col("doc_id").alias("id"))
-    rows = _with_plan(sizes, plan)
-    within = Window.partitionBy("source").orderBy(key).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at_edge = rows.filter(bin_of == F.col("edge")).withColumn("upto", F.sum("size").over(within) + F.col("taken_before"))
-    at_edge = at_edge.filter(F.col("upto") <= F.col("wanted")).groupBy("source")
-    last = at_edge.agg(F.max(key).alias("last"), F.max("upto").alias("reached"))
-    last = last.select(F.col("source").alias("s"), "last", "reached")
-    plan = plan.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = kept(plan.withColumn("lacking", F.col("wanted") - F.coalesce("reached", "taken_before")))
-
-    left = _with_plan(sizes, plan).filter(~_picked(bin_of)).filter((F.col("p") > 0) & (F.col("size") > 0))
-    gap = F.abs(F.col("size") - F.col("lacking"))
-    left = left.filter(gap < F.col("lacking")).groupBy("source").agg(F.min_by(key, F.struct(gap, key)).alias("fill"))
-    left = left.select(F.col("source").alias("s"), "fill")
-    return kept(plan.join(left, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
-
-
-def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    edge = kept(edge)
+    rows = _with_plan(left, edge, ranked=False)
+    within = Window.partitionBy("source").orderBy(_key()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at_edge = rows.filter(_bin() == F.col("edge")).withColumn("upto", F.sum("unit").over(within) + F.col("taken_before"))
+    at_edge = at_edge.filter(F.col("upto") <= F.col("most")).groupBy(F.col("source").alias("s"))
+    at_edge = at_edge.agg(F.max(_key()).alias("last"), F.max("upto").alias("reached"))
+    found = edge.join(at_edge, F.col("source").eqNullSafe(F.col("s")), "left")
+    lacking = F.col("most") - F.coalesce("reached", "taken_before")
+    return kept(found.select("source", "most", "edge", "last", lacking.alias("lacking")))
+
+
+def _with_plan(rows: DataFrame, plan: DataFrame, ranked: bool = True) -> DataFrame:
     """Rows with their source's plan and their rank. A plan of few sources is broadcast; a larger one is joined with
     each source's rows dealt over parts, as one source may hold most rows."""
     plan = plan.withColumnRenamed("source", "plan_source")
@@ -117,16 +156,50 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
         joined = rows.join(F.broadcast(plan), same)
     else:
         plan = plan.withColumn("plan_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-        part = F.floor(F.col("u") * BINS) % PARTS
+        part = _bin() % PARTS
         joined = rows.join(plan, same & (part == F.col("plan_part"))).drop("plan_part")
     joined = joined.drop("plan_source")
+    if not ranked:
+        return joined
     return joined.withColumn("rank", _odds(F.col("u")) / _odds(F.greatest(F.col("p"), F.lit(1e-12))))
 
 
-def _picked(bin_of: Column) -> Column:
-    key = F.struct(F.col("rank"), F.col("doc_id").alias("id"))
-    at_edge = (bin_of == F.col("edge")) & F.coalesce(key <= F.col("last"), F.lit(False))
-    return (F.col("p") > 0) & ((bin_of < F.col("edge")) | at_edge)
+def _with_unit(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows with `unit`, the words of all rows of their source that share their id. Only repeated ids need a join."""
+    repeated = sizes.groupBy("source", "doc_id").agg(F.sum("size").alias("sum"), F.count(F.lit(1)).alias("n"))
+    repeated = repeated.filter("n > 1").select(F.col("source").alias("s"), F.col("doc_id").alias("d"), "sum")
+    repeated = kept(repeated)
+    if repeated.isEmpty():
+        return rows.withColumn("unit", F.col("size"))
+    same = F.col("source").eqNullSafe(F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    return rows.join(repeated, same, "left").withColumn("unit", F.coalesce("sum", "size")).drop("s", "d", "sum")
+
+
+def _bin(u: Column | None = None) -> Column:
+    return F.floor((F.col("u") if u is None else u) * BINS)
+
+
+def _key(rank: Column | None = None) -> Column:
+    return F.struct((F.col("rank") if rank is None else rank).alias("rank"), F.col("doc_id").alias("id"))
+
+
+def _reached(edge: Column, last: Column, u: Column | None = None, rank: Column | None = None) -> Column:
+    return (_bin(u) < edge) | ((_bin(u) == edge) & F.coalesce(_key(rank) <= last, F.lit(False)))
+
+
+def _in_rounds(rounds: str, *place: Column) -> Column:
+    taken = F.exists(rounds, lambda r: (F.col("unit") <= r["most"]) & _reached(r["edge"], r["last"], *place))
+    return F.coalesce(taken, F.lit(False))
+
+
+def _picked() -> Column:
+    """Whether a round takes a row's document."""
+    return (F.col("p") > 0) & (F.col("unit") > 0) & _in_rounds("rounds")
+
+
+def _copies() -> Column:
+    more = (_picked() & ~_in_rounds("drops", *_back())) | F.coalesce(_key() == F.col("fill"), F.lit(False))
+    return (F.col("copies") + F.when(more, 1).otherwise(0)).cast("int")
 
 
 def mix(sizes: DataFrame, plan: DataFrame) -> DataFrame:
@@ -136,29 +209,22 @@ def mix(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     taken in the certain copies only. Rows that share an id share a rank and so their fate. An empty table gives
     no rows. No document gets more than `most` copies.
     """
-    bin_of = F.floor(F.col("u") * BINS)
-    key = F.struct(F.col("rank"), F.col("doc_id").alias("id"))
-    more = _picked(bin_of) | F.coalesce(key == F.col("fill"), F.lit(False))
-    rows = _with_plan(sizes, plan)
-    copies = (F.col("copies") + F.when(more, 1).otherwise(0)).cast("int")
+    rows = _with_plan(_with_unit(sizes, sizes), plan)
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
+        "doc_id", "source", "size", "source_size", "target", _copies().alias("copies"),
+        (_copies() * F.col("size")).cast("long").alias("taken"),
     )
 
 
 def mixed_documents(docs: DataFrame, **rules) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken.
 
-    No text is shuffled: the plan, a row a source, comes to the documents.
+    No text is shuffled: the plan, a row a source, comes to the documents. Repeated ids come to them too, by a join that
+    moves texts if there are too many to broadcast.
     """
     sizes = kept(document_sizes(docs))
     plan = mix_plan(sizes, **rules)
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
-    rows = docs.select("doc_id", "source", _uniform(17).alias("u"), whole)
-    more = _picked(F.floor(F.col("u") * BINS))
-    key = F.struct(F.col("rank"), F.col("doc_id").alias("id"))
-    more = more | F.coalesce(key == F.col("fill"), F.lit(False))
-    copies = (F.col("copies") + F.when(more, 1).otherwise(0)).cast("int")
-    repeats = F.explode(F.array_repeat(F.lit(1), copies))
-    return _with_plan(rows, plan).select("document", repeats).select("document.*")
+    rows = docs.select("doc_id", "source", n_words().alias("size"), _uniform(17).alias("u"), whole)
+    repeats = F.explode(F.array_repeat(F.lit(1), _copies()))
+    return _with_plan(_with_unit(rows, sizes), plan).select("document", repeats).select("document.*")

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as driver
 import corpus_pipeline
 from wireloom.llm import (
-    decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup,
+    decontamination, jaccard_join, labelled, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup,
     token_counts, toxicity,
 )
 from wireloom.llm.components import components
@@ -310,6 +310,18 @@ def test_toxicity(spark, edges, empty):
     assert {r["score"] for r in toxicity.score(edges, blank).collect()} == {0.0}
 
 
+def test_labelled_sample_has_a_row_an_id(spark):
+    rows = [(1, f"text {n}") for n in range(300)] + [(2, None), (2, "two"), (3, None), (4, "four")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1)], "doc_id bigint, toxic int")
+    sample, sizes = labelled.labelled_sample(docs, labels, "toxic", F.lit(True))
+    found = {r["doc_id"]: r["text"] for r in sample.collect()}
+    assert sample.count() == 4 and sizes == {0: 2, 1: 2}
+    assert found[1].startswith(b"text ") and (found[2], found[3], found[4]) == (b"two", None, b"four")
+    again, _ = labelled.labelled_sample(docs.repartition(3), labels, "toxic", F.lit(True))
+    assert {r["doc_id"]: r["text"] for r in again.collect()} == found
+
+
 def test_quality_classifier(spark, edges, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

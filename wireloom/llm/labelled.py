@@ -19,7 +19,8 @@ def labelled_sample(
 ) -> tuple[DataFrame, dict[int, int]]:
     """(doc_id, label, text as bytes) of about `examples` documents of each class, and the size of each class.
 
-    Rows without an id or a label teach nothing; an id with several labels counts as its highest. The sample follows a
+    Rows without an id or a label teach nothing; an id with several labels counts as its highest, one with several rows
+    as one of their texts, that of the least hash, so that rows are as bounded as ids. The sample follows a
     fixed random order of the ids; its ids, at most a small multiple of `examples`, are broadcast to the documents.
     """
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learnable)
@@ -28,6 +29,8 @@ def labelled_sample(
     size = F.when(F.col("label") == 1, sizes.get(1, 0)).otherwise(sizes.get(0, 0))
     ids = rows.filter(sampled_share(examples)(size))
     chosen = docs.select("doc_id", text_bytes()).join(F.broadcast(ids), "doc_id")
+    first = F.min_by("text", F.when(F.col("text").isNotNull(), F.struct(F.xxhash64("text"), F.col("text"))))
+    chosen = chosen.groupBy("doc_id", "label").agg(first.alias("text"))
     return kept(chosen.select("doc_id", "label", "text")), sizes
 
 

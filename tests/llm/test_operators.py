@@ -186,6 +186,14 @@ def test_jaccard_join(spark, docs, texts, edges, empty, block, monkeypatch):
         assert jaccard_join.near_duplicates(empty).count() == 0
 
 
+def test_first_of_each_goes_by_text(spark):
+    one, two, three = (" ".join(f"{word}{n}" for n in range(40)) for word in ("red", "green", "blue"))
+    rows = [(7, one), (7, two), (None, two), (None, three), (None, three), (8, one), (9, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.first_of_each(docs).collect()]
+    assert Counter(kept) == Counter([(7, one), (7, two), (None, three), (9, ""), (None, None)])
+
+
 def test_prefixes_shorten_until_the_recall():
     assert jaccard_join.prefix_length(0.8, 16, 8, 0.999) == 4
     assert jaccard_join.prefix_length(0.99, 16, 8, 0.9) == 8

@@ -12,7 +12,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wireloom.llm.components import components
@@ -209,13 +209,17 @@ def smallest_linked(nodes: np.ndarray, near: np.ndarray) -> np.ndarray:
 
 
 def first_of_each(docs: DataFrame, **rules) -> DataFrame:
-    """The documents with the smallest doc_id of their class, with their own columns; one of rows that repeat an id.
+    """One document of each class, with its own columns: that of the smallest doc_id, null last, then of the least hash.
 
-    Rows without a doc_id all stay.
+    Rows are joined under numbers of their own, so rows that share an id, or have none, are near copies only by their
+    texts. Rows without words all stay.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), **rules).filter("class_id = doc_id or doc_id is null")
-    firsts = found.filter("doc_id is not null").select("doc_id").distinct()
-    named = docs.select(F.struct("*").alias("_document"), "doc_id", F.xxhash64("text").alias("_digest"))
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("_digest"))
-    rows = named.join(firsts, "doc_id").withColumn("_place", place).filter("_place = 1").select("_document.*")
-    return rows.unionByName(docs.filter("doc_id is null"))
+    # The numbers depend on how the rows come, so they are kept.
+    rows = kept(docs.select(F.struct("*").alias("_document"), F.monotonically_increasing_id().alias("_row")))
+    text = F.col("_document.text")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), text.alias("text")), **rules)
+    order = F.struct(F.col("_document.doc_id").isNull(), F.col("_document.doc_id"), F.xxhash64(text), F.col("_row"))
+    placed = rows.select("_row", order.alias("_order"))
+    classes = found.select(F.col("doc_id").alias("_row"), "class_id")
+    firsts = placed.join(classes, "_row").groupBy("class_id").agg(F.min("_order").alias("_order"))
+    return rows.join(firsts.select("_order._row"), "_row").select("_document.*")

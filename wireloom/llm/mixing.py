@@ -1,29 +1,31 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame functions only.
 
 A source's target over its size is the number of copies expected of each of its documents. Its whole part is
-certain; its fraction is the inclusion probability p of one more copy. Documents are ranked by random odds over
-inclusion odds, (u / (1 - u)) / (p / (1 - p)), and the lowest ranks of a source are taken until its words are
-reached; a document beyond the words still lacking is skipped. That is a sample of fixed size, counted in words, with
-probabilities that differ between sources.
+certain; its fraction is the inclusion probability p of one more copy. All documents are in one ranking by random odds
+over inclusion odds, (u / (1 - u)) / (p / (1 - p)), in which those of different sources have different probabilities.
+Sources, and in them classes of documents of like size, are strata: each takes its lowest ranks up to its words, so that
+every source comes near its target. What a stratum of long documents lacks or takes too much goes to the next
+shorter ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wireloom.llm.text import kept, n_words
-
-#: Sources whose plan is broadcast; with more, rows of a source are dealt over so many parts for the join.
-BROADCAST_SOURCES, PARTS = 20_000, 64
+from wireloom.llm.text import kept, n_words, written
 
-#: Ranks are summed in so many steps a source before single documents are ordered, so no source meets in one task.
-BINS = 1024
+#: Ranks are numbers of so many digits of so many values. Words are summed by digit, so what a stratum gives to the
+#: plan is bounded, and the jobs of a plan are as many whatever the tables.
+DIGITS, BASE = 3, 1024
 
 
 def _uniform(seed: int) -> Column:
-    """Random number of a document in (0, 1): a function of its id, so that reruns agree."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 12)
+    """Random number of a document in (0, 1): a function of its id, or of its text if it has none, so that reruns agree."""
+    text = F.when(F.col("doc_id").isNull(), F.col("text"))
+    bits = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed), text), 12)
     return (bits.cast("double") + 0.5) / float(1 << 52)
 
 
@@ -62,155 +64,135 @@ def _odds(p: Column) -> Column:
     return p / (F.lit(1.0) - p)
 
 
-def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
-    """A row a source: target, certain copies, and the rounds that tell which documents get one more copy.
-
-    Ranks are walked once: a document that fits into the words still lacking is taken, one that does not is skipped. A
-    round takes the ranks in front of the first that does not fit; the next goes on with those that are not larger than
-    what is lacking then, until none is left. As ranks are random, what is lacking falls by a factor from round to round.
-    All that are left then are larger than what is lacking. `fill` is the one of them of the nearest size, and `drops` are
-    rounds in the opposite order over the documents taken, which give back what it takes too much; both are empty
-    if they do not bring the source nearer to its target.
-    """
-    plan = source_targets(sizes, **rules)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    plan = kept(plan.withColumn("ratio", ratio))
-    whole = F.floor(F.col("ratio") + 1e-12)
-    plan = plan.withColumn("copies", whole).withColumn("p", F.greatest(F.col("ratio") - whole, F.lit(0.0)))
-    plan = plan.withColumn("wanted", F.col("target") - F.col("copies") * F.col("source_size"))
-    units = kept(sizes.groupBy("source", "doc_id", "u").agg(F.sum("size").alias("unit")))
-    units = _with_plan(units, plan.select("source", "p", "wanted")).filter((F.col("p") > 0) & (F.col("unit") > 0))
-    left = units.withColumn("lacking", F.col("wanted")).filter("unit <= lacking")
-    plan = _with_rounds(plan, _walk(left), "rounds").withColumn("lacking", F.coalesce("left_over", "wanted"))
-    plan = kept(plan.drop("left_over"))
-
-    units = kept(_with_plan(units.select("source", "doc_id", "u", "unit"), plan).withColumn("picked", _picked()))
-    gap = F.abs(F.col("unit") - F.col("lacking"))
-    fill = units.filter(~F.col("picked")).groupBy("source")
-    fill = fill.agg(F.min_by(_key(), F.struct(gap, _key())).alias("fill"), F.min(F.col("unit") - F.col("lacking")).alias("excess"))
-    plan = plan.join(fill.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = kept(plan)
-    taken = _with_plan(units.filter("picked").select("source", "doc_id", "u", "unit"), plan)
-    taken = taken.filter("unit <= excess").select("source", "doc_id", "unit", "p", "wanted", F.col("excess").alias("lacking"), *_back())
-    plan = _with_rounds(plan, _walk(taken), "drops").withColumn("left_over", F.coalesce("left_over", "excess"))
-    nearer = F.coalesce(F.col("left_over") < F.col("lacking"), F.lit(False))
-    plan = plan.withColumn("fill", F.when(nearer, F.col("fill"))).withColumn("drops", F.when(nearer, F.col("drops")))
-    return kept(plan.drop("excess", "left_over"))
-
-
-def _walk(left: DataFrame) -> DataFrame:
-    """source, left_over, rounds: the rounds over documents of at most `lacking` words, and what is lacking after."""
-    left, found = kept(left), []
-    while not left.isEmpty() or not found:
-        found.append(_round(left))
-        left = _with_plan(left.drop("lacking"), found[-1], ranked=False)
-        fits = ~_reached(F.col("edge"), F.col("last")) & (F.col("unit") <= F.col("lacking"))
-        left = kept(left.filter(fits).drop("edge", "last", "most"))
-    rounds = found[0]
-    for more in found[1:]:
-        rounds = rounds.unionByName(more)
-    return rounds.groupBy("source").agg(
-        F.min("lacking").alias("left_over"), F.collect_list(F.struct("most", "edge", "last")).alias("rounds")
-    )
+def _place() -> Column:
+    """A document's place in the ranking, as digits: its rank r as r / (1 + r), which runs from 0 to 1."""
+    rank = _odds(F.col("u")) / _odds(F.greatest(F.col("p"), F.lit(1e-12)))
+    return F.floor(rank / (rank + 1) * float(BASE**DIGITS)).cast("long")
 
 
-def _with_rounds(plan: DataFrame, walk: DataFrame, name: str) -> DataFrame:
-    walk = walk.select(F.col("source").alias("s"), "left_over", F.col("rounds").alias(name))
-    return plan.join(walk, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+def _stratum() -> Column:
+    """Documents of 2^k up to 2^(k + 1) words are of one class."""
+    return F.floor(F.log2("size")).cast("int")
 
 
-def _back() -> tuple[Column, Column]:
-    """u and rank for a walk from the last rank to the first; both are exact."""
-    return (F.lit(1.0) - F.col("u")).alias("u"), (-F.col("rank")).alias("rank")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _round(left: DataFrame) -> DataFrame:
-    """source, most, edge, last, lacking: of the documents left, none larger than `most` words, those in bins before
-    `edge`, and in it up to `last`, fit; `lacking` are the words that a source lacks after them."""
-    bins = left.groupBy("source", _bin().alias("bin")).agg(F.sum("unit").alias("words"), F.max("lacking").alias("most"))
-    running = Window.partitionBy("source").orderBy("bin")
-    bins = bins.withColumn("upto", F.sum("words").over(running))
-    # The first bin that does not fit as a whole; those before it are taken.
-    edge = bins.groupBy("source").agg(
-        F.max("most").alias("most"),
-        F.coalesce(F.min(F.when(F.col("upto") > F.col("most"), F.col("bin"))), F.lit(BINS)).alias("edge"),
-        F.coalesce(F.max(F.when(F.col("upto") <= F.col("most"), F.col("upto"))), F.lit(0)).alias("taken_before"),
-    )
-    edge = kept(edge)
-    rows = _with_plan(left, edge, ranked=False)
-    within = Window.partitionBy("source").orderBy(_key()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at_edge = rows.filter(_bin() == F.col("edge")).withColumn("upto", F.sum("unit").over(within) + F.col("taken_before"))
-    at_edge = at_edge.filter(F.col("upto") <= F.col("most")).groupBy(F.col("source").alias("s"))
-    at_edge = at_edge.agg(F.max(_key()).alias("last"), F.max("upto").alias("reached"))
-    found = edge.join(at_edge, F.col("source").eqNullSafe(F.col("s")), "left")
-    lacking = F.col("most") - F.coalesce("reached", "taken_before")
-    return kept(found.select("source", "most", "edge", "last", lacking.alias("lacking")))
-
-
-def _with_plan(rows: DataFrame, plan: DataFrame, ranked: bool = True) -> DataFrame:
-    """Rows with their source's plan and their rank. A plan of few sources is broadcast; a larger one is joined with
-    each source's rows dealt over parts, as one source may hold most rows."""
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with their source's plan. The plan is a written table, so Spark knows its size and broadcasts it if it is
+    small; else it deals rows by source and splits what one source has too much."""
     plan = plan.withColumnRenamed("source", "plan_source")
-    same = F.col("source").eqNullSafe(F.col("plan_source"))
-    if plan.count() <= BROADCAST_SOURCES:
-        joined = rows.join(F.broadcast(plan), same)
-    else:
-        plan = plan.withColumn("plan_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-        part = _bin() % PARTS
-        joined = rows.join(plan, same & (part == F.col("plan_part"))).drop("plan_part")
-    joined = joined.drop("plan_source")
-    if not ranked:
-        return joined
-    return joined.withColumn("rank", _odds(F.col("u")) / _odds(F.greatest(F.col("p"), F.lit(1e-12))))
-
-
-def _with_unit(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows with `unit`, the words of all rows of their source that share their id. Only repeated ids need a join."""
-    repeated = sizes.groupBy("source", "doc_id").agg(F.sum("size").alias("sum"), F.count(F.lit(1)).alias("n"))
-    repeated = repeated.filter("n > 1").select(F.col("source").alias("s"), F.col("doc_id").alias("d"), "sum")
-    repeated = kept(repeated)
-    if repeated.isEmpty():
-        return rows.withColumn("unit", F.col("size"))
-    same = F.col("source").eqNullSafe(F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
-    return rows.join(repeated, same, "left").withColumn("unit", F.coalesce("sum", "size")).drop("s", "d", "sum")
-
-
-def _bin(u: Column | None = None) -> Column:
-    return F.floor((F.col("u") if u is None else u) * BINS)
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
 
 
-def _key(rank: Column | None = None) -> Column:
-    return F.struct((F.col("rank") if rank is None else rank).alias("rank"), F.col("doc_id").alias("id"))
-
-
-def _reached(edge: Column, last: Column, u: Column | None = None, rank: Column | None = None) -> Column:
-    return (_bin(u) < edge) | ((_bin(u) == edge) & F.coalesce(_key(rank) <= last, F.lit(False)))
-
-
-def _in_rounds(rounds: str, *place: Column) -> Column:
-    taken = F.exists(rounds, lambda r: (F.col("unit") <= r["most"]) & _reached(r["edge"], r["last"], *place))
-    return F.coalesce(taken, F.lit(False))
-
-
-def _picked() -> Column:
-    """Whether a round takes a row's document."""
-    return (F.col("p") > 0) & (F.col("unit") > 0) & _in_rounds("rounds")
+def mix_plan(sizes: DataFrame, **rules) -> DataFrame:
+    """A row a source: target, certain copies, p, and for each class of sizes the cut in the ranking below which documents
+    get one more copy.
+
+    Classes are walked from long to short documents. The words of a class are p times its size and what is left over
+    from longer ones; its lowest ranks are taken while they fit. Digits of the ranking are decided one after the other,
+    the later ones only where the cut fell. A single document at the cut that does not fit is taken with the probability
+    that makes its chance p, if shorter ones can make up for either; else as is nearer to the target. In the end the
+    document at a cut that brings the source nearest to its target is taken. So chances differ from p only by what
+    longer documents of the source leave over.
+    """
+    targets = source_targets(sizes, **rules)
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    whole = F.floor(ratio + 1e-12)
+    plan = targets.withColumn("copies", whole).withColumn("p", F.greatest(ratio - whole, F.lit(0.0)))
+    plan = written(plan.withColumn("budget", F.lit(0.0)).withColumn("cuts", F.lit(None).cast("map<int,bigint>")), "mix-plan")
+    for digit in range(DIGITS):
+        rows = _with_plan(sizes.filter("size > 0"), plan.filter("p > 0").select("source", "p", "cuts"))
+        rows = rows.select("source", "size", _stratum().alias("class"), _place().alias("place"), "cuts")
+        plan = written(_next_digit(plan, rows, digit), f"mix-plan-{digit}")
+    return plan.drop("budget")
+
+
+def _next_digit(plan: DataFrame, rows: DataFrame, digit: int) -> DataFrame:
+    """The plan with cuts that are exact to one more digit, and the words that its sources lack then."""
+    unit = BASE ** (DIGITS - 1 - digit)
+    if digit:
+        cut = F.element_at("cuts", F.col("class"))
+        rows = rows.filter((F.col("place") >= cut) & (F.col("place") < cut + unit * BASE))
+    bins = rows.groupBy("source", "class", F.floor(F.col("place") / unit).cast("long").alias("bin"))
+    bins = bins.agg(F.sum("size").cast("double").alias("words"), F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy("source", "class").orderBy("bin")
+    bins = bins.withColumn("upto", F.sum("words").over(running))
+    classes = bins.groupBy("source", "class").agg(
+        F.sum("words").alias("total"), F.sort_array(F.collect_list(F.struct("bin", "words", "n", "upto"))).alias("bins")
+    )
+    strata = classes.groupBy("source").agg(
+        F.sum("total").alias("everything"),
+        F.sort_array(F.collect_list(F.struct((-F.col("class")).alias("order"), "total", "bins"))).alias("strata"),
+    )
+    plan = plan.join(strata.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    none = F.array().cast("array<struct<class:int,cut:bigint,edge:double>>")
+    start = F.struct(F.col("budget").alias("budget"), F.coalesce("everything", F.lit(0.0)).alias("rest"), none.alias("cuts"))
+    strata = F.coalesce("strata", F.array().cast(strata.schema["strata"].dataType))
+    plan = plan.withColumn("walk", F.aggregate(strata, start, lambda seen, one: _walk(seen, one, digit, unit)))
+    lacking, cuts = F.col("walk")["budget"], F.col("walk")["cuts"]
+    if digit == DIGITS - 1:
+        gap = lambda cut: F.abs(cut["edge"] - lacking)
+        ends = F.transform(F.filter(cuts, lambda cut: gap(cut) < lacking), lambda cut: F.struct(gap(cut), cut["class"].alias("class")))
+        fill = F.array_min(ends)["class"]
+        cuts = F.transform(cuts, lambda cut: cut.withField("cut", cut["cut"] + F.coalesce((cut["class"] == fill).cast("long"), F.lit(0))))
+    found = F.map_from_entries(F.transform(cuts, lambda cut: F.struct(cut["class"], cut["cut"])))
+    if digit:
+        found = F.map_zip_with(F.coalesce("cuts", found), found, lambda _, old, new: F.coalesce(new, old))
+    return plan.withColumn("budget", lacking).withColumn("cuts", found).drop("everything", "strata", "walk")
+
+
+def _walk(seen: Column, stratum: Column, digit: int, unit: int) -> Column:
+    """The words still lacking, and the cuts, after one more class of a source's documents."""
+    budget = seen["budget"] + (F.col("p") * stratum["total"] if not digit else F.lit(0.0))
+    rest = seen["rest"] - stratum["total"]
+
+    def decide(b: Column) -> Column:
+        return _let(F.get(F.filter(stratum["bins"], lambda x: x["upto"] > b), 0), lambda edge: close(b, edge))
+
+    def close(b: Column, edge: Column) -> Column:
+        lacking = b - F.coalesce(edge["upto"] - edge["words"], stratum["total"])
+        take = F.lit(False)
+        if not digit:
+            over, p = edge["words"] - lacking, F.col("p")
+            taken_ok, left_ok = over <= p * rest, lacking <= (1 - p) * rest
+            draw = F.shiftrightunsigned(F.xxhash64(F.col("source"), stratum["order"], F.lit("edge")), 12) / float(1 << 52)
+            nearer = over - p * rest < lacking - (1 - p) * rest
+            single = F.when(taken_ok & left_ok, draw * edge["words"] < lacking).otherwise(taken_ok | (~left_ok & nearer))
+            take = F.coalesce((edge["n"] == 1) & (lacking > 0) & single, F.lit(False))
+        cut = F.coalesce((edge["bin"] + take.cast("long")) * unit, _end(stratum, digit, unit))
+        words = F.when(~take, edge["words"])
+        found = F.struct((-stratum["order"]).alias("class"), cut.alias("cut"), words.alias("edge"))
+        return F.struct(
+            (lacking - F.when(take, edge["words"]).otherwise(F.lit(0.0))).alias("budget"),
+            rest.alias("rest"), F.concat(seen["cuts"], F.array(found)).alias("cuts"),
+        )
+
+    return _let(budget, decide)
+
+
+def _end(stratum: Column, digit: int, unit: int) -> Column:
+    """The cut behind all bins of a class: behind the whole ranking, or behind the bin that the digit before left open."""
+    if not digit:
+        return F.lit(BASE**DIGITS).cast("long")
+    first = F.floor(F.get(stratum["bins"], 0)["bin"] / BASE)
+    return ((first + 1) * BASE * unit).cast("long")
 
 
 def _copies() -> Column:
-    more = (_picked() & ~_in_rounds("drops", *_back())) | F.coalesce(_key() == F.col("fill"), F.lit(False))
-    return (F.col("copies") + F.when(more, 1).otherwise(0)).cast("int")
+    cut = F.when((F.col("p") > 0) & (F.col("size") > 0), F.element_at("cuts", _stratum()))
+    return (F.col("copies") + F.coalesce((_place() < cut).cast("int"), F.lit(0))).cast("int")
 
 
 def mix(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for the rows of document_sizes.
 
     Documents without a source form a source of their own, the last one. Null and empty texts have size 0 and are
-    taken in the certain copies only. Rows that share an id share a rank and so their fate. An empty table gives
-    no rows. No document gets more than `most` copies.
+    taken in the certain copies only. Rows that share an id share a rank, and their fate if they are of one class of
+    sizes; rows without an id are ranked by their text. An empty table gives no rows. No document gets more than `most` copies.
     """
-    rows = _with_plan(_with_unit(sizes, sizes), plan)
-    return rows.select(
+    return _with_plan(sizes, plan).select(
         "doc_id", "source", "size", "source_size", "target", _copies().alias("copies"),
         (_copies() * F.col("size")).cast("long").alias("taken"),
     )
@@ -219,12 +201,10 @@ def mix(sizes: DataFrame, plan: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, **rules) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken.
 
-    No text is shuffled: the plan, a row a source, comes to the documents. Repeated ids come to them too, by a join that
-    moves texts if there are too many to broadcast.
+    No text is shuffled while the plan, a row a source, is small enough to be broadcast.
     """
-    sizes = kept(document_sizes(docs))
-    plan = mix_plan(sizes, **rules)
+    plan = mix_plan(kept(document_sizes(docs)), **rules)
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
     rows = docs.select("doc_id", "source", n_words().alias("size"), _uniform(17).alias("u"), whole)
     repeats = F.explode(F.array_repeat(F.lit(1), _copies()))
-    return _with_plan(_with_unit(rows, sizes), plan).select("document", repeats).select("document.*")
+    return _with_plan(rows, plan).select("document", repeats).select("document.*")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from wireloom.plans.staging import staging_folder
+from wireloom.plans.staging import new_folder, staging_folder
 
 #: White space of the word rules, as a Java character class and as single characters.
 SPACES = r"\x20\x09-\x0D"
@@ -137,6 +137,13 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: like kept(), but Spark knows how large it is and plans joins by it."""
+    path = new_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def text_bytes(column: str = "text") -> Column:
     return F.col(column).cast("binary")
 

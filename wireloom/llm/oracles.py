@@ -130,9 +130,58 @@ SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_
   sha256(unhex(left_over)) AS kept_sha256
 FROM kept"""
 
+#: crc32, bit by bit, as a table of 256 numbers and a fold over a word's bytes.
+_STEP = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+_CRC = f"""
+crc AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: {_STEP}) AS c
+    FROM (SELECT unnest(range(256))::BIGINT AS b)
+  )
+),
+bucket AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i:
+    CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM word)), crc
+)"""
+
+IMPORTANCE_RESAMPLING = f"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({_lowered("text")}, '{_WORD}') AS ws FROM documents
+),
+word AS (
+  SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM doc) GROUP BY ALL
+  UNION ALL
+  SELECT NULL, w, count(*) FROM (SELECT unnest(regexp_extract_all({_lowered("text")}, '{_WORD}')) AS w FROM benchmark) GROUP BY ALL
+),{_CRC},
+counted AS (SELECT doc_id, bucket, n FROM word JOIN bucket USING (w)),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS g
+  FROM (
+    SELECT bucket, CAST(coalesce(sum(n) FILTER (doc_id IS NOT NULL), 0) AS DOUBLE) AS s,
+      CAST(coalesce(sum(n) FILTER (doc_id IS NULL), 0) AS DOUBLE) AS t
+    FROM counted GROUP BY bucket
+  )
+),
+summed AS (
+  SELECT doc_id, CAST(sum(n * g) AS BIGINT) AS total FROM counted JOIN gain USING (bucket) WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+scored AS (
+  SELECT doc_id, len(ws) AS n, CASE WHEN len(ws) = 0 THEN 0 ELSE (total - ((total % len(ws)) + len(ws)) % len(ws)) // len(ws) END AS weight,
+    CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM doc LEFT JOIN summed USING (doc_id)
+),
+noised AS (
+  SELECT doc_id, n, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM scored
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CAST(CASE WHEN n >= 20 AND place <= (10 * (SELECT count(*) FROM scored WHERE n >= 20)) // 100 THEN place END AS BIGINT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS place FROM noised)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
     "op4_jaccard_join": JACCARD_JOIN,
     "op9_suffix_dedup": SUFFIX_DEDUP,
     "op10_quality_rules": QUALITY_RULES,
+    "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }

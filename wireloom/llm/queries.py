@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, toxicity
+from wireloom.llm import decontamination, importance_resampling, jaccard_join, language_id, mixing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, toxicity
 from wireloom.llm.oracles import ORACLE_SQL
 from wireloom.llm.text import held_out, kept
 
@@ -79,6 +79,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's texts, and the rank of those drawn."""
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    rows = importance_resampling.resample(docs.select("doc_id", "text"), benchmark)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -92,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op13_importance_resampling": op13_importance_resampling,
 }

@@ -34,3 +34,16 @@ def numbered(rows: DataFrame, *order: Column | str, name: str = "place") -> Data
     within = F.col(inner).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     placed = ordered.withColumn("_range", part).join(F.broadcast(starts), "_range")
     return placed.withColumn(name, F.col("_before") + within + 1).drop("_range", "_before", inner)
+
+
+def first_of_groups(rows: DataFrame, n: int, groups: list[str], *order: Column, parts: int = 64) -> DataFrame:
+    """The first ``n`` rows of each group in a total order.
+
+    Each group is dealt over ``parts`` tasks first, so that none of them sees a whole group, even one that
+    holds most rows; Spark keeps no more than ``n`` rows of a group in the map tasks too.
+    """
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
+    for keys in ([*groups, "_part"], groups):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        dealt = dealt.withColumn("_place", place).filter(F.col("_place") <= n)
+    return dealt.drop("_part", "_place")

@@ -154,12 +154,12 @@ def draw(rows: DataFrame, percent: int = 10, least_words: int = 20, seed: int =
     floor(percent * N / 100) of the N rows of at least `least_words` words are drawn, ties by ascending doc_id, rows
     without one last. The noise is a function of doc_id, so rows of one id differ by their weights only; a missing id
     counts as an empty one. Scores are whole numbers; their counts, a row a score, give the score that is
-    drawn last, so only rows from there on are sorted.
+    drawn last, so only rows from there on are sorted. Columns called score and rank are replaced.
     """
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"), 256)
     h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double")
     noise = F.floor(F.log(-F.log((h + 0.5) / 4294967296.0)) * -1000)
-    rows = written(rows.withColumn("score", (F.col("weight") + noise).cast("long")), "weighed")
+    rows = written(rows.drop("score", "rank").withColumn("score", (F.col("weight") + noise).cast("long")), "weighed")
     enough = F.col("n_words") >= least_words
     scores = rows.filter(enough).groupBy("score").agg(F.count(F.lit(1)).alias("n"))
     wanted = scores.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * percent // 100

@@ -12,7 +12,7 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -152,11 +152,32 @@ def fit(docs: DataFrame, examples: int = EXAMPLES) -> Formats:
     chosen: dict[str, list[str]] = {}
     for row in first_of_groups(distinct, examples, ["kind"], F.col("place"), F.col("value")).collect():
         chosen.setdefault(row["kind"], []).append(row["value"])
+    labelled = {kind: chosen[kind] for kind in KINDS if kind in chosen}
+    kinds = {kind: infer(chosen.pop(kind)) for kind in KINDS if chosen.get(kind)}
     everything = max(1, sum(counts.values()))
-    shares = {kind: math.log(n / everything) for kind, n in counts.items()}
-    automata = {kind: infer(values) for kind, values in chosen.items()}
-    kinds = {kind: automata.pop(kind) for kind in KINDS if kind in automata}
-    return Formats(kinds, automata, shares, -math.log(everything))
+    for shape, runs in chosen.items():
+        chosen[shape] = [run for run, hidden in zip(runs, unlabelled(runs, counts, kinds, labelled, shape)) if not hidden]
+        counts[shape] = counts[shape] * len(chosen[shape]) / len(runs)
+    shares = {kind: math.log(n / everything) for kind, n in counts.items() if n}
+    return Formats(kinds, {shape: infer(runs) for shape, runs in chosen.items() if runs}, shares, -math.log(everything))
+
+
+def unlabelled(runs: list[str], counts: dict, kinds: dict[str, Automaton], labelled: dict[str, list[str]], shape: str) -> np.ndarray:
+    """Which runs of a shape are credentials that no pattern finds, so that ordinary text is not learned from them.
+
+    That is told by a kind's values: a run is no shorter or longer than they, and no less likely by character than all but
+    a hundredth of them. Where such runs occur more often than the kind's values they are taken for ordinary text.
+    """
+    hidden = np.zeros(len(runs), bool)
+    sizes = np.array([len(run) for run in runs])
+    for kind, automaton in kinds.items():
+        values = labelled[kind]
+        lengths = np.array([len(value) for value in values])
+        least = np.quantile(automaton.likelihoods(values) / (lengths + 1), 0.01)
+        alike = (automaton.likelihoods(runs) / (sizes + 1) >= least) & (sizes >= lengths.min()) & (sizes <= lengths.max())
+        if alike.mean() * counts[shape] <= counts[kind]:
+            hidden |= alike
+    return hidden
 
 
 def find_secrets(docs: DataFrame, formats: Formats) -> DataFrame:
@@ -210,11 +231,15 @@ def redacted(rows: DataFrame, mask: str = "[secret]") -> DataFrame:
     return rows.withColumn("text", F.aggregate("secrets", start, step, whole))
 
 
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
 def digest(rows: DataFrame) -> DataFrame:
     """n_assign, n_access, n_hex, base_sha256, spans and n_added of rows of find_secrets."""
     shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("secrets", lambda s: s["kind"].isin(*KINDS))
-    n = [F.size(F.filter("secrets", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    n = [F.size(F.filter("secrets", _is(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     added = (F.size("secrets") - F.size(base)).cast("long")
     return rows.select(
         "doc_id", *n, F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"), shown(F.col("secrets")).alias("spans"), added.alias("n_added")

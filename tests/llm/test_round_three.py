@@ -10,9 +10,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_operators import CLASHING, EDGES, FOLDER, WORD, benchmark, docs, edges, empty, lowered  # noqa: F401
+from test_operators import EDGES, FOLDER, LONG, WORD, benchmark, docs, edges, empty, lowered  # noqa: F401
 
-from wireloom.llm import importance_resampling, secret_scan
+from wireloom.llm import importance_resampling, lexical_search, secret_scan
 from wireloom.llm.automata import infer
 from wireloom.llm.queries import QUERIES
 
@@ -172,3 +172,79 @@ def test_secret_scan_edges(spark, edges, empty):  # noqa: F811
     assert secret_scan.fit(empty).verdicts(["abcdefgh"]) == [None]
     twice = secret_scan.redacted(secret_scan.find_secrets(spark.createDataFrame([(1, "x token=" + "0a" * 20 + " y"), (2, None)], "doc_id int, text string"), formats))
     assert [r["text"] for r in twice.orderBy("doc_id").collect()] == ["x [secret] y", None]
+
+
+def searched(docs, items, results=10):
+    """{(item_id, rank): (doc_id, score)} over rows of (id, text), in plain Python."""
+    found = [(number, Counter(WORD.findall(lowered(text)))) for number, text in docs]
+    found = [(number, counts, sum(counts.values())) for number, counts in found if counts]
+    big_n, big_l = len(found), sum(n for _, _, n in found)
+    df = Counter(term for _, counts, _ in found for term in counts)
+    terms, out = {}, {}
+    for item, text in items:
+        terms.setdefault(item, Counter()).update(WORD.findall(lowered(text)))
+    for item, wanted in terms.items():
+        scores = []
+        for number, counts, n in found:
+            m, score = 100 - 75 + 75 * n * big_n // big_l, 0
+            for term, times in wanted.items():
+                tf = counts.get(term, 0)
+                w = math.floor(1000 * math.log((2 * big_n + 2) / (2 * df[term] + 1)))
+                score += times * w * (1_000_000_000 * tf // (1000 * tf + 8 * m))
+            if score:
+                scores.append((-score, number is None, number))
+        for rank, (score, _, number) in enumerate(sorted(scores)[:results], 1):
+            out[item, rank] = (number, -score)
+    return out
+
+
+def test_lexical_search(spark, docs, benchmark, monkeypatch):  # noqa: F811
+    texts, items = [(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in benchmark.collect()]
+    expected = searched(texts, items)
+    rows = QUERIES["op11_lexical_search"](spark, FOLDER).collect()
+    assert {(r["item_id"], r["rank"]): (r["doc_id"], r["score"]) for r in rows} == expected and len(rows) == len(expected)
+    # In parts, with chunks of a few terms, from an index made before, with other numbers of results.
+    monkeypatch.setattr(lexical_search, "PART_TERMS", 300)
+    monkeypatch.setattr(lexical_search, "LOOKED_UP", 7)
+    index = lexical_search.build_index(docs)
+    rows = lexical_search.search(docs, benchmark.limit(12), index, results=3).collect()
+    assert {(r["item_id"], r["rank"]): (r["doc_id"], r["score"]) for r in rows} == searched(texts, items[:12], 3)
+
+
+def test_bounds_hold_and_exclude(docs, benchmark):  # noqa: F811
+    """No bound is below the score, and few documents are left to score."""
+    index = lexical_search.build_index(docs)
+    items = [Counter(WORD.findall(lowered(r["text"]))) for r in benchmark.limit(8).collect()]
+    items = [Counter({t.encode(): n for t, n in item.items()}) for item in items]
+    search = lexical_search._prepared(docs, index, items)
+    counts = {r["doc_id"]: Counter(w.encode() for w in WORD.findall(lowered(r["text"]))) for r in docs.collect()}
+    tight = []
+    for block in index.collect():
+        ids, sizes = np.array(block["ids"]), np.array(block["sizes"])
+        for item, bounds in search.bounds(block["bits"], sizes, bytes(block["slices"])):
+            for number, size, bound in zip(ids, sizes, bounds):
+                score = search.score(item, counts[number], int(size))
+                assert score <= bound and size == sum(counts[number].values())
+                tight.append(bound <= 1.05 * score + 1)
+    assert len(tight) == 8 * len(counts) and np.mean(tight) > 0.7
+
+
+def test_lexical_search_edges(spark, edges, empty):  # noqa: F811
+    items = [(1, "ONE two"), (2, None), (3, "!"), (None, "fox"), (None, "jumps"), (4, "nowhere"), (5, "aaaaaaaa " * 3), (6, "x " * 40 + LONG)]
+    table = spark.createDataFrame(items, "item_id int, text string").withColumn("doc_id", F.lit("own"))
+    texts = [(r["doc_id"], r["text"]) for r in edges.collect()]
+    rows = lexical_search.search(edges, table).collect()
+    expected = searched(texts, items)
+    assert {(r["item_id"], r["rank"]): (r["doc_id"], r["score"]) for r in rows} == expected and len(rows) == len(expected)
+    assert None in {r["doc_id"] for r in rows}
+    assert lexical_search.search(empty, table).count() == 0
+    assert lexical_search.search(edges, table.filter("false")).count() == 0
+
+
+def test_lexical_search_among_copies(spark):
+    """Copies tie at the last result: the ids decide, and bounds above the scores do not add links."""
+    rows = [(n, "alpha beta gamma delta") for n in range(300, 0, -1)] + [(1000 + n, f"alpha w{n} " + "beta " * (n % 40)) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")  # noqa: F811
+    items = [(1, "alpha beta"), (2, "gamma"), (3, "w7 beta")]
+    found = lexical_search.search(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["item_id"], r["rank"]): (r["doc_id"], r["score"]) for r in found} == searched(rows, items)

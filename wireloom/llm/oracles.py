@@ -130,6 +130,30 @@ SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_
   sha256(unhex(left_over)) AS kept_sha256
 FROM kept"""
 
+LEXICAL_SEARCH = f"""
+WITH term AS (
+  SELECT doc_id, t, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_lowered("text")}, '{_WORD}')) AS t FROM documents) GROUP BY ALL
+),
+doc AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM term GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM doc),
+spread AS (SELECT doc_id, 100 - 75 + (75 * n * n_docs) // n_terms AS m FROM doc, total),
+wanted AS (
+  SELECT item_id, t, count(*) AS q
+  FROM (SELECT item_id, unnest(regexp_extract_all({_lowered("text")}, '{_WORD}')) AS t FROM benchmark) GROUP BY ALL
+),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM term GROUP BY t), total
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (t) JOIN term USING (t) JOIN spread USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10"""
+
 #: crc32, bit by bit, as a table of 256 numbers and a fold over a word's bytes.
 _STEP = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
 _CRC = f"""
@@ -183,5 +207,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_jaccard_join": JACCARD_JOIN,
     "op9_suffix_dedup": SUFFIX_DEDUP,
     "op10_quality_rules": QUALITY_RULES,
+    "op11_lexical_search": LEXICAL_SEARCH,
     "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }

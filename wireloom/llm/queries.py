@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireloom.llm import decontamination, importance_resampling, jaccard_join, language_id, mixing, quality_classifier, quality_rules, secret_scan, sharding, suffix_dedup, token_counts, toxicity
+from wireloom.llm import decontamination, importance_resampling, jaccard_join, language_id, lexical_search, mixing, quality_classifier, quality_rules, secret_scan, sharding, suffix_dedup, token_counts, toxicity
 from wireloom.llm.oracles import ORACLE_SQL
 from wireloom.llm.text import held_out, kept
 
@@ -79,6 +79,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets: those of the patterns, and what looks like them."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
     "op12_secret_scan": op12_secret_scan,
     "op13_importance_resampling": op13_importance_resampling,
 }

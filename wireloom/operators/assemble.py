@@ -90,7 +90,7 @@ def sum_pieces(lines: DataFrame) -> DataFrame:
     """One row per key and piece of classified lines, with the piece's ``other_log``.
 
     Parsed records that still have a ``reason`` may be among the lines. Those that are no line
-    have no key; their pieces have them in ``malformed``.
+    have no key; their pieces have them in ``malformed``. ``first_offset`` and ``last_offset`` tell what was read.
     """
     wide = F.shiftright("offset", 2 * PIECE_BITS).alias("stretch")
     near = lines.repartition(*[F.col(c) for c in PLACE], wide)
@@ -169,6 +169,8 @@ def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
         F.array_sort(bodies).alias("bodies"),
         F.array_sort(others).alias("others"),
         bad.alias("malformed"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
     )
     return (
         total.withColumn("bodies", chain_of(F.col("bodies")))

@@ -21,6 +21,9 @@ OPEN = "open"
 END_ONLY = "end_only"
 NEITHER = "neither"
 
+# The order of events.
+START_ORDER = ("start_time", "request_key")
+
 # Status of an emitted row.
 TIMEOUT = "timeout"
 FRAGMENT = "fragment"
@@ -45,10 +48,8 @@ def with_completeness(events: DataFrame) -> DataFrame:
 
 
 def by_start(events: DataFrame) -> DataFrame:
-    """Events that have a start, earliest first; a range-partitioned sort."""
-    return events.filter(F.col("start_time").isNotNull()).orderBy(
-        "start_time", "request_key"
-    )
+    """Events that have a start, earliest first; a range-partitioned sort. ``order.numbered`` gives their places."""
+    return events.filter(F.col("start_time").isNotNull()).orderBy(*START_ORDER)
 
 
 def with_event_day(events: DataFrame) -> DataFrame:
@@ -88,6 +89,7 @@ class Reconciled:
     emitted: DataFrame  # rows of schema EMITTED
     still_open: Summed  # for the next batch
     dropped: DataFrame  # rows of schema EMITTED: what came without an open event
+    decided: DataFrame  # exchange rows with ``status``, ``known`` (open before) and ``seen`` (in the batch)
 
 
 def reconcile(
@@ -126,6 +128,7 @@ def reconcile(
         emitted=emitted,
         still_open=Summed(kept, texts.join(kept.select("request_key"), "request_key", "left_semi")),
         dropped=to_emitted(decided.filter(F.col("status") == DROPPED), batch.texts),
+        decided=decided,
     )
 
 

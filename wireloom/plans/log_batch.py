@@ -14,18 +14,18 @@ from pyspark.sql.utils import AnalysisException
 
 from wireloom.operators.assemble import Summed, malformed_of, sum_pieces, summed
 from wireloom.operators.lines import classified_records, parse_records
-from wireloom.operators.route import EXPIRE_MINUTES, reconcile
+from wireloom.operators.route import EXPIRE_MINUTES, OPEN, batch_clock, is_expired, reconcile
 from wireloom.operators.upsert import append_batch, next_write
-from wireloom.plans.staging import Staging, remove_folder
-from wireloom.schema import EXCHANGE, TEXTS
+from wireloom.plans.open_store import Commit, OpenStore, unread
+from wireloom.plans.staging import Staging
 
 RUNS = "run string, base bigint"
 
 
 @dataclass(frozen=True)
 class LogTables:
-    """Folders of the job: events by day, what each batch leaves open, records that are no
-    lines, what came without an open event, and the first write number of each run."""
+    """Folders of the job: events by day, what is open between batches (``plans.open_store``), records
+    that are no lines, what came without an open event, and the first write number of each run."""
 
     events: str
     open: str
@@ -63,7 +63,8 @@ def first_write(spark: SparkSession, tables: LogTables, run: str) -> int:
     found = known.filter(F.col("run") == run).agg(F.max("base")).first()[0]
     if found is not None:
         return found
-    base = max(next_write(spark, tables.events), 1 + (known.agg(F.max("base")).first()[0] or -1))
+    written = [next_write(spark, tables.events), 1 + (known.agg(F.max("base")).first()[0] or -1)]
+    base = max(written + [commit.write + 1 for commit in OpenStore(spark, tables.open).commits()])
     spark.createDataFrame([(run, base)], RUNS).coalesce(1).write.mode("append").parquet(tables.runs)
     return base
 
@@ -76,46 +77,81 @@ def run_log_batch(
     emit_fragments: bool = False,
     run: str = "",
     base: int | None = None,
+    resume: bool = False,
 ) -> BatchCounts:
     """One batch: continues what batch ``batch_id - 1`` of the run left open, and writes the
     events. The records are read once.
 
     Batches of a run are numbered from 0. A batch that runs again replaces what it wrote, as
-    long as the next one has not run; snapshots before the last one are removed. Malformed
-    records and dropped fragments are kept in tables of their own, and counted. ``base`` is the
-    run's ``first_write``, for callers that know it.
+    long as the next one has not run. Of the open exchanges a batch reads those that its records
+    or the clock touch, and writes no others. Malformed records and dropped fragments are kept in tables of their
+    own, and counted. ``base`` is the run's ``first_write``, for callers that know it.
+
+    With ``resume`` batch 0 goes on from the last batch of the run before: its open exchanges are
+    taken over, and this run skips the records below the offsets that were read then. That is for
+    sources that deliver the records of a partition in the order of their offsets.
     """
     spark = records.sparkSession
     base = first_write(spark, tables, run) if base is None else base
+    store, write = OpenStore(spark, tables.open), base + batch_id
+    last = store.before(write) if batch_id or resume else None
+    taken_over = () if last is None else last.taken_over if batch_id else last.offsets
+    records = unread(records, taken_over)
 
-    def part(table: str, number: int = batch_id) -> str:
-        return f"{table}/batch_id={base + number}"
+    def part(table: str) -> str:
+        return f"{table}/batch_id={write}"
 
-    before = Summed.nothing(spark)
-    if batch_id:
-        folder = part(tables.open, batch_id - 1)
-        before = Summed(
-            spark.read.schema(EXCHANGE).parquet(f"{folder}/exchanges"),
-            spark.read.schema(TEXTS).parquet(f"{folder}/texts"),
-        )
     with Staging(spark) as stage:
         pieces = stage(sum_pieces(classified_records(parse_records(records))), "pieces")
         malformed_of(pieces).write.mode("overwrite").parquet(part(tables.malformed))
-        batch = summed(pieces, base + batch_id)
+        batch = summed(pieces, write)
         batch = Summed(stage(batch.exchanges, "exchanges"), batch.texts)
+        before, clock = _touched(store, last, batch, expire_minutes, stage)
         outcome = reconcile(
             batch,
             before,
+            clock=clock,
             expire_minutes=expire_minutes,
             emit_fragments=emit_fragments,
             keep=lambda decided: stage(decided, "decided"),
         )
-        append_batch(outcome.emitted, base + batch_id, tables.events)
+        append_batch(outcome.emitted, write, tables.events)
         outcome.dropped.write.mode("overwrite").parquet(part(tables.dropped))
-        left = part(tables.open)
-        outcome.still_open.exchanges.write.mode("overwrite").parquet(f"{left}/exchanges")
-        outcome.still_open.texts.write.mode("overwrite").parquet(f"{left}/texts")
-    if batch_id > 1:
-        remove_folder(spark, part(tables.open, batch_id - 2))
-    count = lambda table: spark.read.parquet(part(table)).count()
-    return BatchCounts(count(tables.malformed), count(tables.dropped))
+        left = outcome.still_open.exchanges
+        new_texts = batch.texts.join(left.select("request_key"), "request_key", "left_semi")
+        gone = outcome.decided.filter(F.col("known") & (F.col("status") != OPEN))
+        store.write(write, left, new_texts.select(*batch.texts.columns), gone)
+        n = _counts(spark, {
+            "malformed": part(tables.malformed), "dropped": part(tables.dropped),
+            "open": f"{part(tables.open)}/exchanges", "gone": f"{part(tables.open)}/gone",
+        })
+        place = pieces.filter(F.col("last_offset").isNotNull()).groupBy("topic", "partition")
+        offsets = place.agg(F.min("first_offset").alias("first"), F.max("last_offset").alias("last")).collect()
+        store.commit(last, write, run, n["open"] + n["gone"], offsets, taken_over)
+    return BatchCounts(n["malformed"], n["dropped"])
+
+
+def _touched(
+    store: OpenStore, last: Commit | None, batch: Summed, expire_minutes: int, stage: Staging
+) -> tuple[Summed, DataFrame | None]:
+    """The open exchanges that have lines in the batch or that expire, and the clock."""
+    if last is None or not (last.held or last.changed):
+        return Summed.nothing(store.spark), None
+    heads = store.heads(last)
+    clock = stage(batch_clock(batch.exchanges, heads), "clock")
+    seen = batch.exchanges.select("request_key", F.lit(True).alias("seen"))
+    old = is_expired(clock.scalar(), F.col("start_ts"), expire_minutes)
+    keys = heads.join(seen, "request_key", "left").filter(F.coalesce("seen", F.lit(False)) | old)
+    keys = stage(keys.select("request_key", "born"), "touched")
+    found = store.lookup(last, keys)
+    return Summed(stage(found.exchanges, "before"), found.texts), clock
+
+
+def _counts(spark: SparkSession, folders: dict[str, str]) -> dict[str, int]:
+    """Rows of some folders, in one job."""
+    found = None
+    for name, folder in folders.items():
+        rows = spark.read.parquet(folder).select(F.lit(name).alias("name"))
+        found = rows if found is None else found.unionByName(rows)
+    counts = dict(found.groupBy("name").count().collect())
+    return {name: counts.get(name, 0) for name in folders}

@@ -391,7 +391,7 @@ FROM payloads WHERE kind = 'request_start'""",
   CASE WHEN start_ms IS NULL THEN CASE WHEN end_ms IS NULL THEN 'neither' ELSE 'end_only' END
     WHEN end_ms IS NULL THEN 'open' ELSE 'complete' END AS completeness FROM ev""",
         "events_by_start": _with(*_LOG, _events())
-        + """ SELECT request_key, start_ms, (start_ms - (
+        + """ SELECT request_key, row_number() OVER (ORDER BY start_ms, request_key) AS place, start_ms, (start_ms - (
     SELECT min(start_ms) FROM ev WHERE end_ms IS NOT NULL)) // 60000 AS minutes
 FROM ev WHERE start_ms IS NOT NULL ORDER BY start_ms, request_key""",
         "daily_events": _with(*_LOG, _events())
@@ -412,6 +412,13 @@ FROM events GROUP BY 1""",
   CAST(1 AS BIGINT) AS batch_id FROM ev""",
         "streamed_events": in_batches,
         "streamed_batches": in_batches,
+        "resumed_events": _with(*_LOG, _events())
+        + f""",
+clock AS (
+  SELECT min(log_ms) AS ms FROM lines JOIN ev USING (request_key) WHERE start_ms IS NOT NULL AND lines.off % 16 >= 8
+)
+SELECT ev.*, CASE WHEN end_ms IS NULL THEN 'timeout' ELSE 'complete' END AS status, {_EVENT_DAY} AS event_day, 1::BIGINT AS n_writes
+FROM ev, clock WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR (clock.ms - start_ms) // 60000 > 15)""",
         "member_rows": _with(_PARTNER_ROWS, _new_rows()) + " SELECT * FROM fresh",
         "member_points": _with(_PARTNER_ROWS)
         + f""" SELECT partner_member_card, seq, partner_point,

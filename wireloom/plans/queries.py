@@ -24,7 +24,9 @@ from wireloom.operators.members import (
     rejected_rows,
     to_member_rows,
 )
+from wireloom.operators.order import numbered
 from wireloom.operators.route import (
+    START_ORDER,
     TIMEOUT,
     batch_clock,
     by_start,
@@ -188,12 +190,13 @@ def completeness(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with a start in their order, and the minutes since the clock of the batch."""
+    """Events with a start and their places in its order, and the minutes since the clock of the batch."""
     known = summarise(_classified(spark, folder))
     clock = batch_clock(known.exchanges, _no_open(spark))
-    ordered = by_start(to_events(known.exchanges, known.texts))
+    ordered = numbered(by_start(to_events(known.exchanges, known.texts)), *START_ORDER)
     return ordered.select(
         "request_key",
+        "place",
         F.unix_millis("start_time").alias("start_ms"),
         whole_minutes(F.col("start_time"), clock.scalar()).alias("minutes"),
     )
@@ -365,12 +368,13 @@ def _slices(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [log.filter(part).repartition(SLICE_FILES, exchange) for part in parts]
 
 
-def _stream(spark: SparkSession, tables: LogTables, source: str, checkpoint: str, files: int) -> None:
+def _stream(spark: SparkSession, tables: LogTables, source: str, checkpoint: str, files: int, **rules) -> None:
     query = start_log_job(
         record_files(spark, source, files_per_trigger=files),
         tables,
         checkpoint,
         trigger={"availableNow": True},
+        **rules,
     )
     query.awaitTermination()
 
@@ -395,6 +399,23 @@ def streamed_batches(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(read_events(spark, tables.events))
 
 
+# Offset at which a log of all requests, and then all responses, is cut.
+RESPONSES = 1 << 40
+
+
+def resumed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """All requests through one stream; then a new checkpoint over the whole log, which takes over what is open and
+    skips what was read. Events, and how often each was written."""
+    source, tables = new_folder(spark, "resumed-source"), LogTables.under(new_folder(spark, "resumed-tables"))
+    response = F.col("offset") % 16 >= 8
+    log = records(spark, folder).withColumn("offset", F.col("offset") + F.when(response, RESPONSES).otherwise(0))
+    for part, resume in ((F.col("offset") < RESPONSES, False), (F.col("offset") >= RESPONSES, True)):
+        log.filter(part).write.mode("append").parquet(source)
+        _stream(spark, tables, source, new_folder(spark, "resumed-checkpoint"), 1000, resume=resume)
+    writes = spark.read.parquet(f"{tables.events}/appended").groupBy("request_key").agg(F.count("*").alias("n_writes"))
+    return _plain(read_events(spark, tables.events)).join(writes, "request_key")
+
+
 # Members
 
 
@@ -501,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "last_written_events": last_written_events,
     "streamed_events": streamed_events,
     "streamed_batches": streamed_batches,
+    "resumed_events": resumed_events,
     "member_rows": member_rows,
     "member_points": member_points,
     "member_merge": member_merge,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wireloom.plans.log_batch import BatchCounts, LogTables, first_write, run_log_batch
+from wireloom.plans.open_store import OpenStore
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -16,6 +17,15 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
+def starting_offsets(spark: SparkSession, tables: LogTables) -> str:
+    """Where the last batch ended, as Kafka's option ``startingOffsets``; ``earliest`` if there was none."""
+    commits = OpenStore(spark, tables.open).commits()
+    places: dict[str, dict[str, int]] = {}
+    for topic, partition, _, until in commits[-1].offsets if commits else ():
+        places.setdefault(topic, {})[str(partition)] = until
+    return json.dumps(places) if places else "earliest"
+
+
 def start_log_job(
     records: DataFrame,
     tables: LogTables,
@@ -31,6 +41,10 @@ def start_log_job(
     gives out; so neither a source partition that runs ahead nor a line with a time in the
     future expires what others still wait for. ``report`` gets the counts of each batch.
 
+    A new checkpoint starts a new run, which knows nothing of the old one unless the rule
+    ``resume=True`` is given: then it takes over what is open and skips what was read. A Kafka source can start there
+    at once, with ``starting_offsets`` as its option.
+
     A micro-batch takes a few Spark jobs; one that takes longer than the trigger is followed at
     once by the next, which then has more to do.
     """

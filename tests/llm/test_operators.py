@@ -118,6 +118,21 @@ def test_decontamination(docs, benchmark, edges, empty, spark):
     assert decontamination.hit_digest(decontamination.find_hits(edges, short.filter("false"))).filter("contaminated").count() == 0
 
 
+def test_decontamination_counts_an_item_once(docs, benchmark):
+    """Rows of one item_id are one item, whole or in parts."""
+    items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
+    shifted = benchmark.withColumn("item_id", F.lit(7)).unionByName(benchmark.filter("item_id % 2 = 0"))
+    windows = windows_of([(7, text) for _, text in items] + [i for i in items if i[0] % 2 == 0])
+    for part_words in (decontamination.PART_WORDS, 100):
+        rows = decontamination.hit_digest(decontamination.find_hits(docs, shifted, part_words=part_words)).collect()
+        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+        for r in rows:
+            n, hit, ids = hits_of(texts[r["doc_id"]], windows)
+            assert (r["n_words"], r["n_hit"], r["n_items"]) == (n, hit, len(ids))
+            assert r["items_sha256"] == hashlib.sha256(",".join(ids).encode()).hexdigest()
+    assert max(r["n_items"] for r in rows) >= 2
+
+
 def test_language_id(docs, edges, empty):
     filters = language_id.fit(docs.filter(~held_out(5, 0)))
     assert filters.languages == sorted({r["lang"] for r in docs.select("lang").collect()})

@@ -1,7 +1,8 @@
 """Benchmark decontamination: windows of benchmark words are looked up in training texts, and hits are removed.
 
-The benchmark's windows go to the executors as a hash set with a bitmap in front. Its size is bounded: a benchmark
-beyond the bound is cut into parts, and the documents pass them one after the other in the same narrow job.
+The benchmark's windows are made by Spark and go to the executors as a hash set with a bitmap in front. Its size is
+bounded: a benchmark beyond the bound is dealt into parts, and the documents pass them one after the other, with a table
+between, so that one part's set is held at a time.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from wireloom.llm.text import RangeHash, WORD_TABLE, map_rows, shipped, spaced_words, text_bytes, window_hashes, word_bounds
+from wireloom.llm.text import RangeHash, WORD_TABLE, map_rows, shipped, spaced_words, text_bytes, window_hashes, written
 
 #: Consecutive words of a window; items of fewer words are one window.
 WINDOW = 10
@@ -30,27 +31,18 @@ FOUND = "n_words:bigint,_spans:array<struct<first:int,last:int>>,_items:array<st
 
 
 class Windows:
-    """Hash set of the windows of some items: fingerprint to (words, numbers of the items that hold them)."""
+    """Hash set of windows: fingerprint to (words, numbers of the items that hold them). Items are numbered by id, so rows
+    that share one count as one item."""
 
-    def __init__(self, items: Iterable[tuple[str, bytes]], size: int) -> None:
-        self.size, self.names, hasher = size, [], RangeHash()
+    def __init__(self, windows: Iterable[tuple[bytes, int, list[str]]]) -> None:
+        hasher, numbers = RangeHash(), {}
         self.found: dict[int, dict[int, list[tuple[bytes, list[int]]]]] = {}
         with np.errstate(over="ignore"):
-            for name, text in items:
-                words = spaced_words(text)
-                count = words.count(b" ") + 1 if words else 0
-                if not count:
-                    continue
-                self.names.append(name)
-                length = min(size, count)
-                hashes, starts, ends = window_hashes(hasher, words, length)
-                for h, s, e in zip(hashes.tolist(), starts.tolist(), ends.tolist()):
-                    entries = self.found.setdefault(length, {}).setdefault(h, [])
-                    held = next((held for window, held in entries if window == words[s:e]), None)
-                    if held is None:
-                        entries.append((words[s:e], held := []))
-                    if not held or held[-1] != len(self.names) - 1:
-                        held.append(len(self.names) - 1)
+            for words, length, names in windows:
+                (h,) = window_hashes(hasher, words, length)[0].tolist()
+                held = [numbers.setdefault(name, len(numbers)) for name in names]
+                self.found.setdefault(length, {}).setdefault(h, []).append((words, held))
+        self.names = list(numbers)
         most = max((len(by_hash) for by_hash in self.found.values()), default=1)
         self.bits = max(16, min(26, (256 * most).bit_length()))
         self.maps = {}
@@ -85,19 +77,40 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_parts(benchmark: DataFrame, size: int = WINDOW, part_words: int = PART_WORDS) -> Iterator[Windows]:
-    """The benchmark's windows in parts of about `part_words` words each, one at a time, however large it is."""
+def windows_of(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(words, length, items): the different windows of all items and the ids of those that hold each, as text.
+
+    An item without an id counts under the empty name; rows of one id are one item; texts without words have none.
+    """
+
+    def cutter():
+        def cut(columns: dict) -> dict:
+            out: dict[str, list] = {"words": [], "length": [], "item": []}
+            for item, text in zip(columns["item"], columns["text"]):
+                words = spaced_words(text).split()
+                length = min(size, len(words))
+                windows = {b" ".join(words[at : at + length]) for at in range(len(words) - length + 1)} if words else set()
+                out["words"] += windows
+                out["length"] += [length] * len(windows)
+                out["item"] += [item] * len(windows)
+            return out
+
+        return cut
+
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_bytes())
-    items = items.filter(F.col("text").isNotNull())
-    part, held, given = [], 0, False
-    for row in items.toLocalIterator():
-        part.append((row["item"], bytes(row["text"])))
-        held += len(row["text"]) // 5 + 1
-        if held >= part_words:
-            yield Windows(part, size)
-            part, held, given = [], 0, True
-    if part or not given:
-        yield Windows(part, size)
+    rows = map_rows(items, "words binary, length int, item string", cutter)
+    return rows.groupBy("words", "length").agg(F.collect_set("item").alias("items"))
+
+
+def benchmark_parts(benchmark: DataFrame, size: int = WINDOW, part_words: int = PART_WORDS) -> Iterator[Windows]:
+    """The benchmark's windows in parts of about `part_words` words each, one at a time; a part, and no more, comes to the
+    driver. A window that many items share is in one part with all of them."""
+    windows = written(windows_of(benchmark, size), "windows")
+    # A word begins about one window, so windows count like words.
+    parts = max(1, -(-windows.count() // part_words))
+    for part in range(parts):
+        mine = windows if parts == 1 else windows.filter(F.pmod(F.xxhash64("words"), F.lit(parts)) == part)
+        yield Windows((bytes(row["words"]), row["length"], sorted(row["items"])) for row in mine.collect())
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
@@ -105,13 +118,20 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_
 
     Columns that the documents have already under these names are replaced. Null and empty texts have no words and
     no hits; items without words have no window; an item without an id counts under the empty name. Rows that
-    repeat are each looked at. Narrow: no shuffle, whatever a passage's frequency.
+    repeat are each looked at. Narrow: no shuffle, whatever a passage's frequency. Rows of one item_id are one item.
     """
+    context = docs.sparkSession.sparkContext
     stay = [F.col(f"`{name}`") for name in docs.columns if name not in ("n_words", "_spans", "_items")]
     rows = docs.select(F.struct(*stay).alias("document"), F.expr(f"cast(null as struct<{FOUND}>)").alias("hits"))
+    before = None
     for part in benchmark_parts(benchmark, window, part_words):
-        rows = shipped(rows).mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(part), rows.schema), rows.schema)
-    return rows.select("document.*", "hits.*")
+        if before is not None:
+            rows = written(rows, "hits")
+            before.destroy()
+        before = context.broadcast(part)
+        rows = shipped(rows).mapInArrow(_scan(before, rows.schema), rows.schema)
+    found = F.col("hits").withField("_items", F.array_distinct("hits._items"))
+    return rows.withColumn("hits", found).select("document.*", "hits.*")
 
 
 def _scan(shared, schema: StructType):

@@ -1,9 +1,10 @@
-"""Near duplicates as a similarity join: MinHash LSH forest, then exact Jaccard similarity of word shingles.
+"""Near duplicates as a similarity join: MinHash bands, then exact Jaccard similarity of word shingles.
 
-Each tree of the forest is a trie of signatures; texts that share a prefix in one tree are candidates. Prefixes are
-shortened until pairs at the least similarity asked for meet in some tree with the target recall. Candidates are held as
-components, never as pairs: equal prefixes chain texts together, and all links lie within a component. There every pair
-is verified exactly, in blocks, and only counts and a spanning forest leave a block.
+Signatures are cut into bands of one fixed depth, the longest at which pairs of the least similarity asked for meet in some
+band with the target recall; texts that agree in a band are candidates. There are no tries, and no prefix is shortened by
+what the data hold. Candidates are held as components, never as pairs: equal bands chain texts together, and all links
+lie within a component. There every pair is verified exactly, in blocks, and only counts and a spanning forest leave a
+block.
 """
 
 from __future__ import annotations

@@ -13,10 +13,12 @@ from wireloom.operators.upsert import (
     append_batch,
     compact_days,
     read_events,
+    read_writes,
     standing_days,
     upsert_days,
 )
 from wireloom.plans.log_batch import LogTables, run_log_batch
+from wireloom.plans.versions import read_rows
 from wireloom.schema import LOG_RECORD
 
 
@@ -66,9 +68,9 @@ def test_batches_keep_malformed_dropped_and_long_logs(spark, tmp_path):
     assert [(c.malformed, c.dropped) for c in counts] == [(1, 0), (1, 1), (0, 0)]
     (event,) = read_events(spark, tables.events).collect()
     assert event.other_log == " ; ".join(f"note {i}" for i in range(66))
-    reasons = [(r.offset, r.reason) for r in spark.read.parquet(tables.malformed).collect()]
+    reasons = [(r.offset, r.reason) for r in read_rows(spark, tables.malformed).collect()]
     assert sorted(reasons) == [(0, "too few words"), (71, "bad time")]
-    (stray,) = spark.read.parquet(tables.dropped).collect()
+    (stray,) = read_rows(spark, tables.dropped).collect()
     assert (stray.request_key, stray.status, stray.other_log) == ("stray", "dropped", "note")
     assert staging_left(spark) == before
     kept = {f.name for f in tmp_path.iterdir()}
@@ -84,7 +86,7 @@ def test_a_new_run_keeps_the_writes_of_the_old_one(spark, tmp_path):
         run_log_batch(batch("c"), 0, tables, run="two")
     found = {r.request_key for r in read_events(spark, tables.events).collect()}
     assert found == {"a", "b", "c"}
-    numbers = [r.batch_id for r in spark.read.parquet(f"{tables.events}/appended").collect()]
+    numbers = [r.batch_id for r in read_writes(spark, tables.events).collect()]
     assert sorted(numbers) == [0, 1, 2]
 
 

@@ -2,10 +2,11 @@
 
 from test_batches import records
 from test_streaming import END, START, Stream, at
-from wireloom.operators.upsert import read_events
+from wireloom.operators.upsert import read_events, read_writes
 from wireloom.plans import open_store
 from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.plans.open_store import OpenStore
+from wireloom.plans.versions import read_rows
 from wireloom.streaming.log_job import starting_offsets
 
 
@@ -56,7 +57,7 @@ def test_a_key_that_opens_again_starts_anew(spark, tmp_path):
     ]
     for number, rows in enumerate(batches):
         run_log_batch(records(spark, rows), number, tables)
-    writes = spark.read.parquet(f"{tables.events}/appended").orderBy("batch_id").collect()
+    writes = read_writes(spark, tables.events).orderBy("batch_id").collect()
     assert [(w.request_key, w.other_log) for w in writes] == [("k", "first"), ("k", "second")]
     assert OpenStore(spark, tables.open).commits()[-1].snapshot == 0
 
@@ -72,9 +73,9 @@ def test_a_run_takes_over(spark, tmp_path):
     stream.rules = {"resume": True}
     stream.run("another")
     assert stream.outcome() == [("a", "complete"), ("b", "complete")]
-    appended = spark.read.parquet(f"{stream.tables.events}/appended").collect()
+    appended = read_writes(spark, stream.tables.events).collect()
     assert sorted((r.request_key, r.batch_id) for r in appended) == [("a", 0), ("b", 2)]
-    assert spark.read.parquet(stream.tables.malformed).count() == 1
+    assert read_rows(spark, stream.tables.malformed).count() == 1
     # Later batches of that run skip no more than its first one.
     stream.feed([(1, 7, at(0, 5, "c", END)), (2, 1, at(0, 5, "d", END))])
     stream.run("another")

@@ -6,7 +6,8 @@ import pytest
 
 from test_assemble import line, observed, random_rows, to_lines
 from wireloom.operators.assemble import assemble
-from wireloom.operators.upsert import read_events
+from wireloom.operators.upsert import read_events, read_writes
+from wireloom.plans.versions import read_rows
 from wireloom.schema import LOG_RECORD
 from wireloom.sources.logs import record_files
 from wireloom.plans.log_batch import LogTables
@@ -144,7 +145,7 @@ def test_fragments_on_request(spark, tmp_path):
     stream.feed([(0, 1, at(0, 1, "k", "note"))])
     stream.feed([(0, 2, at(0, 2, "k", END))])
     stream.run()
-    appended = spark.read.parquet(f"{stream.tables.events}/appended")
+    appended = read_writes(spark, stream.tables.events)
     writes = appended.orderBy("batch_id", "status").collect()
     assert [(w.status, w.other_log) for w in writes] == [
         ("fragment", "note"), ("complete", "note"), ("fragment", None),
@@ -169,7 +170,7 @@ def test_malformed_records_are_kept(spark, tmp_path):
     stream = Stream(spark, tmp_path)
     stream.feed([(0, 0, "no line"), (0, 1, at(0, 0, "k", START))])
     stream.run()
-    rows = spark.read.parquet(stream.tables.malformed).select("offset", "reason")
+    rows = read_rows(spark, stream.tables.malformed).select("offset", "reason")
     assert [tuple(r) for r in rows.collect()] == [(0, "too few words")]
     assert stream.counts[0].malformed == 1
 
@@ -178,8 +179,8 @@ def test_a_new_checkpoint_does_not_overwrite(spark, tmp_path):
     stream = Stream(spark, tmp_path)
     stream.feed([(0, 0, at(0, 0, "a", START)), (0, 1, at(0, 1, "a", END))])
     stream.run()
-    before = spark.read.parquet(f"{stream.tables.events}/appended").count()
+    before = read_writes(spark, stream.tables.events).count()
     stream.feed([(0, 2, at(1, 0, "b", START)), (0, 3, at(1, 1, "b", END))])
     stream.run("another")
     assert stream.outcome() == [("a", "complete"), ("b", "complete")]
-    assert spark.read.parquet(f"{stream.tables.events}/appended").count() == before + 2
+    assert read_writes(spark, stream.tables.events).count() == before + 2

@@ -1,22 +1,25 @@
 """Tables of one row per request key and day: the last write of a key replaces the others.
 
-A stream appends: every write owns the folder ``appended/event_day=.../batch_id=...`` and a
-replay overwrites just that, so the cost of a write does not depend on the size of the day.
-Readers take the last write of each key. ``compact_days`` folds the writes of closed days into
-``folded/event_day=...``, one row per key in few files, where readers need no window.
+A stream appends: every write is a folder of its own in a table of versions (``plans.versions``), a replay takes the
+place of the folder it repeats, so the cost of a write does not depend on the size of the day. A version names the days of each
+folder, so no job is needed to find them. Every so many writes are folded into one, which keeps a version short. Readers take the last write of each key. ``compact_days`` folds
+closed days, one row per key in few files, where readers need no window. What was read before a fold or a replay stays readable.
 ``upsert_days`` folds rows into a plain table at once, rewriting the days touched and no others.
 """
 
 from __future__ import annotations
 
 import datetime
+from collections import Counter
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from wireloom.plans.staging import Staging, remove_folder
+from wireloom.plans.staging import Staging
+from wireloom.plans.versions import Part, Superseded, VersionedTable
 from wireloom.schema import EMITTED
 
 KEY = ["event_day", "request_key"]
@@ -63,14 +66,27 @@ def _write(rows: DataFrame, path: str, *partitions: str) -> None:
     )
 
 
+def _table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, "event_day")
+
+
+def _folded(writes: DataFrame) -> DataFrame:
+    return _rebalanced(last_writes(writes))
+
+
 def append_batch(events: DataFrame, batch_id: int, path: str) -> None:
     """Writes the rows of one batch; a second call for the batch replaces the first.
 
     ``batch_id`` numbers the writes of the table, whoever makes them; ``plans.log_batch`` keeps
     the numbers of several runs apart.
     """
-    numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _write(numbered, f"{path}/appended", "event_day", "batch_id")
+    numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long")).select(*WRITES.fieldNames())
+    table = _table(events.sparkSession, path)
+    table.add(table.write(_rebalanced(numbered)), batch_id, WRITES)
+    try:
+        table.fold_due(_folded, WRITES)
+    except Superseded:
+        pass  # somebody else folded these writes; the next batch looks again
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -98,46 +114,60 @@ def _of_days(days: list[datetime.date]) -> Column:
 
 def next_write(spark: SparkSession, path: str) -> int:
     """A number above those of all writes in the table."""
-    numbers = [
-        _read(spark, f"{path}/{part}").agg(F.max("batch_id")).first()[0]
-        for part in ("appended", "folded")
-    ]
-    return max((n + 1 for n in numbers if n is not None), default=0)
+    return _table(spark, path).last().last_number + 1
+
+
+def _unsettled(parts: tuple[Part, ...]) -> set[str]:
+    """Days in which a key may have several rows: those of more than one folder, or of one that is not folded."""
+    held = Counter(day for part in parts for day in part.days)
+    raw = {day for part in parts if part.level == 0 for day in part.days}
+    return raw | {day for day, n in held.items() if n > 1}
+
+
+def _only(parts: tuple[Part, ...], days: set[str]) -> list[Part]:
+    return [replace(part, days=tuple(day for day in part.days if day in days)) for part in parts]
+
+
+def read_writes(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that the table holds, several of a key too, with the number of their write."""
+    table = _table(spark, path)
+    return table.read(table.last().parts, WRITES)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """One row per key and day; a filter on ``event_day`` prunes the scan.
+    """One row per key and day, as of now; a filter on ``event_day`` prunes the scan.
 
-    Only days with writes that are not folded yet go through a window. Which these are is told
-    by folder names.
+    Only days with writes that are not folded yet go through a window. Which these are is told by
+    the version read, without a job. Folds and replays that come later do not touch what is read.
     """
-    appended, folded = (_read(spark, f"{path}/{part}") for part in ("appended", "folded"))
-    days = _days(appended)
-    if not days:
-        return folded.drop("batch_id")
-    unsettled = _of_days(days)
-    merged = last_writes(appended.unionByName(folded.filter(unsettled)))
-    return folded.filter(~unsettled).unionByName(merged).drop("batch_id")
+    table = _table(spark, path)
+    parts = table.last().parts
+    unsettled = _unsettled(parts)
+    settled = {day for part in parts for day in part.days} - unsettled
+    rows = table.read(_only(parts, settled), WRITES)
+    if unsettled:
+        rows = rows.unionByName(last_writes(table.read(_only(parts, unsettled), WRITES)))
+    return rows.drop("batch_id")
 
 
 def compact_days(spark: SparkSession, path: str, before: datetime.date | None = None) -> int:
     """Folds the writes of all days, or those before a day, to one row per key; how many days.
 
-    Safe to repeat: the folded rows are staged, replace their days, and only then the writes
-    they come from go. Writes for a folded day that come later are folded in by the next call.
-    Run it when nobody writes to these days.
+    Safe to repeat, and beside readers and writers: the version that names the folded rows
+    names the folders they come from no longer. Writes that come meanwhile or later are folded in by the next call.
     """
-    appended = _read(spark, f"{path}/appended")
-    days = [day for day in _days(appended) if before is None or day < before]
-    if not days:
-        return 0
-    chosen = _of_days(days) if before is None else _of_days(days) & (F.col("event_day") < before)
-    writes = appended.unionByName(_read(spark, f"{path}/folded")).filter(chosen)
-    with Staging(spark) as stage:
-        _write(stage(last_writes(writes), "days"), f"{path}/folded", "event_day")
-    for day in days:
-        remove_folder(spark, f"{path}/appended/event_day={day}")
-    return len(days)
+    table = _table(spark, path)
+    while True:
+        parts = table.last().parts
+        days = {day for day in _unsettled(parts) if before is None or day < before.isoformat()}
+        if not days:
+            return 0
+        try:
+            touched = [part for part in parts if days & set(part.days)]
+            table.fold_days(touched, days, _folded, WRITES)
+            return len(days)
+        except Superseded:
+            continue
 
 
 def upsert_days(events: DataFrame, batch_id: int, path: str) -> None:

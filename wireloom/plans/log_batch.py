@@ -18,6 +18,7 @@ from wireloom.operators.route import EXPIRE_MINUTES, OPEN, batch_clock, is_expir
 from wireloom.operators.upsert import append_batch, next_write
 from wireloom.plans.open_store import Commit, OpenStore, unread
 from wireloom.plans.staging import Staging
+from wireloom.plans.versions import VersionedTable, add_rows
 
 RUNS = "run string, base bigint"
 
@@ -85,7 +86,7 @@ def run_log_batch(
     Batches of a run are numbered from 0. A batch that runs again replaces what it wrote, as
     long as the next one has not run. Of the open exchanges a batch reads those that its records
     or the clock touch, and writes no others. Malformed records and dropped fragments are kept in tables of their
-    own, and counted. ``base`` is the run's ``first_write``, for callers that know it.
+    own (``plans.versions.read_rows``), and counted; small folders of these are folded together. ``base`` is the run's ``first_write``, for callers that know it.
 
     With ``resume`` batch 0 goes on from the last batch of the run before: its open exchanges are
     taken over, and this run skips the records below the offsets that were read then. That is for
@@ -103,7 +104,9 @@ def run_log_batch(
 
     with Staging(spark) as stage:
         pieces = stage(sum_pieces(classified_records(parse_records(records))), "pieces")
-        malformed_of(pieces).write.mode("overwrite").parquet(part(tables.malformed))
+        kept = {name: VersionedTable(spark, path) for name, path in (("malformed", tables.malformed), ("dropped", tables.dropped))}
+        malformed = malformed_of(pieces)
+        folders = {"malformed": kept["malformed"].write(malformed)}
         batch = summed(pieces, write)
         batch = Summed(stage(batch.exchanges, "exchanges"), batch.texts)
         before, clock = _touched(store, last, batch, expire_minutes, stage)
@@ -116,15 +119,17 @@ def run_log_batch(
             keep=lambda decided: stage(decided, "decided"),
         )
         append_batch(outcome.emitted, write, tables.events)
-        outcome.dropped.write.mode("overwrite").parquet(part(tables.dropped))
+        folders["dropped"] = kept["dropped"].write(outcome.dropped)
         left = outcome.still_open.exchanges
         new_texts = batch.texts.join(left.select("request_key"), "request_key", "left_semi")
         gone = outcome.decided.filter(F.col("known") & (F.col("status") != OPEN))
         store.write(write, left, new_texts.select(*batch.texts.columns), gone)
         n = _counts(spark, {
-            "malformed": part(tables.malformed), "dropped": part(tables.dropped),
+            **{name: kept[name].folder(folder) for name, folder in folders.items()},
             "open": f"{part(tables.open)}/exchanges", "gone": f"{part(tables.open)}/gone",
         })
+        for name, rows in (("malformed", malformed), ("dropped", outcome.dropped)):
+            add_rows(kept[name], folders[name], write, rows.schema, n[name])
         place = pieces.filter(F.col("last_offset").isNotNull()).groupBy("topic", "partition")
         offsets = place.agg(F.min("first_offset").alias("first"), F.max("last_offset").alias("last")).collect()
         store.commit(last, write, run, n["open"] + n["gone"], offsets, taken_over)

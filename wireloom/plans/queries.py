@@ -39,11 +39,13 @@ from wireloom.operators.upsert import (
     compact_days,
     last_writes,
     read_events,
+    read_writes,
     upsert_days,
 )
 from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.plans.member_import import run_import
 from wireloom.plans.staging import Staging, new_folder
+from wireloom.plans.versions import read_rows
 from wireloom.schema import EXCHANGE, LOG_RECORD, MEMBER_CSV, MEMBER_TABLE
 from wireloom.sources.derived import log_records, new_members, old_members, table
 from wireloom.sources.logs import record_files
@@ -230,7 +232,7 @@ def _in_batches(spark: SparkSession, batches: list[DataFrame], **rules) -> LogTa
 
 def _written(spark: SparkSession, tables: LogTables, batch: int) -> DataFrame:
     """The rows that one batch wrote."""
-    rows = spark.read.parquet(f"{tables.events}/appended")
+    rows = read_writes(spark, tables.events)
     return rows.filter(F.col("batch_id") == batch).drop("batch_id")
 
 
@@ -254,14 +256,14 @@ def expired_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def dropped_fragments(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches cut by time: what came without an open event, as kept by the job."""
-    return _plain(spark.read.parquet(_two_periods(spark, folder).dropped).drop("batch_id"))
+    return _plain(read_rows(spark, _two_periods(spark, folder).dropped))
 
 
 def batch_malformed(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches with broken records among them: what the job kept of these."""
     log, early = _with_bad_lines(spark, folder), F.col("offset") % 32 < 16
     tables = _in_batches(spark, [log.filter(early), log.filter(~early)])
-    return spark.read.parquet(tables.malformed).drop("batch_id")
+    return read_rows(spark, tables.malformed)
 
 
 # Keys among which the notes of ``long_logs`` are dealt.
@@ -412,7 +414,7 @@ def resumed_events(spark: SparkSession, folder: str) -> DataFrame:
     for part, resume in ((F.col("offset") < RESPONSES, False), (F.col("offset") >= RESPONSES, True)):
         log.filter(part).write.mode("append").parquet(source)
         _stream(spark, tables, source, new_folder(spark, "resumed-checkpoint"), 1000, resume=resume)
-    writes = spark.read.parquet(f"{tables.events}/appended").groupBy("request_key").agg(F.count("*").alias("n_writes"))
+    writes = read_writes(spark, tables.events).groupBy("request_key").agg(F.count("*").alias("n_writes"))
     return _plain(read_events(spark, tables.events)).join(writes, "request_key")
 
 

@@ -19,6 +19,7 @@ from wireloom.operators.upsert import append_batch, next_write
 from wireloom.plans.open_store import Commit, OpenStore, unread
 from wireloom.plans.staging import Staging
 from wireloom.plans.versions import VersionedTable, add_rows
+from wireloom.sources.admission import batch_ranges, of_batch
 
 RUNS = "run string, base bigint"
 
@@ -136,6 +137,22 @@ def run_log_batch(
     return BatchCounts(n["malformed"], n["dropped"])
 
 
+def run_backlog(records: DataFrame, tables: LogTables, target_bytes: int, **rules) -> list[BatchCounts]:
+    """The log job over a backlog, in batches of about ``target_bytes`` (``sources.admission``), one after the other.
+
+    ``rules`` go to ``run_log_batch``. The ranges are planned once and kept in a table; of these a batch reads its own,
+    a row for each topic partition.
+    """
+    with Staging(records.sparkSession) as stage:
+        ranges = stage(batch_ranges(records, target_bytes), "ranges")
+        numbers = [row[0] for row in ranges.select("batch").distinct().orderBy("batch").collect()]
+        done = []
+        for batch_id, number in enumerate(numbers):
+            own = ranges.filter(F.col("batch") == number).collect()
+            done.append(run_log_batch(of_batch(records, own, batch_id), batch_id, tables, **rules))
+    return done
+
+
 def _touched(
     store: OpenStore, last: Commit | None, batch: Summed, expire_minutes: int, stage: Staging
 ) -> tuple[Summed, DataFrame | None]:

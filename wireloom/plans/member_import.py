@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
 import time
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wireloom.operators.members import (
     first_per_member,
@@ -18,6 +20,7 @@ from wireloom.operators.members import (
     to_member_rows,
 )
 from wireloom.plans.staging import Staging, new_folder
+from wireloom.plans.versions import Version, VersionedTable, add_rows, replace_rows
 from wireloom.schema import MEMBER_TABLE
 from wireloom.sources.members import (
     UNREADABLE,
@@ -38,6 +41,32 @@ class ImportSummary:
     seconds: float
     staging: str
     rejects: str
+    #: The version of a versioned member table that the import made.
+    table_version: int | None = None
+
+
+#: A row of the history of imports.
+HISTORY = T.StructType(
+    [
+        T.StructField("finished_at", T.TimestampType()),
+        T.StructField("partner_code", T.StringType()),
+        *[
+            T.StructField(name, T.LongType())
+            for name in ("table_version", "rows_read", "rows_rejected", "old_rows", "rows_written", "rows_merged")
+        ],
+        T.StructField("seconds", T.DoubleType()),
+        T.StructField("staging", T.StringType()),
+        T.StructField("rejects", T.StringType()),
+    ]
+)
+
+
+def record_import(spark: SparkSession, summary: ImportSummary, partner_code: str, path: str) -> None:
+    """Adds an import to the history at ``path`` (``plans.versions.read_rows`` reads it); rows are never changed."""
+    known = {**asdict(summary), "partner_code": partner_code, "finished_at": datetime.datetime.now(datetime.timezone.utc)}
+    row = spark.createDataFrame([[known[name] for name in HISTORY.fieldNames()]], HISTORY).coalesce(1)
+    table = VersionedTable(spark, path)
+    add_rows(table, table.write(row, "import"), None, HISTORY, 1)
 
 
 def import_members(
@@ -51,6 +80,7 @@ def import_members(
     import_time: Column | None = None,
     dedupe_new: bool = False,
     read_options: Mapping[str, object] | None = None,
+    history: str | None = None,
 ) -> ImportSummary:
     """Imports partner files over JDBC; every error is raised.
 
@@ -68,6 +98,35 @@ def import_members(
         lambda rows: replace_member_table(rows, url, table, properties, parallelism),
         import_time,
         dedupe_new,
+        history,
+    )
+
+
+def import_versioned(
+    partner_rows: DataFrame,
+    path: str,
+    partner_code: str,
+    import_time: Column | None = None,
+    dedupe_new: bool = False,
+    history: str | None = None,
+) -> ImportSummary:
+    """Imports partner rows into a member table of versions (``plans.versions``).
+
+    Readers see the old rows until the new ones are written and checked, then all of the new ones; a failure
+    anywhere before leaves the old version. An import that another one overtook raises Superseded.
+    """
+    spark = partner_rows.sparkSession
+    table = VersionedTable(spark, path)
+    version = table.last()
+    old = table.read(version.parts, MEMBER_TABLE)
+    return run_import(
+        partner_rows,
+        old.withColumn("seq", F.struct("id", *OLD_ORDER)),
+        partner_code,
+        lambda rows: replace_rows(rows, path, made_from=version.version),
+        import_time,
+        dedupe_new,
+        history,
     )
 
 
@@ -79,9 +138,10 @@ def run_import(
     partner_rows: DataFrame,
     old_rows: DataFrame,
     partner_code: str,
-    replace: Callable[[DataFrame], None],
+    replace: Callable[[DataFrame], Version | None],
     import_time: Column | None = None,
     dedupe_new: bool = False,
+    history: str | None = None,
 ) -> ImportSummary:
     """Merges, stages the result, and hands the staged rows to ``replace``.
 
@@ -92,6 +152,8 @@ def run_import(
 
     Old rows with text that is no number or time stop the import: they would come back as
     zeros. The rows are listed in a table that the error names; the member table is unchanged.
+
+    An import that succeeds adds a row to the table ``history``, if there is one.
     """
     spark = partner_rows.sparkSession
     started = time.monotonic()
@@ -132,8 +194,8 @@ def run_import(
             f"{written.get['incomplete']} old rows lack a required column; the table is"
             f" unchanged, the merged rows are in {staging}"
         )
-    replace(spark.read.schema(MEMBER_TABLE).parquet(staging))
-    return ImportSummary(
+    made = replace(spark.read.schema(MEMBER_TABLE).parquet(staging))
+    summary = ImportSummary(
         rows_read=rows_read,
         rows_rejected=rejected,
         old_rows=seen["n"],
@@ -142,4 +204,8 @@ def run_import(
         seconds=time.monotonic() - started,
         staging=staging,
         rejects=rejects,
+        table_version=made.version if isinstance(made, Version) else None,
     )
+    if history:
+        record_import(spark, summary, partner_code, history)
+    return summary

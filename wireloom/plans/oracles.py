@@ -7,6 +7,7 @@ expressions, bodies are told apart by the request end, and batches are condition
 from __future__ import annotations
 
 from wireloom.plans.queries import (
+    BACKLOG_BYTES,
     IMPORT_MS,
     MIDDLE_DAY,
     NOTE_KEYS,
@@ -14,6 +15,7 @@ from wireloom.plans.queries import (
     PARTNER,
     SLICE_DAYS,
 )
+from wireloom.sources.admission import FINENESS
 
 _OWN_KEY = "'req-' || event_id"
 _SHARED_KEY = "CASE WHEN event_id % 3 = 0 THEN 'shared' ELSE 'req-' || event_id END"
@@ -353,10 +355,35 @@ FROM ev JOIN spans USING (request_key)
 WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR EXISTS (
   FROM clocks WHERE slice > opened AND (clocks.ms - start_ms) // 60000 > 15))"""
     )
+    imported = _with(
+        _PARTNER_ROWS,
+        _new_rows(where="c_custkey % 29 <> 0 AND c_custkey % 31 <> 0"),
+        _old_rows(),
+        _merged(),
+    )
     return {
         "log_lines": _with(_records(), _CUT) + f" SELECT {line_columns} FROM lines",
         "malformed_lines": _with(_records()) + malformed,
         "batch_malformed": _with(_records()) + malformed,
+        "folded_malformed": _with(_records()) + malformed,
+        "backlog_ranges": _with(_records())
+        + f""",
+sized AS (SELECT topic, (part = 0)::INT AS p, off, strlen(line) + 1 AS b FROM rec),
+spans AS (SELECT topic, p, min(off) AS low, max(off) AS high, sum(b)::BIGINT AS held FROM sized GROUP BY topic, p),
+n AS (SELECT (sum(held)::BIGINT + {BACKLOG_BYTES - 1}) // {BACKLOG_BYTES} AS n FROM spans),
+wide AS (SELECT spans.*, n, (high - low + {FINENESS} * n) // ({FINENESS} * n) AS width FROM spans, n),
+stretches AS (
+  SELECT topic, p, (off - low) // width AS s, sum(b)::BIGINT AS b, count(*) AS c, any_value(low) AS low,
+    any_value(high) AS high, any_value(held) AS held, any_value(width) AS width, any_value(n) AS n
+  FROM sized JOIN wide USING (topic, p) GROUP BY ALL
+),
+cut AS (
+  SELECT *, ((2 * sum(b) OVER (PARTITION BY topic, p ORDER BY s) - b) * n // (2 * held))::BIGINT AS batch FROM stretches
+)
+SELECT topic, p AS "partition", batch, min(low + s * width)::BIGINT AS from_offset,
+  least(max(low + (s + 1) * width), max(high) + 1)::BIGINT AS until_offset, sum(b)::BIGINT AS bytes,
+  sum(c)::BIGINT AS n_records
+FROM cut GROUP BY topic, p, batch""",
         "thread_client": _with(_records(), _CUT)
         + r""", names AS (
   SELECT DISTINCT CASE part WHEN 0 THEN thread_name WHEN 1 THEN replace(thread_name, ':', '-')
@@ -437,11 +464,19 @@ FROM ev, clock WHERE start_ms IS NOT NULL AND (end_ms IS NOT NULL OR (clock.ms -
         + """ SELECT partner_member_card, partner_change,
   CASE WHEN c_custkey % 31 = 0 THEN 'does not fit the schema' ELSE 'no member id' END AS reason
 FROM partner WHERE c_custkey % 29 = 0 OR c_custkey % 31 = 0""",
-        "member_import": _with(
-            _PARTNER_ROWS,
-            _new_rows(where="c_custkey % 29 <> 0 AND c_custkey % 31 <> 0"),
-            _old_rows(),
-            _merged(),
-        )
-        + " SELECT * EXCLUDE (merged) FROM merged",
+        "member_import": imported + " SELECT * EXCLUDE (merged) FROM merged",
+        "member_import_versions": imported + " SELECT * EXCLUDE (merged) FROM merged",
+        # All members of the files are in the table at the second import, so each of them is merged again.
+        "import_history": imported
+        + """, counts AS (
+  SELECT (SELECT count(*) FROM partner) AS rows_read,
+    (SELECT count(*) FROM partner WHERE c_custkey % 29 = 0 OR c_custkey % 31 = 0) AS rows_rejected,
+    (SELECT count(*) FROM standing) AS old_1, (SELECT count(*) FROM merged) AS written,
+    (SELECT count(*) FROM merged WHERE merged) AS merged_1,
+    (SELECT count(DISTINCT partner_member_id) FROM fresh) AS merged_2
+)
+SELECT 'P1' AS partner_code, n AS table_version, rows_read, rows_rejected,
+  CASE n WHEN 2 THEN old_1 ELSE written END AS old_rows, written AS rows_written,
+  CASE n WHEN 2 THEN merged_1 ELSE merged_2 END AS rows_merged
+FROM counts, (VALUES (2::BIGINT), (3::BIGINT)) AS imports(n)""",
     }

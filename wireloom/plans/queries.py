@@ -43,10 +43,11 @@ from wireloom.operators.upsert import (
     upsert_days,
 )
 from wireloom.plans.log_batch import LogTables, run_log_batch
-from wireloom.plans.member_import import run_import
+from wireloom.plans.member_import import import_versioned, run_import
 from wireloom.plans.staging import Staging, new_folder
-from wireloom.plans.versions import read_rows
+from wireloom.plans.versions import VersionedTable, add_rows, read_rows, replace_rows
 from wireloom.schema import EXCHANGE, LOG_RECORD, MEMBER_CSV, MEMBER_TABLE
+from wireloom.sources.admission import batch_ranges
 from wireloom.sources.derived import log_records, new_members, old_members, table
 from wireloom.sources.logs import record_files
 from wireloom.sources.members import read_member_csv
@@ -266,6 +267,32 @@ def batch_malformed(spark: SparkSession, folder: str) -> DataFrame:
     return read_rows(spark, tables.malformed)
 
 
+# Writes in which ``folded_malformed`` delivers its rows.
+DELIVERIES = 20
+
+
+def folded_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """The malformed records of the log in many small writes, the last of them twice; folded on the way, all are there."""
+    with Staging(spark) as stage:
+        rows = stage(malformed_lines(_with_bad_lines(spark, folder)), "malformed")
+        table = VersionedTable(spark, new_folder(spark, "folded-malformed"))
+        for number in (*range(DELIVERIES), DELIVERIES - 1):
+            part = rows.filter(F.pmod("offset", F.lit(DELIVERIES)) == number)
+            written = table.write(part)
+            add_rows(table, written, number, rows.schema, spark.read.schema(rows.schema).parquet(table.folder(written)).count())
+    return read_rows(spark, table.path)
+
+
+# Bytes of a batch of the backlog.
+BACKLOG_BYTES = 1 << 18
+
+
+def backlog_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole log as a backlog in which one partition holds most records: ranges of batches of equal bytes."""
+    log = records(spark, folder).withColumn("partition", (F.col("partition") == 0).cast("int"))
+    return batch_ranges(log, BACKLOG_BYTES)
+
+
 # Keys among which the notes of ``long_logs`` are dealt.
 NOTE_KEYS = 20
 
@@ -499,6 +526,28 @@ def member_import(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(spark.read.schema(MEMBER_TABLE).parquet(target))
 
 
+def _versioned_import(spark: SparkSession, folder: str, imports: int = 1) -> tuple[str, str]:
+    """Member table of versions, and history, after importing the same files some times."""
+    target, history = new_folder(spark, "member-versions"), new_folder(spark, "import-history")
+    with Staging(spark) as stage:
+        replace_rows(stage(_old(spark, folder).drop("seq"), "old"), target)
+    files = _partner_files(spark, folder)
+    for _ in range(imports):
+        import_versioned(read_member_csv(spark, files), target, PARTNER, _import_time(), history=history)
+    return target, history
+
+
+def member_import_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole import into a table that turns to the new rows at once, when they are checked."""
+    return _plain(read_rows(spark, _versioned_import(spark, folder)[0]))
+
+
+def import_history(spark: SparkSession, folder: str) -> DataFrame:
+    """What the history says of two imports of the same files, the second over the result of the first."""
+    history = read_rows(spark, _versioned_import(spark, folder, imports=2)[1])
+    return history.drop("finished_at", "seconds", "staging", "rejects")
+
+
 QUERIES: dict[str, Query] = {
     "log_lines": log_lines,
     "malformed_lines": bad_lines,
@@ -517,6 +566,8 @@ QUERIES: dict[str, Query] = {
     "expired_events": expired_events,
     "dropped_fragments": dropped_fragments,
     "batch_malformed": batch_malformed,
+    "folded_malformed": folded_malformed,
+    "backlog_ranges": backlog_ranges,
     "long_logs": long_logs,
     "upserted_events": upserted_events,
     "compacted_events": compacted_events,
@@ -532,4 +583,6 @@ QUERIES: dict[str, Query] = {
     "member_merge_shared_id": member_merge_shared_id,
     "member_rejects": member_rejects,
     "member_import": member_import,
+    "member_import_versions": member_import_versions,
+    "import_history": import_history,
 }

@@ -35,6 +35,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Makes an empty file, with the folders above it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).create(location, True).close()
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

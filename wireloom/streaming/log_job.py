@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wireloom.plans.log_batch import BatchCounts, LogTables, first_write, run_log_batch
 from wireloom.plans.open_store import OpenStore
+from wireloom.plans.staging import file_exists, remove_folder, touch
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -26,15 +29,50 @@ def starting_offsets(spark: SparkSession, tables: LogTables) -> str:
     return json.dumps(places) if places else "earliest"
 
 
+class StopRequested(Exception):
+    """Ends a stream before a batch that has not begun."""
+
+
+def request_stop(spark: SparkSession, marker: str) -> None:
+    """Asks the stream that was started with this ``stop_marker`` to end; any process that sees the folder may."""
+    touch(spark, marker)
+
+
+def await_log_job(query: StreamingQuery, spark: SparkSession, marker: str, poll: float = 0.5) -> bool:
+    """Waits until the stream ends, and ends it between two batches once ``marker`` is there; whether it was asked to.
+
+    The batch at work is not interrupted: it ends, with its progress. One that comes after the
+    marker gives up before it has read anything, and is the first of the next start. The marker is removed.
+    """
+    asked = False
+    while query.isActive:
+        asked = asked or file_exists(spark, marker)
+        if asked and not query.status["isTriggerActive"]:
+            query.stop()
+            break
+        time.sleep(poll)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        if StopRequested.__name__ not in str(error):
+            raise
+        asked = True
+    if asked:
+        remove_folder(spark, marker)
+    return asked
+
+
 def start_log_job(
     records: DataFrame,
     tables: LogTables,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     report: Callable[[int, BatchCounts], None] | None = None,
+    stop_marker: str | None = None,
     **rules,
 ) -> StreamingQuery:
-    """Starts the job; ``rules`` go to ``run_log_batch``. Stop it with ``query.stop()``.
+    """Starts the job; ``rules`` go to ``run_log_batch``. Stop it with ``query.stop()``,
+    or between two batches with ``stop_marker``, ``request_stop`` and ``await_log_job``.
 
     Progress is in ``checkpoint``. A batch that is delivered again after a failure replaces its
     own rows. Exchanges expire by the clock of the batch, the time of the first event that it
@@ -52,6 +90,8 @@ def start_log_job(
     base: list[int] = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if stop_marker and file_exists(batch.sparkSession, stop_marker):
+            raise StopRequested(stop_marker)
         if not base:
             spark = batch.sparkSession
             base.append(first_write(spark, tables, run_of(spark, checkpoint)))

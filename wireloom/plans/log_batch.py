@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from wireloom.operators.assemble import Summed, malformed_of, sum_pieces, summed
 from wireloom.operators.lines import classified_records, parse_records
-from wireloom.operators.route import EXPIRE_MINUTES, OPEN, batch_clock, is_expired, reconcile
+from wireloom.operators.route import DROPPED, EXPIRE_MINUTES, OPEN, batch_clock, is_expired, reconcile
 from wireloom.operators.upsert import append_batch, next_write
 from wireloom.plans.open_store import Commit, OpenStore, unread
 from wireloom.plans.staging import Staging
@@ -100,14 +100,11 @@ def run_log_batch(
     taken_over = () if last is None else last.taken_over if batch_id else last.offsets
     records = unread(records, taken_over)
 
-    def part(table: str) -> str:
-        return f"{table}/batch_id={write}"
-
     with Staging(spark) as stage:
         pieces = stage(sum_pieces(classified_records(parse_records(records))), "pieces")
-        kept = {name: VersionedTable(spark, path) for name, path in (("malformed", tables.malformed), ("dropped", tables.dropped))}
-        malformed = malformed_of(pieces)
-        folders = {"malformed": kept["malformed"].write(malformed)}
+        places = _places(pieces)
+        malformed = sum(row["malformed"] for row in places)
+        add_rows(VersionedTable(spark, tables.malformed), malformed_of(pieces), write, malformed)
         batch = summed(pieces, write)
         batch = Summed(stage(batch.exchanges, "exchanges"), batch.texts)
         before, clock = _touched(store, last, batch, expire_minutes, stage)
@@ -120,21 +117,17 @@ def run_log_batch(
             keep=lambda decided: stage(decided, "decided"),
         )
         append_batch(outcome.emitted, write, tables.events)
-        folders["dropped"] = kept["dropped"].write(outcome.dropped)
+        fates = outcome.decided.groupBy("status", "known").count().collect()
+        dropped = sum(row["count"] for row in fates if row["status"] == DROPPED)
+        add_rows(VersionedTable(spark, tables.dropped), outcome.dropped, write, dropped)
         left = outcome.still_open.exchanges
         new_texts = batch.texts.join(left.select("request_key"), "request_key", "left_semi")
         gone = outcome.decided.filter(F.col("known") & (F.col("status") != OPEN))
         store.write(write, left, new_texts.select(*batch.texts.columns), gone)
-        n = _counts(spark, {
-            **{name: kept[name].folder(folder) for name, folder in folders.items()},
-            "open": f"{part(tables.open)}/exchanges", "gone": f"{part(tables.open)}/gone",
-        })
-        for name, rows in (("malformed", malformed), ("dropped", outcome.dropped)):
-            add_rows(kept[name], folders[name], write, rows.schema, n[name])
-        place = pieces.filter(F.col("last_offset").isNotNull()).groupBy("topic", "partition")
-        offsets = place.agg(F.min("first_offset").alias("first"), F.max("last_offset").alias("last")).collect()
-        store.commit(last, write, run, n["open"] + n["gone"], offsets, taken_over)
-    return BatchCounts(n["malformed"], n["dropped"])
+        changed = sum(row["count"] for row in fates if row["status"] == OPEN or row["known"])
+        offsets = [row for row in places if row["last"] is not None]
+        store.commit(last, write, run, changed, offsets, taken_over)
+    return BatchCounts(malformed, dropped)
 
 
 def run_backlog(records: DataFrame, tables: LogTables, target_bytes: int, **rules) -> list[BatchCounts]:
@@ -169,11 +162,8 @@ def _touched(
     return Summed(stage(found.exchanges, "before"), found.texts), clock
 
 
-def _counts(spark: SparkSession, folders: dict[str, str]) -> dict[str, int]:
-    """Rows of some folders, in one job."""
-    found = None
-    for name, folder in folders.items():
-        rows = spark.read.parquet(folder).select(F.lit(name).alias("name"))
-        found = rows if found is None else found.unionByName(rows)
-    counts = dict(found.groupBy("name").count().collect())
-    return {name: counts.get(name, 0) for name in folders}
+def _places(pieces: DataFrame) -> list[Row]:
+    """First and last offset of each topic partition, and how many of its records are no lines."""
+    bad = F.sum(F.coalesce(F.array_size("malformed"), F.lit(0))).alias("malformed")
+    ends = F.min("first_offset").alias("first"), F.max("last_offset").alias("last")
+    return pieces.groupBy("topic", "partition").agg(*ends, bad).collect()

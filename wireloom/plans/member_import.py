@@ -65,8 +65,7 @@ def record_import(spark: SparkSession, summary: ImportSummary, partner_code: str
     """Adds an import to the history at ``path`` (``plans.versions.read_rows`` reads it); rows are never changed."""
     known = {**asdict(summary), "partner_code": partner_code, "finished_at": datetime.datetime.now(datetime.timezone.utc)}
     row = spark.createDataFrame([[known[name] for name in HISTORY.fieldNames()]], HISTORY).coalesce(1)
-    table = VersionedTable(spark, path)
-    add_rows(table, table.write(row, "import"), None, HISTORY, 1)
+    add_rows(VersionedTable(spark, path), row, None, 1)
 
 
 def import_members(

@@ -1,11 +1,14 @@
 """Open exchanges as a log of changes: what is written, folded and removed, and runs that take over."""
 
+import pytest
+from pyspark.sql import Row
 from test_batches import records
 from test_streaming import END, START, Stream, at
 from wireloom.operators.upsert import read_events, read_writes
 from wireloom.plans import open_store
 from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.plans.open_store import OpenStore
+from wireloom.plans.staging import at_once
 from wireloom.plans.versions import read_rows
 from wireloom.streaming.log_job import starting_offsets
 
@@ -80,3 +83,48 @@ def test_a_run_takes_over(spark, tmp_path):
     stream.feed([(1, 7, at(0, 5, "c", END)), (2, 1, at(0, 5, "d", END))])
     stream.run("another")
     assert stream.outcome() == [(key, "complete") for key in "abcd"]
+
+
+def jobs(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def test_commits_are_files_read_without_a_job(spark, tmp_path):
+    store, before = OpenStore(spark, str(tmp_path / "open")), jobs(spark)
+    assert store.commits() == [] and store.before(9) is None
+    offsets = [Row(topic="t", partition=0, first=5, last=7), Row(topic=None, partition=None, first=0, last=1)]
+    done = store.commit(None, 3, "run", 0, offsets, (("t", 1, 0, 4),))
+    # A batch that runs again replaces its commit.
+    again = store.commit(None, 3, "run", 0, offsets[:1], ())
+    assert done.offsets == ((None, None, 0, 2), ("t", 0, 5, 8)) and done.taken_over == (("t", 1, 0, 4),)
+    assert store.commits() == [again] and store.before(3) is None and store.before(4) == again
+    assert jobs(spark) == before
+
+
+def test_jobs_of_a_batch_are_bounded(spark, tmp_path):
+    """Neither open exchanges nor lines nor earlier batches make a batch run more jobs."""
+    tables, counts = LogTables.under(str(tmp_path)), []
+    for number in range(4):
+        first, many = 1000 * number, 5 if number < 2 else 300
+        rows = [(0, first + i, at(0, number, f"n{number}-{i}", START)) for i in range(many)]
+        rows += [(0, first + 900, at(0, number, f"n{number - 1}-0", END)), (0, first + 901, "junk")]
+        before = jobs(spark)
+        run_log_batch(records(spark, rows), number, tables, base=0)
+        counts.append(jobs(spark) - before)
+    assert max(counts) <= 50 and counts[3] <= counts[1] + 8, counts
+
+
+def test_work_side_by_side(spark):
+    """All of it ends before an error is raised, so a batch that runs again meets no writer of the first."""
+    ended = []
+
+    def fails():
+        raise ValueError("no")
+
+    def works():
+        ended.append(spark.range(10).count())
+
+    with pytest.raises(ValueError):
+        at_once(spark, fails, works)
+    assert ended == [10]
+    assert at_once(spark, lambda: 1, lambda: spark.range(3).count()) == [1, 3]

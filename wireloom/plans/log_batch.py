@@ -17,7 +17,7 @@ from wireloom.operators.lines import classified_records, parse_records
 from wireloom.operators.route import DROPPED, EXPIRE_MINUTES, OPEN, batch_clock, is_expired, reconcile
 from wireloom.operators.upsert import append_batch, next_write
 from wireloom.plans.open_store import Commit, OpenStore, unread
-from wireloom.plans.staging import Staging
+from wireloom.plans.staging import Staging, at_once
 from wireloom.plans.versions import VersionedTable, add_rows
 from wireloom.sources.admission import batch_ranges, of_batch
 
@@ -102,11 +102,16 @@ def run_log_batch(
 
     with Staging(spark) as stage:
         pieces = stage(sum_pieces(classified_records(parse_records(records))), "pieces")
-        places = _places(pieces)
-        malformed = sum(row["malformed"] for row in places)
-        add_rows(VersionedTable(spark, tables.malformed), malformed_of(pieces), write, malformed)
         batch = summed(pieces, write)
-        batch = Summed(stage(batch.exchanges, "exchanges"), batch.texts)
+
+        def keep_malformed() -> tuple[list[Row], int]:
+            places = _places(pieces)
+            malformed = sum(row["malformed"] for row in places)
+            add_rows(VersionedTable(spark, tables.malformed), malformed_of(pieces), write, malformed)
+            return places, malformed
+
+        (places, malformed), exchanges = at_once(spark, keep_malformed, lambda: stage(batch.exchanges, "exchanges"))
+        batch = Summed(exchanges, batch.texts)
         before, clock = _touched(store, last, batch, expire_minutes, stage)
         outcome = reconcile(
             batch,
@@ -116,14 +121,24 @@ def run_log_batch(
             emit_fragments=emit_fragments,
             keep=lambda decided: stage(decided, "decided"),
         )
-        append_batch(outcome.emitted, write, tables.events)
-        fates = outcome.decided.groupBy("status", "known").count().collect()
-        dropped = sum(row["count"] for row in fates if row["status"] == DROPPED)
-        add_rows(VersionedTable(spark, tables.dropped), outcome.dropped, write, dropped)
         left = outcome.still_open.exchanges
         new_texts = batch.texts.join(left.select("request_key"), "request_key", "left_semi")
-        gone = outcome.decided.filter(F.col("known") & (F.col("status") != OPEN))
-        store.write(write, left, new_texts.select(*batch.texts.columns), gone)
+        closed = F.col("status") != OPEN
+        changes = outcome.decided.filter(F.col("known") | ~closed).withColumn("gone", closed)
+
+        def keep_dropped() -> tuple[list[Row], int]:
+            fates = outcome.decided.groupBy("status", "known").count().collect()
+            dropped = sum(row["count"] for row in fates if row["status"] == DROPPED)
+            add_rows(VersionedTable(spark, tables.dropped), outcome.dropped, write, dropped)
+            return fates, dropped
+
+        (fates, dropped), *_ = at_once(
+            spark,
+            keep_dropped,
+            lambda: append_batch(outcome.emitted, write, tables.events),
+            lambda: store.write_exchanges(write, changes),
+            lambda: store.write_texts(write, new_texts.select(*batch.texts.columns)),
+        )
         changed = sum(row["count"] for row in fates if row["status"] == OPEN or row["known"])
         offsets = [row for row in places if row["last"] is not None]
         store.commit(last, write, run, changed, offsets, taken_over)
@@ -153,7 +168,7 @@ def _touched(
     if last is None or not (last.held or last.changed):
         return Summed.nothing(store.spark), None
     heads = store.heads(last)
-    clock = stage(batch_clock(batch.exchanges, heads), "clock")
+    clock = _told(batch_clock(batch.exchanges, heads))
     seen = batch.exchanges.select("request_key", F.lit(True).alias("seen"))
     old = is_expired(clock.scalar(), F.col("start_ts"), expire_minutes)
     keys = heads.join(seen, "request_key", "left").filter(F.coalesce("seen", F.lit(False)) | old)
@@ -162,6 +177,12 @@ def _touched(
     return Summed(stage(found.exchanges, "before"), found.texts), clock
 
 
+def _told(clock: DataFrame) -> DataFrame:
+    """The clock, looked up once: a row of a constant, which enters later plans as such."""
+    micros = clock.select(F.unix_micros("clock")).first()[0]
+    return clock.sparkSession.sql(f"SELECT timestamp_micros({'NULL' if micros is None else micros}) AS clock")
+
+
 def _places(pieces: DataFrame) -> list[Row]:
     """First and last offset of each topic partition, and how many of its records are no lines."""
     bad = F.sum(F.coalesce(F.array_size("malformed"), F.lit(0))).alias("malformed")

@@ -1,38 +1,32 @@
 """Open exchanges between batches, as a log of changes with snapshots, and how far the log has been read.
 
-A batch writes the exchanges that it opened or continued, the texts that came for them, and the keys that are no
-longer open: ``batch_id=.../exchanges, texts, gone``. What stays open and was not touched is not written again. Once
+A batch writes the exchanges that it opened or continued, in the same table the keys that are no longer open, and the
+texts that came: ``batch_id=.../exchanges, texts``. What stays open and was not touched is not written again. Once
 as many changes have gathered as exchanges were open, or MOST_CHANGES batches, they are folded into a snapshot,
 ``snapshot=.../exchanges, texts``, dealt by key into buckets; so a change is written again about once, and a lookup of
-some keys reads their buckets only. A *commit*, one row written last, names the snapshot and the changes that make up
+some keys reads their buckets only. A *commit*, one small file written last, names the snapshot and the changes that make up
 the state after a batch, and the offsets read so far. Whatever a batch wrote before it failed is in no commit.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from wireloom.operators.assemble import Summed
-from wireloom.plans.staging import remove_folder
+from wireloom.plans.staging import at_once, file_names, load_text, remove_folder, save_text
 from wireloom.schema import EXCHANGE, TEXTS
 
 #: Rows of a snapshot for each bucket that keys are dealt into, most buckets, and batches after which changes are folded
 #: in any case.
 BUCKET_ROWS, MOST_BUCKETS, MOST_CHANGES = 1 << 17, 1024, 64
 
-OFFSETS = "array<struct<topic:string,partition:int,from_offset:bigint,until_offset:bigint>>"
-COMMITS = (
-    "write bigint, run string, snapshot bigint, buckets int, changes array<bigint>, held bigint, changed bigint, "
-    f"offsets {OFFSETS}, taken_over {OFFSETS}"
-)
-CHANGED = T.StructType([*EXCHANGE.fields, T.StructField("write", T.LongType())])
-GONE = T.StructType([EXCHANGE["request_key"], T.StructField("write", T.LongType())])
+CHANGED = T.StructType([*EXCHANGE.fields, T.StructField("write", T.LongType()), T.StructField("gone", T.BooleanType())])
 
 
 @dataclass(frozen=True)
@@ -51,8 +45,8 @@ class Commit:
     taken_over: tuple[tuple[str, int, int, int], ...] = ()
 
 
-def _of_row(row: Row) -> Commit:
-    fields = row.asDict()
+def _of_text(text: str) -> Commit:
+    fields = json.loads(text)
     for name in ("offsets", "taken_over"):
         fields[name] = tuple(tuple(part) for part in fields[name])
     return Commit(**{**fields, "changes": tuple(fields["changes"])})
@@ -67,13 +61,11 @@ class OpenStore:
         self.spark, self.folder = spark, folder
 
     def commits(self) -> list[Commit]:
-        try:
-            rows = self.spark.read.schema(COMMITS).parquet(f"{self.folder}/commits").drop("batch_id").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return sorted((_of_row(row) for row in rows), key=lambda commit: commit.write)
+        """The last commits in their order; runs no Spark job."""
+        folder = f"{self.folder}/commits"
+        names = [name for name in file_names(self.spark, folder) if name.startswith("batch_id=")]
+        found = (_of_text(load_text(self.spark, f"{folder}/{name}")) for name in names)
+        return sorted(found, key=lambda commit: commit.write)
 
     def before(self, write: int) -> Commit | None:
         """The last commit below a write number."""
@@ -99,9 +91,8 @@ class OpenStore:
 
         A narrow read: of the exchanges no more than key, write and start.
         """
-        known, gone = self._rows(commit, "exchanges", CHANGED), self._changes(commit, "gone", GONE)
-        rows = known.select("request_key", "write", F.col("start.ts").alias("start_ts"), F.lit(False).alias("gone"))
-        rows = rows.unionByName(gone.select("request_key", "write", F.lit(None).cast("timestamp").alias("start_ts"), F.lit(True).alias("gone")))
+        rows = self._rows(commit, "exchanges", CHANGED)
+        rows = rows.select("request_key", "write", F.col("start.ts").alias("start_ts"), "gone")
         last = F.max_by(F.struct("gone", "start_ts"), "write").alias("last")
         born = F.coalesce(F.max(F.when(F.col("gone"), F.col("write"))), F.lit(-1)).alias("born")
         latest = rows.groupBy("request_key").agg(last, born).filter(~F.col("last.gone"))
@@ -122,13 +113,16 @@ class OpenStore:
         texts = texts.join(keys.select("request_key", "born"), "request_key").filter(F.col("batch") > F.col("born"))
         return Summed(latest.select(*names), texts.select(*TEXTS.fieldNames()))
 
-    def write(self, write: int, open_now: DataFrame, texts: DataFrame, gone: DataFrame) -> None:
-        """The changes of a batch; a second call for the write replaces the first."""
-        number = F.lit(write).cast("long").alias("write")
-        folder = f"{self.folder}/batch_id={write}"
-        open_now.select("*", number).write.mode("overwrite").parquet(f"{folder}/exchanges")
-        texts.write.mode("overwrite").parquet(f"{folder}/texts")
-        gone.select("request_key", number).write.mode("overwrite").parquet(f"{folder}/gone")
+    def write_exchanges(self, write: int, changed: DataFrame) -> None:
+        """The exchanges that a batch leaves open, and the keys that it closes (``gone``); a second call for the write
+        replaces the first."""
+        held = [F.when(~F.col("gone"), F.col(name)).alias(name) for name in EXCHANGE.fieldNames() if name != "request_key"]
+        rows = changed.select("request_key", *held, F.lit(write).cast("long").alias("write"), "gone")
+        rows.select(*CHANGED.fieldNames()).write.mode("overwrite").parquet(f"{self.folder}/batch_id={write}/exchanges")
+
+    def write_texts(self, write: int, texts: DataFrame) -> None:
+        """The texts of a batch for exchanges that it leaves open."""
+        texts.write.mode("overwrite").parquet(f"{self.folder}/batch_id={write}/texts")
 
     def commit(self, before: Commit | None, write: int, run: str, changed: int, offsets: Iterable[Row], taken_over: tuple) -> Commit:
         """Records the state after a write, folded if that is due, and removes what no later batch can ask for."""
@@ -139,9 +133,7 @@ class OpenStore:
         )
         if (done.changed and done.changed >= done.held) or len(done.changes) >= MOST_CHANGES:
             done = self._folded(done)
-        row = [getattr(done, name) for name in T.StructType.fromDDL(COMMITS).fieldNames()]
-        frame = self.spark.createDataFrame([[list(v) if isinstance(v, tuple) else v for v in row]], COMMITS)
-        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/commits/batch_id={write}")
+        save_text(self.spark, f"{self.folder}/commits/batch_id={write}", json.dumps(asdict(done)))
         self._clear(last, done)
         return done
 
@@ -151,9 +143,13 @@ class OpenStore:
         folder = f"{self.folder}/snapshot={commit.write}"
         buckets = min(MOST_BUCKETS, 1 + (commit.held + commit.changed) // BUCKET_ROWS)
         number = F.lit(commit.write).cast("long")
-        for part, rows in (("exchanges", state.exchanges.withColumn("write", number)), ("texts", state.texts)):
+
+        def fold(part: str, rows: DataFrame) -> None:
             rows = rows.withColumn("bucket", bucket_of(buckets)).repartition("bucket")
             rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/{part}")
+
+        exchanges = state.exchanges.withColumns({"write": number, "gone": F.lit(False)})
+        at_once(self.spark, lambda: fold("exchanges", exchanges), lambda: fold("texts", state.texts))
         held = self.spark.read.schema(CHANGED).parquet(f"{folder}/exchanges").count()
         return replace(commit, snapshot=commit.write, buckets=buckets, changes=(), held=held, changed=0)
 
@@ -163,17 +159,12 @@ class OpenStore:
         kept = {f"batch_id={write}" for commit in needed for write in (commit.write, *commit.changes)}
         kept |= {f"snapshot={commit.snapshot}" for commit in needed}
         for folder, names in ((self.folder, kept), (f"{self.folder}/commits", {f"batch_id={c.write}" for c in needed})):
-            for name in _folders(self.spark, folder):
+            for name in file_names(self.spark, folder):
                 kind, _, number = name.partition("=")
                 if kind in ("batch_id", "snapshot") and int(number) < last and name not in names:
                     remove_folder(self.spark, f"{folder}/{name}")
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return [file.getPath().getName() for file in location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)]
-
-
 def _reached(before: Iterable[tuple], batch: Iterable[Row]) -> tuple[tuple[str, int, int, int], ...]:
     """The offsets read after a batch: one range for each topic and partition."""
     ranges = {(topic, part): (first, until) for topic, part, first, until in before}

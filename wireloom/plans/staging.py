@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -46,6 +49,51 @@ def touch(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).create(location, True).close()
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it is not there."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [file.getPath().getName() for file in files.listStatus(location)] if files.exists(location) else []
+
+
+def load_text(spark: SparkSession, path: str) -> str:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = location.getFileSystem(spark._jsc.hadoopConfiguration()).open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def save_text(spark: SparkSession, path: str, text: str) -> None:
+    """Gives a file its content at once: readers see the old one or the new one, whole."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder, _, name = path.rpartition("/")
+    # A name with a leading underscore is no data to Spark.
+    source, target = hadoop.Path(f"{folder}/_{name}-{uuid.uuid4().hex}"), hadoop.Path(path)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(source, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(source), files.makeQualified(target), options)
+
+
+def at_once(spark: SparkSession, *works: Callable[[], object]) -> list:
+    """Runs Spark jobs that do not need each other side by side, so that one fills what the last tasks of another leave idle.
+
+    Returns when all have ended; the first error is raised then.
+    """
+    with ThreadPoolExecutor(len(works)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(work)) for work in works]
+    return [work.result() for work in running]
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

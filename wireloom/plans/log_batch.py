@@ -123,8 +123,7 @@ def run_log_batch(
         )
         left = outcome.still_open.exchanges
         new_texts = batch.texts.join(left.select("request_key"), "request_key", "left_semi")
-        closed = F.col("status") != OPEN
-        changes = outcome.decided.filter(F.col("known") | ~closed).withColumn("gone", closed)
+        gone = outcome.decided.filter(F.col("known") & (F.col("status") != OPEN))
 
         def keep_dropped() -> tuple[list[Row], int]:
             fates = outcome.decided.groupBy("status", "known").count().collect()
@@ -136,8 +135,7 @@ def run_log_batch(
             spark,
             keep_dropped,
             lambda: append_batch(outcome.emitted, write, tables.events),
-            lambda: store.write_exchanges(write, changes),
-            lambda: store.write_texts(write, new_texts.select(*batch.texts.columns)),
+            lambda: store.write(write, left, new_texts.select(*batch.texts.columns), gone),
         )
         changed = sum(row["count"] for row in fates if row["status"] == OPEN or row["known"])
         offsets = [row for row in places if row["last"] is not None]

@@ -1,7 +1,7 @@
 """Open exchanges between batches, as a log of changes with snapshots, and how far the log has been read.
 
-A batch writes the exchanges that it opened or continued, in the same table the keys that are no longer open, and the
-texts that came: ``batch_id=.../exchanges, texts``. What stays open and was not touched is not written again. Once
+A batch writes the exchanges that it opened or continued, the texts that came for them, and the
+keys that are no longer open: ``batch_id=.../exchanges, texts, gone``. What stays open and was not touched is not written again. Once
 as many changes have gathered as exchanges were open, or MOST_CHANGES batches, they are folded into a snapshot,
 ``snapshot=.../exchanges, texts``, dealt by key into buckets; so a change is written again about once, and a lookup of
 some keys reads their buckets only. A *commit*, one small file written last, names the snapshot and the changes that make up
@@ -26,7 +26,8 @@ from wireloom.schema import EXCHANGE, TEXTS
 #: in any case.
 BUCKET_ROWS, MOST_BUCKETS, MOST_CHANGES = 1 << 17, 1024, 64
 
-CHANGED = T.StructType([*EXCHANGE.fields, T.StructField("write", T.LongType()), T.StructField("gone", T.BooleanType())])
+CHANGED = T.StructType([*EXCHANGE.fields, T.StructField("write", T.LongType())])
+GONE = T.StructType([EXCHANGE["request_key"], T.StructField("write", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -91,8 +92,9 @@ class OpenStore:
 
         A narrow read: of the exchanges no more than key, write and start.
         """
-        rows = self._rows(commit, "exchanges", CHANGED)
-        rows = rows.select("request_key", "write", F.col("start.ts").alias("start_ts"), "gone")
+        known, gone = self._rows(commit, "exchanges", CHANGED), self._changes(commit, "gone", GONE)
+        rows = known.select("request_key", "write", F.col("start.ts").alias("start_ts"), F.lit(False).alias("gone"))
+        rows = rows.unionByName(gone.select("request_key", "write", F.lit(None).cast("timestamp").alias("start_ts"), F.lit(True).alias("gone")))
         last = F.max_by(F.struct("gone", "start_ts"), "write").alias("last")
         born = F.coalesce(F.max(F.when(F.col("gone"), F.col("write"))), F.lit(-1)).alias("born")
         latest = rows.groupBy("request_key").agg(last, born).filter(~F.col("last.gone"))
@@ -113,16 +115,15 @@ class OpenStore:
         texts = texts.join(keys.select("request_key", "born"), "request_key").filter(F.col("batch") > F.col("born"))
         return Summed(latest.select(*names), texts.select(*TEXTS.fieldNames()))
 
-    def write_exchanges(self, write: int, changed: DataFrame) -> None:
-        """The exchanges that a batch leaves open, and the keys that it closes (``gone``); a second call for the write
-        replaces the first."""
-        held = [F.when(~F.col("gone"), F.col(name)).alias(name) for name in EXCHANGE.fieldNames() if name != "request_key"]
-        rows = changed.select("request_key", *held, F.lit(write).cast("long").alias("write"), "gone")
-        rows.select(*CHANGED.fieldNames()).write.mode("overwrite").parquet(f"{self.folder}/batch_id={write}/exchanges")
+    def write(self, write: int, open_now: DataFrame, texts: DataFrame, gone: DataFrame) -> None:
+        """The changes of a batch; a second call for the write replaces the first."""
+        number = F.lit(write).cast("long").alias("write")
+        parts = {"exchanges": open_now.select("*", number), "texts": texts, "gone": gone.select("request_key", number)}
 
-    def write_texts(self, write: int, texts: DataFrame) -> None:
-        """The texts of a batch for exchanges that it leaves open."""
-        texts.write.mode("overwrite").parquet(f"{self.folder}/batch_id={write}/texts")
+        def put(name: str) -> None:
+            parts[name].write.mode("overwrite").parquet(f"{self.folder}/batch_id={write}/{name}")
+
+        at_once(self.spark, *[lambda name=name: put(name) for name in parts])
 
     def commit(self, before: Commit | None, write: int, run: str, changed: int, offsets: Iterable[Row], taken_over: tuple) -> Commit:
         """Records the state after a write, folded if that is due, and removes what no later batch can ask for."""
@@ -148,7 +149,7 @@ class OpenStore:
             rows = rows.withColumn("bucket", bucket_of(buckets)).repartition("bucket")
             rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/{part}")
 
-        exchanges = state.exchanges.withColumns({"write": number, "gone": F.lit(False)})
+        exchanges = state.exchanges.withColumn("write", number)
         at_once(self.spark, lambda: fold("exchanges", exchanges), lambda: fold("texts", state.texts))
         held = self.spark.read.schema(CHANGED).parquet(f"{folder}/exchanges").count()
         return replace(commit, snapshot=commit.write, buckets=buckets, changes=(), held=held, changed=0)

@@ -229,6 +229,21 @@ def test_one_scan_and_no_sum_before_the_shuffle(spark, tmp_path):
     assert "Aggregate" not in first and "Sort" not in first
 
 
+@pytest.mark.parametrize("topic", ["as a column", "as a constant"])
+def test_lines_are_shuffled_once_and_exchanges_once(spark, tmp_path, topic):
+    rows = random_rows(2, [f"k{i}" for i in range(300)], 3000)
+    records = [("t", p, o, line(key, ms, text)) for p, o, key, ms, text in rows]
+    spark.createDataFrame(records, LOG_RECORD).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    if topic == "as a constant":
+        log = log.withColumn("topic", F.lit("t"))
+    known = summarise(classify(parse_lines(log)))
+    for events in (assemble(classify(parse_lines(log))), to_events(known.exchanges, known.texts)):
+        text = plan_of(events).toString().split("== Initial Plan ==")[0]
+        assert text.count("Exchange hashpartitioning") == 2 and text.count("FileScan") == 1
+        assert observed(events) == expected_events(rows)
+
+
 def test_log_too_long_for_a_row_fails_with_its_key(spark, monkeypatch):
     monkeypatch.setattr(assembling, "MOST_LOG_BYTES", 30)
     rows = [(0, i, line("short", 0, "note")) for i in range(2)]

@@ -54,6 +54,17 @@ HEADER_LINES = {
     "server_profile_line": L.SERVER_PROFILE,
 }
 
+# Kinds of lines; the place in the list, from 1, is a kind's number in a shuffle.
+KINDS = [
+    L.REQUEST_START,
+    *HEADER_LINES.values(),
+    L.BODY,
+    L.REQUEST_END,
+    L.RESPONSE_START,
+    L.RESPONSE_END,
+    L.OTHER,
+]
+
 # Columns of which the last known value counts.
 LAST_WINS = [
     "start",
@@ -92,10 +103,27 @@ def sum_pieces(lines: DataFrame) -> DataFrame:
     Parsed records that still have a ``reason`` may be among the lines. Those that are no line
     have no key; their pieces have them in ``malformed``. ``first_offset`` and ``last_offset`` tell what was read.
     """
-    wide = F.shiftright("offset", 2 * PIECE_BITS).alias("stretch")
-    near = lines.repartition(*[F.col(c) for c in PLACE], wide)
-    near = near.withColumns({"stretch": wide, "piece": F.shiftright("offset", PIECE_BITS)})
-    return _sum_up(near, [*PLACE, "stretch", "piece"])
+    kind, keyed = F.col("kind"), F.col("request_key").isNotNull()
+    record = [F.lit(None).cast("string").alias(name) for name in ("value", "reason")]
+    if "reason" in lines.columns:
+        record = [F.col("value"), F.col("reason")]
+    # Only what counts is shuffled; what the lines of a key have in common comes first, which compresses better.
+    near = lines.select(
+        *PLACE,
+        *record,
+        F.when(kind.isin(L.REQUEST_START, L.OTHER), F.col("thread_name")).alias("thread"),
+        "offset",
+        F.when(keyed, F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind).cast("byte")).alias("kind"),
+        F.col("log_ts").alias("ts"),
+        F.when(kind == L.OTHER, F.coalesce("content", F.lit("")))
+        .when(keyed & ~kind.isin(L.REQUEST_END, L.RESPONSE_END), F.col("content")).alias("text"),
+    )
+    # One number names the place of a row: rows that are dealt by it and the key stay where they are in all groups that
+    # hold both, whatever the optimizer knows of the other columns.
+    stretch, piece = F.shiftright("offset", 2 * PIECE_BITS), F.shiftright("offset", PIECE_BITS)
+    deal = F.xxhash64("topic", "partition", stretch)
+    near = near.repartition("request_key", deal).withColumns({"deal": deal, "stretch": stretch, "piece": piece})
+    return _sum_up(near, ["deal", *PLACE, "stretch", "piece"])
 
 
 def malformed_of(pieces: DataFrame) -> DataFrame:
@@ -107,7 +135,7 @@ def malformed_of(pieces: DataFrame) -> DataFrame:
 def summed(pieces: DataFrame, batch: int = 0) -> Summed:
     """Exchange rows and text rows of pieces; ``batch`` orders texts of several batches."""
     keyed = pieces.filter(F.col("request_key").isNotNull())
-    exchanges = _by_key(keyed.drop("other_log", "malformed"))
+    exchanges = _by_key(keyed)
     texts = keyed.filter(F.col("other_log").isNotNull()).withColumn(
         "batch", F.lit(batch).cast("long")
     )
@@ -115,68 +143,75 @@ def summed(pieces: DataFrame, batch: int = 0) -> Summed:
     return Summed(exchanges.select(*names), texts.select(*text_names))
 
 
-def _by_key(pieces: DataFrame) -> DataFrame:
-    stretches = _join_pieces(pieces, [*PLACE, "stretch"], ["piece"])
-    # Summed up where a key's rows meet: a map-side sum would save nothing for most keys.
-    met = stretches.repartition("request_key")
-    return _join_pieces(met, ["request_key"], ["topic", "partition", "stretch"])
+def _by_key(pieces: DataFrame, *more: str) -> DataFrame:
+    stretches = _join_pieces(pieces, ["deal", *PLACE, "stretch"], ["piece"], *more)
+    return _join_pieces(stretches, ["request_key"], ["topic", "partition", "stretch"], *more)
+
+
+def _with_texts(pieces: DataFrame, batch: int = 0) -> DataFrame:
+    """Exchange rows of pieces, with the texts of each in ``texts``."""
+    text = F.when(F.col("other_log").isNotNull(), F.array(_text()))
+    keyed = pieces.filter(F.col("request_key").isNotNull()).withColumn("batch", F.lit(batch).cast("long"))
+    return _by_key(keyed.withColumn("texts", text), "texts")
 
 
 def summarise(lines: DataFrame, batch: int = 0) -> Summed:
-    """Exchange rows, one per request key, and text rows of classified lines."""
-    return summed(sum_pieces(lines), batch)
+    """Exchange rows, one per request key, and text rows of classified lines.
+
+    The exchange rows carry their texts in a column more, ``texts``, so that ``to_events`` need not look for them.
+    """
+    pieces = sum_pieces(lines)
+    return Summed(_with_texts(pieces, batch), summed(pieces, batch).texts)
 
 
 def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
-    """One row per group of classified lines; a group must be of bounded size."""
-    seq = F.struct("topic", "partition", "offset")
-    kind = F.col("kind")
-
-    def last(value: Column, condition: Column) -> Column:
-        return F.max_by(value, F.when(condition, seq))
-
-    timed = F.struct(F.col("log_ts").alias("ts"), F.col("content").alias("content"))
-    in_order = [F.col(c) for c in ("topic", "partition", "offset")]
-    bodies = F.collect_list(
-        F.when(
-            kind == L.BODY,
-            F.struct(*in_order, F.col("log_ts").alias("ts"), F.col("content").alias("text")),
-        )
-    )
-    others = F.collect_list(
-        F.when(
-            kind == L.OTHER,
-            F.struct(*in_order, F.coalesce("content", F.lit("")).alias("text")),
-        )
-    )
-    bad = F.array().cast("array<struct<offset:bigint,value:string,reason:string>>")
-    if "reason" in lines.columns:
-        record = F.struct("offset", "value", "reason")
-        bad = F.collect_list(F.when(F.col("reason").isNotNull(), record))
+    """One row per group of the lines of ``sum_pieces``; a group must be of bounded size.
+
+    The lines of a group are gathered once, and what counts is looked up among them, last line first.
+    """
+    line = F.struct("offset", "kind", "ts", "text", "thread")
+    bad = F.struct("offset", "value", "reason")
     total = lines.groupBy(*group).agg(
-        F.min_by("log_ts", seq).alias("first_ts"),
-        last(timed, kind == L.REQUEST_START).alias("start"),
-        last(F.col("thread_name"), kind.isin(L.REQUEST_START, L.OTHER)).alias(
-            "caller_thread"
-        ),
-        *[
-            last(F.col("content"), kind == header).alias(name)
-            for name, header in HEADER_LINES.items()
-        ],
-        last(F.col("log_ts"), kind == L.REQUEST_END).alias("request_end_ts"),
-        last(timed, kind == L.RESPONSE_START).alias("response"),
-        last(F.col("log_ts"), kind == L.RESPONSE_END).alias("end_ts"),
-        F.array_sort(bodies).alias("bodies"),
-        F.array_sort(others).alias("others"),
-        bad.alias("malformed"),
+        F.collect_list(F.when(F.col("kind").isNotNull(), line)).alias("lines"),
+        F.collect_list(F.when(F.col("reason").isNotNull(), bad)).alias("malformed"),
         F.min("offset").alias("first_offset"),
         F.max("offset").alias("last_offset"),
     )
-    return (
-        total.withColumn("bodies", chain_of(F.col("bodies")))
-        .withColumn("other_log", _joined_text(F.col("others")))
-        .drop("others")
-    )
+    names = [*group, "malformed", "first_offset", "last_offset"]
+    total = total.select(*names, F.sort_array("lines", asc=False).alias("lines"))
+    found = {kind: F.nullif(_position(kind), F.lit(0)) for kind in KINDS}
+    places = [place.cast("int").alias(f"at_{kind}") for kind, place in found.items()]
+    total = total.select(*names, "lines", *places)
+
+    def at(kind: str) -> Column:
+        return F.get("lines", F.col(f"at_{kind}") - 1)
+
+    def timed(kind: str) -> Column:
+        return F.when(F.col(f"at_{kind}").isNotNull(), F.struct(at(kind)["ts"].alias("ts"), at(kind)["text"].alias("content")))
+
+    def all_of(kind: str) -> Column:
+        code = F.lit(KINDS.index(kind) + 1).cast("byte")
+        found = F.reverse(F.filter("lines", lambda line: line["kind"] == code))
+        return F.when(F.col(f"at_{kind}").isNotNull(), found)
+
+    named = F.least(f"at_{L.REQUEST_START}", f"at_{L.OTHER}")
+    return total.select(
+        *names,
+        F.get("lines", F.size("lines") - 1)["ts"].alias("first_ts"),
+        timed(L.REQUEST_START).alias("start"),
+        F.get("lines", named - 1)["thread"].alias("caller_thread"),
+        *[at(header)["text"].alias(name) for name, header in HEADER_LINES.items()],
+        at(L.REQUEST_END)["ts"].alias("request_end_ts"),
+        timed(L.RESPONSE_START).alias("response"),
+        at(L.RESPONSE_END)["ts"].alias("end_ts"),
+        all_of(L.BODY).alias("bodies"),
+        _joined_text(all_of(L.OTHER)).alias("other_log"),
+    ).withColumn("bodies", chain_of(F.col("bodies")))
+
+
+def _position(kind: str) -> Column:
+    """Place of the first line of a kind in ``lines``, from 1; 0 if there is none."""
+    return F.array_position(F.col("lines")["kind"], F.lit(KINDS.index(kind) + 1).cast("byte"))
 
 
 def _joined_text(texts: Column) -> Column:
@@ -184,28 +219,34 @@ def _joined_text(texts: Column) -> Column:
     return F.when(F.size(texts) > 0, joined)
 
 
-def _join_pieces(pieces: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Joins exchange rows of one group, in the order of the piece columns ``order``."""
-    place = F.struct(*order)
+def _join_pieces(pieces: DataFrame, group: list[str], order: list[str], *more: str) -> DataFrame:
+    """Joins exchange rows of one group, in the order of the piece columns ``order``.
+
+    Most groups have one row, which is taken as it is. ``more`` names columns of arrays to put together.
+    """
+    names = [*order, "first_ts", *LAST_WINS, "bodies", *more]
+    gathered = pieces.groupBy(*group).agg(F.collect_list(F.struct(*names)).alias("rows"))
+    # The order comes first in a row, and no two rows of a group are equal in it.
+    gathered = gathered.withColumn("rows", F.sort_array("rows"))
+    rows, alone = F.col("rows"), F.size("rows") == 1
 
     def last(name: str) -> Column:
-        return F.max_by(name, F.when(F.col(name).isNotNull(), place)).alias(name)
+        known = F.array_compact(rows[name])
+        return F.get(known, F.size(known) - 1)
 
-    in_order = [F.col(c) for c in order]
-    bodies = F.collect_list(
-        F.when(F.col("bodies").isNotNull(), F.struct(*in_order, F.col("bodies").alias("run")))
-    )
-    texts = []
-    if "texts" in pieces.columns:
-        texts.append(F.flatten(F.collect_list("texts")).alias("texts"))
-    joined = pieces.groupBy(*group).agg(
-        F.min_by("first_ts", place).alias("first_ts"),
-        *[last(name) for name in LAST_WINS],
-        F.array_sort(bodies).alias("bodies"),
-        *texts,
+    def all_of(name: str) -> Column:
+        return F.flatten(F.array_compact(rows[name]))
+
+    def one(name: str, several: Column) -> Column:
+        return F.when(alone, F.get("rows", F.lit(0))[name]).otherwise(several).alias(name)
+
+    return gathered.select(
+        *group,
+        one("first_ts", F.get("rows", F.lit(0))["first_ts"]),
+        *[one(name, last(name)) for name in LAST_WINS],
+        one("bodies", F.aggregate(F.array_compact(rows["bodies"]), no_chain(), join_chains)),
+        *[one(name, all_of(name)) for name in more],
     )
-    runs = F.transform("bodies", lambda b: b["run"])
-    return joined.withColumn("bodies", F.aggregate(runs, no_chain(), join_chains))
 
 
 def joined_logs(texts: DataFrame) -> DataFrame:
@@ -223,7 +264,7 @@ def _text() -> Column:
 
 def _whole_log() -> Column:
     """The text of ``texts``, an array of pieces in any order."""
-    pieces = F.array_sort("texts")
+    pieces = F.sort_array("texts")
     size = F.aggregate(
         "texts",
         F.lit(0).cast("long"),
@@ -258,7 +299,12 @@ def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
 
 
 def to_events(exchanges: DataFrame, texts: DataFrame, *keep: str) -> DataFrame:
-    """Events of exchange rows and text rows; ``keep`` names further columns to carry along."""
+    """Events of exchange rows and text rows; ``keep`` names further columns to carry along.
+
+    Exchange rows that carry their ``texts`` (``summarise``) are not joined with the text rows.
+    """
+    if "texts" in exchanges.columns:
+        return _to_events(exchanges.withColumn("other_log", _whole_log()), *keep)
     return _to_events(exchanges.join(joined_logs(texts), "request_key", "left"), *keep)
 
 
@@ -298,8 +344,5 @@ def _to_events(exchanges: DataFrame, *keep: str) -> DataFrame:
 
 def assemble(lines: DataFrame) -> DataFrame:
     """Events of classified lines, one row per request key; the lines are read once."""
-    pieces = sum_pieces(lines).filter(F.col("request_key").isNotNull())
-    text = F.when(F.col("other_log").isNotNull(), F.array(_text()))
-    pieces = pieces.withColumn("batch", F.lit(0).cast("long")).withColumn("texts", text)
-    exchanges = _by_key(pieces.drop("other_log", "malformed", "batch"))
+    exchanges = _with_texts(sum_pieces(lines))
     return _to_events(exchanges.withColumn("other_log", _whole_log()))

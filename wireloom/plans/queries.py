@@ -15,7 +15,7 @@ from wireloom.functions.clock import whole_minutes
 from wireloom.functions.text import client_of, client_profile_of, server_of
 from wireloom.operators import lines as L
 from wireloom.operators.assemble import assemble, summarise, to_events
-from wireloom.operators.lines import classify, fragments, malformed_lines, parse_lines
+from wireloom.operators.lines import classify, computed_once, fragments, malformed_lines, parse_lines
 from wireloom.operators.members import (
     first_per_member,
     loyalty_points,
@@ -245,8 +245,8 @@ def attached_fragments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _two_periods(spark: SparkSession, folder: str) -> LogTables:
-    log, early = records(spark, folder), F.substring("value", 1, 10) < MIDDLE_DAY
-    return _in_batches(spark, [log.filter(early), log.filter(~early)])
+    log, early = _with_day(records(spark, folder)), F.col("day") < MIDDLE_DAY
+    return _in_batches(spark, [log.filter(early).drop("day"), log.filter(~early).drop("day")])
 
 
 def expired_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -383,17 +383,21 @@ SLICE_DAYS = ("2024-01-11", "2024-01-21")
 SLICE_FILES = 4
 
 
+def _with_day(log: DataFrame) -> DataFrame:
+    """Records with the day of their text, so that a filter on it does not make the text again."""
+    return computed_once(log, "day", F.substring("value", 1, 10))
+
+
 def _slices(spark: SparkSession, folder: str) -> list[DataFrame]:
     """The log in three slices of time; the files of a slice split it by exchange.
 
     Exchanges that cross a border between slices stay open from one to the next.
     """
-    log = records(spark, folder)
-    day = F.substring("value", 1, 10)
+    log, day = _with_day(records(spark, folder)), F.col("day")
     first, second = SLICE_DAYS
     parts = (day < first, (day >= first) & (day < second), day >= second)
     exchange = F.shiftright("offset", 4)
-    return [log.filter(part).repartition(SLICE_FILES, exchange) for part in parts]
+    return [log.filter(part).drop("day").repartition(SLICE_FILES, exchange) for part in parts]
 
 
 def _stream(spark: SparkSession, tables: LogTables, source: str, checkpoint: str, files: int, **rules) -> None:

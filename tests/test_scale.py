@@ -18,3 +18,8 @@ def test_two_periods_make_each_text_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "_in_batches", lambda spark, batches: batches)
     for part in queries._two_periods(spark, FOLDER):
         assert optimized(part).count("date_format(") == 1 and part.columns == ["topic", "partition", "offset", "value"]
+
+
+def test_clock_and_order_read_exchanges_that_are_summed_up_once(spark):
+    """Neither the places nor the clock go back to the log."""
+    assert "user_id" not in optimized(queries.events_by_start(spark, FOLDER))

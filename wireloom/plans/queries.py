@@ -195,8 +195,12 @@ def completeness(spark: SparkSession, folder: str) -> DataFrame:
 def events_by_start(spark: SparkSession, folder: str) -> DataFrame:
     """Events with a start and their places in its order, and the minutes since the clock of the batch."""
     known = summarise(_classified(spark, folder))
-    clock = batch_clock(known.exchanges, _no_open(spark))
-    ordered = numbered(by_start(to_events(known.exchanges, known.texts)), *START_ORDER)
+    # The clock and the order both read the exchanges: they are summed up once, and the clock reads two columns.
+    path = new_folder(spark, "started-exchanges")
+    known.exchanges.write.parquet(path)
+    exchanges = spark.read.schema(known.exchanges.schema).parquet(path)
+    clock = batch_clock(exchanges, _no_open(spark))
+    ordered = numbered(by_start(to_events(exchanges, known.texts)), *START_ORDER)
     return ordered.select(
         "request_key",
         "place",

@@ -1,5 +1,11 @@
 """What queries on the whole log must not do twice."""
 
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from wireloom.functions.clock import parse_log_time
 from wireloom.plans import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,3 +29,16 @@ def test_two_periods_make_each_text_once(spark, monkeypatch):
 def test_clock_and_order_read_exchanges_that_are_summed_up_once(spark):
     """Neither the places nor the clock go back to the log."""
     assert "user_id" not in optimized(queries.events_by_start(spark, FOLDER))
+
+
+@pytest.mark.parametrize("day, time, instant", [
+    ("2024-02-29", "23:59:59,999", datetime.datetime(2024, 2, 29, 15, 59, 59, 999000)),
+    ("2024-03-10", "18:30:00,001", datetime.datetime(2024, 3, 10, 10, 30, 0, 1000)),
+    ("2024-02-30", "00:00:00,000", None), ("2024-01-01", "24:00:00,000", None), ("2024-01-01", "00:60:00,000", None),
+    ("2024-01-01", "00:00:60,000", None), ("2024-01-01", "00:00:00.000", None), (None, "00:00:00,000", None),
+])
+def test_log_times(spark, day, time, instant):
+    found = spark.createDataFrame([(day, time)], "day string, time string")
+    micros = found.select(F.unix_micros(parse_log_time(F.col("day"), F.col("time")))).first()[0]
+    at = None if instant is None else instant.replace(tzinfo=datetime.timezone.utc).timestamp()
+    assert micros == (None if at is None else round(at * 1_000_000))

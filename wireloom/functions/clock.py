@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Offset of the log clock, and the layout of a log time.
-LOG_ZONE = "+08:00"
 LOG_ZONE_MS = 8 * 3600 * 1000
 DAY_MS = 24 * 3600 * 1000
 LOG_TIME_LAYOUT = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2},[0-9]{3}$"
@@ -15,11 +14,18 @@ LOG_TIME_LAYOUT = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2},[0-9]{
 def parse_log_time(day: Column, time: Column) -> Column:
     """Instant of a log line, null unless day and time have the exact layout.
 
-    The zone is part of the parsed text, so the session time zone has no influence.
+    The day is a date and the time is counted from its parts, so the session time zone has no influence, and no zone
+    is looked up for each line.
     """
-    text = F.concat_ws(" ", day, time)
-    instant = F.concat(F.replace(text, F.lit(","), F.lit(".")), F.lit(LOG_ZONE))
-    return F.when(text.rlike(LOG_TIME_LAYOUT), instant.try_cast("timestamp"))
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(time, start, length).try_cast("int")
+
+    hour, minute, second, milli = part(1, 2), part(4, 2), part(7, 2), part(10, 3)
+    days = F.unix_date(day.try_cast("date")).cast("long")
+    ms = days * DAY_MS + ((hour * 60 + minute) * 60 + second) * 1000 + milli - LOG_ZONE_MS
+    there = F.concat_ws(" ", day, time).rlike(LOG_TIME_LAYOUT) & (hour < 24) & (minute < 60) & (second < 60)
+    return F.when(there, F.timestamp_millis(ms))
 
 
 def millis(ts: Column) -> Column:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wireloom.functions.clock import parse_log_time
+from wireloom.operators.assemble import sum_pieces
 from wireloom.plans import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -31,6 +32,12 @@ def test_clock_and_order_read_exchanges_that_are_summed_up_once(spark):
     assert "user_id" not in optimized(queries.events_by_start(spark, FOLDER))
 
 
+def test_lines_are_gathered_by_a_number_that_tells_groups_apart(spark):
+    """The first column by which lines are sorted differs from group to group."""
+    pieces = sum_pieces(queries._classified(spark, FOLDER))
+    assert "Aggregate [sorted_by" in optimized(pieces)
+
+
 @pytest.mark.parametrize("day, time, instant", [
     ("2024-02-29", "23:59:59,999", datetime.datetime(2024, 2, 29, 15, 59, 59, 999000)),
     ("2024-03-10", "18:30:00,001", datetime.datetime(2024, 3, 10, 10, 30, 0, 1000)),

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from wireloom.functions.text import (
@@ -164,6 +164,16 @@ def summarise(lines: DataFrame, batch: int = 0) -> Summed:
     return Summed(_with_texts(pieces, batch), summed(pieces, batch).texts)
 
 
+def _grouped(rows: DataFrame, group: list[str]) -> GroupedData:
+    """``groupBy`` by these columns, with a hash of them in front.
+
+    Spark gathers lists of many groups by sorting the rows by the columns of the group. The hash nearly always decides
+    that from its first eight bytes; without it most rows are alike there (one ``deal``, keys of one prefix), and
+    all columns are compared. Rows that are dealt by some of the columns stay where they are.
+    """
+    return rows.withColumn("sorted_by", F.xxhash64(*group)).groupBy("sorted_by", *group)
+
+
 def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
     """One row per group of the lines of ``sum_pieces``; a group must be of bounded size.
 
@@ -171,7 +181,7 @@ def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
     """
     line = F.struct("offset", "kind", "ts", "text", "thread")
     bad = F.struct("offset", "value", "reason")
-    total = lines.groupBy(*group).agg(
+    total = _grouped(lines, group).agg(
         F.collect_list(F.when(F.col("kind").isNotNull(), line)).alias("lines"),
         F.collect_list(F.when(F.col("reason").isNotNull(), bad)).alias("malformed"),
         F.min("offset").alias("first_offset"),

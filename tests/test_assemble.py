@@ -12,6 +12,7 @@ from wireloom.operators.assemble import (
     join_exchanges,
     joined_logs,
     summarise,
+    summarise_views,
     to_events,
 )
 from wireloom.operators.lines import classify, parse_lines
@@ -263,3 +264,22 @@ def test_joined_batches_equal_one_batch(spark, seed):
     joined = join_exchanges(early.exchanges, late.exchanges)
     events = to_events(joined, early.texts.unionByName(late.texts))
     assert observed(events) == expected_events(rows)
+
+
+def test_views_are_what_is_known_of_their_lines(spark):
+    """Views that overlap, that no line is in, and whose condition is null: each as if summed up alone."""
+    random_lines = random.Random(5)
+    texts = [text for _, text in EXCHANGE]
+    rows = [
+        (random_lines.randrange(2), 700 * i, line(f"r{random_lines.randrange(9)}", random_lines.randrange(999), random_lines.choice(texts)))
+        for i in range(400)
+    ]
+    lines = lines_of(spark, rows)
+    offset = F.col("offset")
+    views = [offset % 2000 < 900, F.lit(True), offset < 0, F.when(offset > 100_000, offset % 3 == 0)]
+    together = summarise_views(lines, *views)
+    for number, view in enumerate(views):
+        alone = summarise(lines.filter(view))
+        found = as_dicts(to_events(together.filter(F.col("view") == number), None))
+        assert found == as_dicts(to_events(alone.exchanges, alone.texts))
+        assert bool(found) == (number != 2)

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from wireloom.functions.clock import parse_log_time
+from wireloom.operators import upsert
 from wireloom.operators.assemble import sum_pieces
 from wireloom.plans import queries
+from wireloom.plans.staging import Staging
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -32,6 +34,23 @@ def test_clock_and_order_read_exchanges_that_are_summed_up_once(spark):
     assert "user_id" not in optimized(queries.events_by_start(spark, FOLDER))
 
 
+def test_both_writes_are_made_in_one_pass_of_the_log(spark):
+    """What is read of either write is a table; the log is not parsed again for it."""
+    for write in queries._two_writes(spark, FOLDER):
+        assert "user_id" not in optimized(write)
+
+
+def test_a_first_upsert_stages_nothing(spark, tmp_path, monkeypatch):
+    """Where there is no table there is nothing to read, so rows go to their days at once; a later one reads them."""
+    early, final = queries._two_writes(spark, FOLDER)
+    path, staged = str(tmp_path / "days"), []
+    monkeypatch.setattr(upsert, "Staging", lambda spark: staged.append(1) or Staging(spark))
+    upsert.upsert_days(early, 0, path)
+    assert not staged and spark.read.parquet(path).count() == early.count() > 0
+    upsert.upsert_days(final, 1, path)
+    assert staged and {row[0] for row in spark.read.parquet(path).select("batch_id").distinct().collect()} == {1}
+
+
 def test_lines_are_gathered_by_a_number_that_tells_groups_apart(spark):
     """The first column by which lines are sorted differs from group to group."""
     pieces = sum_pieces(queries._classified(spark, FOLDER))

@@ -97,9 +97,11 @@ class Summed:
 PLACE = ["request_key", "topic", "partition"]
 
 
-def sum_pieces(lines: DataFrame) -> DataFrame:
+def sum_pieces(lines: DataFrame, *views: Column) -> DataFrame:
     """One row per key and piece of classified lines, with the piece's ``other_log``.
 
+    With ``views``, conditions on the lines, there is one for each view that has lines in the piece: the lines are
+    shuffled and gathered once for all, and the column ``view`` has the number of the view, from 0.
     Parsed records that still have a ``reason`` may be among the lines. Those that are no line
     have no key; their pieces have them in ``malformed``. ``first_offset`` and ``last_offset`` tell what was read.
     """
@@ -117,13 +119,14 @@ def sum_pieces(lines: DataFrame) -> DataFrame:
         F.col("log_ts").alias("ts"),
         F.when(kind == L.OTHER, F.coalesce("content", F.lit("")))
         .when(keyed & ~kind.isin(L.REQUEST_END, L.RESPONSE_END), F.col("content")).alias("text"),
+        *[F.coalesce(view, F.lit(False)).alias(f"in_{number}") for number, view in enumerate(views)],
     )
     # One number names the place of a row: rows that are dealt by it and the key stay where they are in all groups that
     # hold both, whatever the optimizer knows of the other columns.
     stretch, piece = F.shiftright("offset", 2 * PIECE_BITS), F.shiftright("offset", PIECE_BITS)
     deal = F.xxhash64("topic", "partition", stretch)
     near = near.repartition("request_key", deal).withColumns({"deal": deal, "stretch": stretch, "piece": piece})
-    return _sum_up(near, ["deal", *PLACE, "stretch", "piece"])
+    return _sum_up(near, ["deal", *PLACE, "stretch", "piece"], len(views))
 
 
 def malformed_of(pieces: DataFrame) -> DataFrame:
@@ -144,8 +147,9 @@ def summed(pieces: DataFrame, batch: int = 0) -> Summed:
 
 
 def _by_key(pieces: DataFrame, *more: str) -> DataFrame:
-    stretches = _join_pieces(pieces, ["deal", *PLACE, "stretch"], ["piece"], *more)
-    return _join_pieces(stretches, ["request_key"], ["topic", "partition", "stretch"], *more)
+    view = [name for name in pieces.columns if name == "view"]
+    stretches = _join_pieces(pieces, ["deal", *PLACE, "stretch", *view], ["piece"], *more)
+    return _join_pieces(stretches, ["request_key", *view], ["topic", "partition", "stretch"], *more)
 
 
 def _with_texts(pieces: DataFrame, batch: int = 0) -> DataFrame:
@@ -164,6 +168,14 @@ def summarise(lines: DataFrame, batch: int = 0) -> Summed:
     return Summed(_with_texts(pieces, batch), summed(pieces, batch).texts)
 
 
+def summarise_views(lines: DataFrame, *views: Column) -> DataFrame:
+    """The exchange rows that ``summarise`` gives for the lines of each view, conditions on the lines; ``view`` numbers them.
+
+    The lines are read, shuffled and gathered once, however many views there are.
+    """
+    return _with_texts(sum_pieces(lines, *views))
+
+
 def _grouped(rows: DataFrame, group: list[str]) -> GroupedData:
     """``groupBy`` by these columns, with a hash of them in front.
 
@@ -174,12 +186,12 @@ def _grouped(rows: DataFrame, group: list[str]) -> GroupedData:
     return rows.withColumn("sorted_by", F.xxhash64(*group)).groupBy("sorted_by", *group)
 
 
-def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
+def _sum_up(lines: DataFrame, group: list[str], views: int = 0) -> DataFrame:
     """One row per group of the lines of ``sum_pieces``; a group must be of bounded size.
 
     The lines of a group are gathered once, and what counts is looked up among them, last line first.
     """
-    line = F.struct("offset", "kind", "ts", "text", "thread")
+    line = F.struct("offset", "kind", "ts", "text", "thread", *[f"in_{number}" for number in range(views)])
     bad = F.struct("offset", "value", "reason")
     total = _grouped(lines, group).agg(
         F.collect_list(F.when(F.col("kind").isNotNull(), line)).alias("lines"),
@@ -189,6 +201,10 @@ def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
     )
     names = [*group, "malformed", "first_offset", "last_offset"]
     total = total.select(*names, F.sort_array("lines", asc=False).alias("lines"))
+    if views:
+        seen = F.array(*[_seen(number) for number in range(views)])
+        total = total.select(*names, F.inline(F.filter(seen, lambda view: F.size(view["lines"]) > 0)))
+        names = [*names, "view"]
     found = {kind: F.nullif(_position(kind), F.lit(0)) for kind in KINDS}
     places = [place.cast("int").alias(f"at_{kind}") for kind, place in found.items()]
     total = total.select(*names, "lines", *places)
@@ -219,6 +235,11 @@ def _sum_up(lines: DataFrame, group: list[str]) -> DataFrame:
     ).withColumn("bodies", chain_of(F.col("bodies")))
 
 
+def _seen(view: int) -> Column:
+    """A view with its lines among ``lines``."""
+    return F.struct(F.lit(view).alias("view"), F.filter("lines", lambda line: line[f"in_{view}"]).alias("lines"))
+
+
 def _position(kind: str) -> Column:
     """Place of the first line of a kind in ``lines``, from 1; 0 if there is none."""
     return F.array_position(F.col("lines")["kind"], F.lit(KINDS.index(kind) + 1).cast("byte"))
@@ -308,7 +329,7 @@ def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
     return continued.unionByName(rest)
 
 
-def to_events(exchanges: DataFrame, texts: DataFrame, *keep: str) -> DataFrame:
+def to_events(exchanges: DataFrame, texts: DataFrame | None, *keep: str) -> DataFrame:
     """Events of exchange rows and text rows; ``keep`` names further columns to carry along.
 
     Exchange rows that carry their ``texts`` (``summarise``) are not joined with the text rows.

@@ -141,6 +141,6 @@ def attached_fragments(batch: DataFrame, open_exchanges: DataFrame) -> DataFrame
     )
 
 
-def to_emitted(exchanges: DataFrame, texts: DataFrame) -> DataFrame:
-    """Rows of schema ``EMITTED`` from exchange rows that have a ``status``."""
-    return with_event_day(to_events(exchanges, texts, "status")).select(*EMITTED.fieldNames())
+def to_emitted(exchanges: DataFrame, texts: DataFrame | None, *keep: str) -> DataFrame:
+    """Rows of schema ``EMITTED`` from exchange rows that have a ``status``; ``keep`` names further columns."""
+    return with_event_day(to_events(exchanges, texts, "status", *keep)).select(*EMITTED.fieldNames(), *keep)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from wireloom.plans.staging import Staging
+from wireloom.plans.staging import Staging, file_exists
 from wireloom.plans.versions import Part, Superseded, VersionedTable
 from wireloom.schema import EMITTED
 
@@ -174,10 +174,12 @@ def upsert_days(events: DataFrame, batch_id: int, path: str) -> None:
     """Folds one row per key and day into the table at ``path``; safe to repeat.
 
     The new days are staged before they replace the old ones, because they are read from the
-    table that they go to. If replacing them fails, the staged days are kept.
+    table that they go to. If replacing them fails, the staged days are kept. Where there is no table yet, nothing is staged.
     """
+    numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if not file_exists(events.sparkSession, path):
+        return _write(last_writes(numbered), path, "event_day")
     with Staging(events.sparkSession) as stage:
-        numbered = events.withColumn("batch_id", F.lit(batch_id).cast("long"))
         incoming = stage(numbered, "incoming")
         standing = standing_days(stage.spark, path, _days(incoming))
         folded = stage(last_writes(standing.unionByName(incoming)), "days")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wireloom.functions.clock import whole_minutes
 from wireloom.functions.text import client_of, client_profile_of, server_of
 from wireloom.operators import lines as L
-from wireloom.operators.assemble import assemble, summarise, to_events
+from wireloom.operators.assemble import assemble, summarise, summarise_views, to_events
 from wireloom.operators.lines import classify, computed_once, fragments, malformed_lines, parse_lines
 from wireloom.operators.members import (
     first_per_member,
@@ -46,7 +46,7 @@ from wireloom.plans.log_batch import LogTables, run_log_batch
 from wireloom.plans.member_import import import_versioned, run_import
 from wireloom.plans.staging import Staging, new_folder
 from wireloom.plans.versions import VersionedTable, add_rows, read_rows, replace_rows
-from wireloom.schema import EXCHANGE, LOG_RECORD, MEMBER_CSV, MEMBER_TABLE
+from wireloom.schema import EMITTED, EXCHANGE, LOG_RECORD, MEMBER_CSV, MEMBER_TABLE
 from wireloom.sources.admission import batch_ranges
 from wireloom.sources.derived import log_records, new_members, old_members, table
 from wireloom.sources.logs import record_files
@@ -332,23 +332,22 @@ def long_logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _two_writes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """All events, first as known before the response, then as known in the end."""
-    lines = _classified(spark, folder)
-    early, final = summarise(lines.filter(F.col("offset") % 16 < 8)), summarise(lines)
-    return (
-        to_emitted(early.exchanges.withColumn("status", F.lit("fragment")), early.texts),
-        to_emitted(final.exchanges.withColumn("status", F.lit("complete")), final.texts),
-    )
+    """All events, first as known before the response, then as known in the end: two tables, made in one pass of the log."""
+    known = summarise_views(_classified(spark, folder), F.col("offset") % 16 < 8, F.lit(True))
+    status = F.when(F.col("view") == 0, "fragment").otherwise("complete")
+    path = new_folder(spark, "two-writes")
+    emitted = to_emitted(known.withColumn("status", status), None, "view")
+    emitted.write.partitionBy("view").parquet(path)
+    early, final = (spark.read.schema(EMITTED).parquet(f"{path}/view={view}") for view in range(2))
+    return early, final
 
 
 def upserted_events(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of the same keys in one table, both delivered twice."""
     early, final = _two_writes(spark, folder)
     path = new_folder(spark, "upserted-events")
-    with Staging(spark) as stage:
-        early, final = stage(early, "early"), stage(final, "final")
-        for batch_id, batch in ((0, early), (1, final), (1, final), (0, early)):
-            append_batch(batch, batch_id, path)
+    for batch_id, batch in ((0, early), (1, final), (1, final), (0, early)):
+        append_batch(batch, batch_id, path)
     return _plain(read_events(spark, path))
 
 

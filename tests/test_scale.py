@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wireloom.functions.clock import parse_log_time
 from wireloom.operators import upsert
-from wireloom.operators.assemble import sum_pieces
+from wireloom.operators.assemble import Summed, join_exchanges, sum_pieces, summarise
 from wireloom.plans import queries
 from wireloom.plans.staging import Staging
 
@@ -51,6 +51,15 @@ def test_a_first_upsert_stages_nothing(spark, tmp_path, monkeypatch):
     assert staged and {row[0] for row in spark.read.parquet(path).select("batch_id").distinct().collect()} == {1}
 
 
+def test_a_first_batch_is_joined_with_nothing(spark):
+    """With no open exchanges every exchange is as the batch has it, and no rows are shuffled to find that."""
+    batch = summarise(queries._classified(spark, FOLDER)).exchanges.drop("texts")
+    joined = join_exchanges(Summed.nothing(spark).exchanges, batch)
+    assert "Join" not in optimized(joined)
+    assert joined.filter("known OR NOT seen").count() == 0
+    assert joined.count() == batch.count() > 0
+
+
 def test_lines_are_gathered_by_a_number_that_tells_groups_apart(spark):
     """The first column by which lines are sorted differs from group to group."""
     pieces = sum_pieces(queries._classified(spark, FOLDER))

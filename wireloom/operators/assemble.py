@@ -91,7 +91,8 @@ class Summed:
 
     @classmethod
     def nothing(cls, spark: SparkSession) -> Summed:
-        return cls(spark.createDataFrame([], EXCHANGE), spark.createDataFrame([], TEXTS))
+        # Only by its limit is a frame without rows known to be empty before it runs; then joins with it fall away.
+        return cls(*[spark.createDataFrame([], schema).limit(0) for schema in (EXCHANGE, TEXTS)])
 
 
 PLACE = ["request_key", "topic", "partition"]

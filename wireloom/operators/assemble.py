@@ -97,14 +97,19 @@ class Summed:
 
 PLACE = ["request_key", "topic", "partition"]
 
+# What tells stretches apart, and, of records without a key, pieces (``alone``); in the order in which they are sorted.
+STRETCH = ["sorted_by", "deal", *PLACE, "stretch", "alone"]
 
-def sum_pieces(lines: DataFrame, *views: Column) -> DataFrame:
+
+def sum_pieces(lines: DataFrame, *views: Column, in_order: bool = False) -> DataFrame:
     """One row per key and piece of classified lines, with the piece's ``other_log``.
 
     With ``views``, conditions on the lines, there is one for each view that has lines in the piece: the lines are
     shuffled and gathered once for all, and the column ``view`` has the number of the view, from 0.
     Parsed records that still have a ``reason`` may be among the lines. Those that are no line
     have no key; their pieces have them in ``malformed``. ``first_offset`` and ``last_offset`` tell what was read.
+    With ``in_order`` the lines are sorted for all groups of a stretch at once, which pays where sorted groups are taken
+    as they come (``staging.sorted_groups``); the pieces then have the columns of STRETCH.
     """
     kind, keyed = F.col("kind"), F.col("request_key").isNotNull()
     record = [F.lit(None).cast("string").alias(name) for name in ("value", "reason")]
@@ -127,24 +132,59 @@ def sum_pieces(lines: DataFrame, *views: Column) -> DataFrame:
     stretch, piece = F.shiftright("offset", 2 * PIECE_BITS), F.shiftright("offset", PIECE_BITS)
     deal = F.xxhash64("topic", "partition", stretch)
     near = near.repartition("request_key", deal).withColumns({"deal": deal, "stretch": stretch, "piece": piece})
+    if in_order:
+        alone = F.when(F.col("request_key").isNull(), F.col("piece"))
+        # A topic known to be constant would leave the order, and sorted lines would not be seen to be sorted by the group.
+        near = L.computed_once(near.withColumnRenamed("topic", "of"), "topic", F.col("of")).drop("of")
+        near = near.withColumns({"sorted_by": F.xxhash64("request_key", "deal"), "alone": alone})
+        return _sum_up(near.sortWithinPartitions(*STRETCH, "piece"), [*STRETCH, "piece"], len(views))
     return _sum_up(near, ["deal", *PLACE, "stretch", "piece"], len(views))
 
 
-def malformed_of(pieces: DataFrame) -> DataFrame:
-    """The records among the pieces that are no lines, each with the reason."""
-    bad = F.explode("malformed").alias("bad")
-    return pieces.select("topic", "partition", bad).select("topic", "partition", "bad.*")
-
+def sum_batch(lines: DataFrame, batch: int = 0) -> DataFrame:
+    """All that a batch needs to know of its records, summed up in one pass: two shuffles, no table between them.
 
-def summed(pieces: DataFrame, batch: int = 0) -> Summed:
-    """Exchange rows and text rows of pieces; ``batch`` orders texts of several batches."""
-    keyed = pieces.filter(F.col("request_key").isNotNull())
-    exchanges = _by_key(keyed)
-    texts = keyed.filter(F.col("other_log").isNotNull()).withColumn(
-        "batch", F.lit(batch).cast("long")
+    One exchange row per request key, which carries its ``texts`` (as ``summarise`` gives them) and in ``ends`` the first
+    and last offset of each stretch. Records that are no line have no key: they stay in rows of one piece each, told by
+    ``unkeyed``, with the records in ``malformed``; so no row gathers all that is broken in a log.
+    """
+    pieces = sum_pieces(lines, in_order=True)
+    end = F.struct("topic", "partition", F.col("first_offset").alias("first"), F.col("last_offset").alias("last"))
+    bad = F.when(F.size("malformed") > 0, F.col("malformed"))
+    pieces = _with_text_arrays(pieces, batch).withColumns({"ends": F.array(end), "malformed": bad})
+    more = ("texts", "ends", "malformed")
+    # They are in this order already; to say so again costs no sort, and lets Spark see that no sort is needed.
+    stretches = _join_pieces(pieces.sortWithinPartitions(*STRETCH), STRETCH, ["piece"], *more)
+    ends = F.col("ends")
+    whole = F.struct("topic", "partition", F.array_min(ends["first"]).alias("first"), F.array_max(ends["last"]).alias("last"))
+    unkeyed = F.when(F.col("request_key").isNull(), F.struct("topic", "partition", "alone"))
+    stretches = stretches.withColumns({"ends": F.array(whole), "unkeyed": unkeyed})
+    # Rows are dealt and sorted by key here, in place of being gathered on both sides of the shuffle.
+    group = ["sorted_by", "request_key", "unkeyed"]
+    dealt = stretches.repartition("request_key", "unkeyed").withColumn("sorted_by", F.xxhash64("request_key", "unkeyed"))
+    rows = _join_pieces(dealt.sortWithinPartitions(*group), group, ["topic", "partition", "stretch"], *more)
+    return rows.drop("sorted_by")
+
+
+def exchanges_of(rows: DataFrame) -> Summed:
+    """The exchanges among the rows of ``sum_batch``, which carry their texts, and the texts as rows."""
+    exchanges = rows.filter(F.col("request_key").isNotNull()).select(*EXCHANGE.fieldNames(), "texts")
+    return Summed(exchanges, text_rows(exchanges))
+
+
+def malformed_of(rows: DataFrame) -> DataFrame:
+    """The records among the rows of ``sum_batch`` that are no lines, each with the reason."""
+    bad = rows.filter(F.col("unkeyed").isNotNull()).select("unkeyed", F.explode("malformed").alias("bad"))
+    return bad.select("unkeyed.topic", "unkeyed.partition", "bad.*")
+
+
+def places_of(rows: DataFrame) -> DataFrame:
+    """First and last offset of each topic partition in the rows of ``sum_batch``, and how many of its records are no lines."""
+    # Only rows without a key have malformed records, and they are of one piece.
+    ends = rows.select(F.explode("ends").alias("end"), F.coalesce(F.array_size("malformed"), F.lit(0)).alias("bad"))
+    return ends.groupBy(F.col("end.topic").alias("topic"), F.col("end.partition").alias("partition")).agg(
+        F.min("end.first").alias("first"), F.max("end.last").alias("last"), F.sum("bad").alias("malformed")
     )
-    names, text_names = EXCHANGE.fieldNames(), TEXTS.fieldNames()
-    return Summed(exchanges.select(*names), texts.select(*text_names))
 
 
 def _by_key(pieces: DataFrame, *more: str) -> DataFrame:
@@ -155,9 +195,13 @@ def _by_key(pieces: DataFrame, *more: str) -> DataFrame:
 
 def _with_texts(pieces: DataFrame, batch: int = 0) -> DataFrame:
     """Exchange rows of pieces, with the texts of each in ``texts``."""
+    return _by_key(_with_text_arrays(pieces.filter(F.col("request_key").isNotNull()), batch), "texts")
+
+
+def _with_text_arrays(pieces: DataFrame, batch: int) -> DataFrame:
+    """Pieces with their text in ``texts``, an array to be joined with others."""
     text = F.when(F.col("other_log").isNotNull(), F.array(_text()))
-    keyed = pieces.filter(F.col("request_key").isNotNull()).withColumn("batch", F.lit(batch).cast("long"))
-    return _by_key(keyed.withColumn("texts", text), "texts")
+    return pieces.withColumn("batch", F.lit(batch).cast("long")).withColumn("texts", text)
 
 
 def summarise(lines: DataFrame, batch: int = 0) -> Summed:
@@ -166,7 +210,9 @@ def summarise(lines: DataFrame, batch: int = 0) -> Summed:
     The exchange rows carry their texts in a column more, ``texts``, so that ``to_events`` need not look for them.
     """
     pieces = sum_pieces(lines)
-    return Summed(_with_texts(pieces, batch), summed(pieces, batch).texts)
+    texts = pieces.filter(F.col("request_key").isNotNull() & F.col("other_log").isNotNull())
+    texts = texts.withColumn("batch", F.lit(batch).cast("long"))
+    return Summed(_with_texts(pieces, batch), texts.select(*TEXTS.fieldNames()))
 
 
 def summarise_views(lines: DataFrame, *views: Column) -> DataFrame:
@@ -184,6 +230,8 @@ def _grouped(rows: DataFrame, group: list[str]) -> GroupedData:
     that from its first eight bytes; without it most rows are alike there (one ``deal``, keys of one prefix), and
     all columns are compared. Rows that are dealt by some of the columns stay where they are.
     """
+    if group[0] == "sorted_by":
+        return rows.groupBy(*group)
     return rows.withColumn("sorted_by", F.xxhash64(*group)).groupBy("sorted_by", *group)
 
 
@@ -286,8 +334,26 @@ def joined_logs(texts: DataFrame) -> DataFrame:
 
     A text that no row can hold fails, with the key in the message; nothing is cut.
     """
-    collected = texts.groupBy("request_key").agg(F.collect_list(_text()).alias("texts"))
-    return collected.select("request_key", _whole_log().alias("other_log"))
+    return _gathered(texts).select("request_key", _whole_log().alias("other_log"))
+
+
+def text_rows(exchanges: DataFrame) -> DataFrame:
+    """Rows of schema ``TEXTS`` from exchange rows that carry their ``texts``."""
+    rows = exchanges.select("request_key", F.inline("texts"))
+    return rows.withColumnRenamed("text", "other_log").select(*TEXTS.fieldNames())
+
+
+def carrying(exchanges: DataFrame, texts: DataFrame) -> DataFrame:
+    """Exchange rows with the text rows of their keys in ``texts``, added to those that they carry already."""
+    if "texts" not in exchanges.columns:
+        return exchanges.join(_gathered(texts), "request_key", "left")
+    more = _gathered(texts).withColumnRenamed("texts", "more_texts")
+    known = F.flatten(F.array_compact(F.array("texts", "more_texts")))
+    return exchanges.join(more, "request_key", "left").withColumn("texts", known).drop("more_texts")
+
+
+def _gathered(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("request_key").agg(F.collect_list(_text()).alias("texts"))
 
 
 def _text() -> Column:
@@ -306,13 +372,13 @@ def _whole_log() -> Column:
     return F.when(size > MOST_LOG_BYTES, F.raise_error(message)).otherwise(_joined_text(pieces))
 
 
-def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
+def join_exchanges(earlier: DataFrame, later: DataFrame, *keep: str) -> DataFrame:
     """All exchange rows of two sets, those of one key joined; ``later`` continues ``earlier``.
 
     Adds ``known`` (the key is in ``earlier``) and ``seen`` (it is in ``later``). This is a full
     join, written as a left join and the rest: as open exchanges are few, Spark can broadcast
     them and leave the later rows where they are, which it cannot do in a full join. Only keys
-    are shuffled to find the rest.
+    are shuffled to find the rest. ``keep`` names columns of ``later`` to carry along; they are null in the rest.
     """
     a, b = earlier.alias("a"), later.alias("b")
     joined = b.join(a, F.col("a.request_key") == F.col("b.request_key"), "left")
@@ -321,11 +387,15 @@ def join_exchanges(earlier: DataFrame, later: DataFrame) -> DataFrame:
         F.coalesce("a.first_ts", "b.first_ts").alias("first_ts"),
         *[F.coalesce(f"b.{name}", f"a.{name}").alias(name) for name in LAST_WINS],
         join_chains(F.col("a.bodies"), F.col("b.bodies")).alias("bodies"),
+        *[F.col(f"b.{name}") for name in keep],
         F.col("a.request_key").isNotNull().alias("known"),
         F.lit(True).alias("seen"),
     )
     rest = earlier.join(later.select("request_key"), "request_key", "left_anti").select(
-        *EXCHANGE.fieldNames(), F.lit(True).alias("known"), F.lit(False).alias("seen")
+        *EXCHANGE.fieldNames(),
+        *[F.lit(None).cast(later.schema[name].dataType).alias(name) for name in keep],
+        F.lit(True).alias("known"),
+        F.lit(False).alias("seen"),
     )
     return continued.unionByName(rest)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireloom.functions.clock import log_day, whole_minutes
-from wireloom.operators.assemble import Summed, join_exchanges, to_events
+from wireloom.operators.assemble import Summed, carrying, join_exchanges, text_rows, to_events
 from wireloom.schema import EMITTED, EXCHANGE
 
 # Fixed value: an open event older than this many whole minutes is given up.
@@ -89,7 +89,7 @@ class Reconciled:
     emitted: DataFrame  # rows of schema EMITTED
     still_open: Summed  # for the next batch
     dropped: DataFrame  # rows of schema EMITTED: what came without an open event
-    decided: DataFrame  # exchange rows with ``status``, ``known`` (open before) and ``seen`` (in the batch)
+    decided: DataFrame  # exchange rows with the batch's ``texts``, ``status``, ``known`` (open before), ``seen`` (in the batch)
 
 
 def reconcile(
@@ -104,11 +104,13 @@ def reconcile(
 
     Exchange rows are one per key on both sides, so their join cannot be skewed. They are read
     several times, so they should be tables; so is the fate of every exchange, which ``keep``
-    may put into a table. ``clock`` is a one-row frame as ``batch_clock``
+    may put into a table. The rows of a batch carry their texts (``summarise``, ``sum_batch``); only events that were open
+    before are joined with text rows, those of the open exchanges. ``clock`` is a one-row frame as ``batch_clock``
     makes it; it enters the plan as a scalar subquery.
     """
     clock = batch_clock(batch.exchanges, before.exchanges) if clock is None else clock
-    joined = join_exchanges(before.exchanges, batch.exchanges)
+    later = batch.exchanges if "texts" in batch.exchanges.columns else carrying(batch.exchanges, batch.texts)
+    joined = join_exchanges(before.exchanges, later, "texts")
     ended = F.col("start").isNotNull() & F.col("end_ts").isNotNull()
     expired = F.col("known") & is_expired(clock.scalar(), F.col("start.ts"), expire_minutes)
     fate = (
@@ -118,16 +120,19 @@ def reconcile(
         .otherwise(OPEN)
     )
     decided = keep(joined.withColumn("status", fate))
-    texts = before.texts.unionByName(batch.texts)
-    emitted = to_emitted(decided.filter(F.col("status").isin(COMPLETE, TIMEOUT)), texts)
+    given_out = decided.filter(F.col("status").isin(COMPLETE, TIMEOUT))
+    continued = carrying(given_out.filter("known"), before.texts)
+    emitted = to_emitted(given_out.filter("NOT known"), None).unionByName(to_emitted(continued, None))
     if emit_fragments:
-        attached = to_emitted(attached_fragments(batch.exchanges, before.exchanges), batch.texts)
-        emitted = attached.unionByName(emitted)
-    kept = decided.filter(F.col("status") == OPEN).select(*EXCHANGE.fieldNames())
+        emitted = to_emitted(attached_fragments(later, before.exchanges), None).unionByName(emitted)
+    still_open = decided.filter(F.col("status") == OPEN)
+    kept = still_open.select(*EXCHANGE.fieldNames())
+    old_texts = before.texts.join(kept.select("request_key"), "request_key", "left_semi")
     return Reconciled(
         emitted=emitted,
-        still_open=Summed(kept, texts.join(kept.select("request_key"), "request_key", "left_semi")),
-        dropped=to_emitted(decided.filter(F.col("status") == DROPPED), batch.texts),
+        still_open=Summed(kept, old_texts.unionByName(text_rows(still_open))),
+        # What was open before has a start, so nothing of it is dropped.
+        dropped=to_emitted(decided.filter(F.col("status") == DROPPED), None),
         decided=decided,
     )
 

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from wireloom.operators.assemble import Summed, malformed_of, sum_pieces, summed
+from wireloom.operators.assemble import Summed, exchanges_of, malformed_of, places_of, sum_batch, text_rows
 from wireloom.operators.lines import classified_records, parse_records
 from wireloom.operators.route import DROPPED, EXPIRE_MINUTES, OPEN, batch_clock, is_expired, reconcile
 from wireloom.operators.upsert import append_batch, next_write
 from wireloom.plans.open_store import Commit, OpenStore, unread
-from wireloom.plans.staging import Staging, at_once
+from wireloom.plans.staging import Staging, at_once, sorted_groups
 from wireloom.plans.versions import VersionedTable, add_rows
 from wireloom.sources.admission import batch_ranges, of_batch
 
@@ -101,28 +101,29 @@ def run_log_batch(
     records = unread(records, taken_over)
 
     with Staging(spark) as stage:
-        pieces = stage(sum_pieces(classified_records(parse_records(records))), "pieces")
-        batch = summed(pieces, write)
+        with sorted_groups(spark):
+            rows = stage(sum_batch(classified_records(parse_records(records)), write), "batch")
+        batch = exchanges_of(rows)
 
         def keep_malformed() -> tuple[list[Row], int]:
-            places = _places(pieces)
+            places = places_of(rows).collect()
             malformed = sum(row["malformed"] for row in places)
-            add_rows(VersionedTable(spark, tables.malformed), malformed_of(pieces), write, malformed)
+            add_rows(VersionedTable(spark, tables.malformed), malformed_of(rows), write, malformed)
             return places, malformed
 
-        (places, malformed), exchanges = at_once(spark, keep_malformed, lambda: stage(batch.exchanges, "exchanges"))
-        batch = Summed(exchanges, batch.texts)
-        before, clock = _touched(store, last, batch, expire_minutes, stage)
+        touched = lambda: _touched(store, last, batch, expire_minutes, stage)
+        (places, malformed), (before, clock) = at_once(spark, keep_malformed, touched)
         outcome = reconcile(
             batch,
             before,
             clock=clock,
             expire_minutes=expire_minutes,
             emit_fragments=emit_fragments,
-            keep=lambda decided: stage(decided, "decided"),
+            # With nothing open before the fate of an exchange is told by its own row.
+            keep=lambda decided: stage(decided, "decided") if _any_open(last) else decided,
         )
         left = outcome.still_open.exchanges
-        new_texts = batch.texts.join(left.select("request_key"), "request_key", "left_semi")
+        new_texts = text_rows(outcome.decided.filter(F.col("status") == OPEN))
         gone = outcome.decided.filter(F.col("known") & (F.col("status") != OPEN))
 
         def keep_dropped() -> tuple[list[Row], int]:
@@ -135,7 +136,7 @@ def run_log_batch(
             spark,
             keep_dropped,
             lambda: append_batch(outcome.emitted, write, tables.events),
-            lambda: store.write(write, left, new_texts.select(*batch.texts.columns), gone),
+            lambda: store.write(write, left, new_texts, gone),
         )
         changed = sum(row["count"] for row in fates if row["status"] == OPEN or row["known"])
         offsets = [row for row in places if row["last"] is not None]
@@ -161,10 +162,11 @@ def run_backlog(records: DataFrame, tables: LogTables, target_bytes: int, **rule
 
 def _touched(
     store: OpenStore, last: Commit | None, batch: Summed, expire_minutes: int, stage: Staging
-) -> tuple[Summed, DataFrame | None]:
+) -> tuple[Summed, DataFrame]:
     """The open exchanges that have lines in the batch or that expire, and the clock."""
-    if last is None or not (last.held or last.changed):
-        return Summed.nothing(store.spark), None
+    if not _any_open(last):
+        # Nothing can expire, so no clock is looked for.
+        return Summed.nothing(store.spark), _constant(store.spark, None)
     heads = store.heads(last)
     clock = _told(batch_clock(batch.exchanges, heads))
     seen = batch.exchanges.select("request_key", F.lit(True).alias("seen"))
@@ -175,14 +177,14 @@ def _touched(
     return Summed(stage(found.exchanges, "before"), found.texts), clock
 
 
+def _any_open(last: Commit | None) -> bool:
+    return last is not None and bool(last.held or last.changed)
+
+
 def _told(clock: DataFrame) -> DataFrame:
     """The clock, looked up once: a row of a constant, which enters later plans as such."""
-    micros = clock.select(F.unix_micros("clock")).first()[0]
-    return clock.sparkSession.sql(f"SELECT timestamp_micros({'NULL' if micros is None else micros}) AS clock")
+    return _constant(clock.sparkSession, clock.select(F.unix_micros("clock")).first()[0])
 
 
-def _places(pieces: DataFrame) -> list[Row]:
-    """First and last offset of each topic partition, and how many of its records are no lines."""
-    bad = F.sum(F.coalesce(F.array_size("malformed"), F.lit(0))).alias("malformed")
-    ends = F.min("first_offset").alias("first"), F.max("last_offset").alias("last")
-    return pieces.groupBy("topic", "partition").agg(*ends, bad).collect()
+def _constant(spark: SparkSession, micros: int | None) -> DataFrame:
+    return spark.sql(f"SELECT timestamp_micros({'NULL' if micros is None else micros}) AS clock")

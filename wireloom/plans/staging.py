@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,23 @@ def at_once(spark: SparkSession, *works: Callable[[], object]) -> list:
     return [work.result() for work in running]
 
 
+SORTED_GROUPS = "spark.sql.execution.replaceHashWithSortAgg"
+
+
+@contextmanager
+def sorted_groups(spark: SparkSession) -> Iterator[None]:
+    """What runs inside takes groups of rows that are sorted by them as they come, in one step.
+
+    Spark otherwise gathers them in two steps and sorts for each of them again.
+    """
+    before = spark.conf.get(SORTED_GROUPS)
+    spark.conf.set(SORTED_GROUPS, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SORTED_GROUPS, before)
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,8 +61,10 @@ IMPORT_MS = 1_700_000_000_000
 MIDDLE_DAY = "2024-01-16"
 
 
-def records(spark: SparkSession, folder: str, key: Column | None = None) -> DataFrame:
-    return log_records(table(spark, folder, "events"), key)
+def records(
+    spark: SparkSession, folder: str, key: Column | None = None, first: str | None = None, end: str | None = None
+) -> DataFrame:
+    return log_records(table(spark, folder, "events"), key, first, end)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -382,8 +384,8 @@ def last_written_events(spark: SparkSession, folder: str) -> DataFrame:
 
 # Days at which the stream source is cut into three slices.
 SLICE_DAYS = ("2024-01-11", "2024-01-21")
-# Files of a slice.
-SLICE_FILES = 4
+# Fewest and most files of a slice; between them there is one for each core.
+SLICE_FILES, MOST_SLICE_FILES = 4, 16
 
 
 def _with_day(log: DataFrame) -> DataFrame:
@@ -396,11 +398,19 @@ def _slices(spark: SparkSession, folder: str) -> list[DataFrame]:
 
     Exchanges that cross a border between slices stay open from one to the next.
     """
-    log, day = _with_day(records(spark, folder)), F.col("day")
-    first, second = SLICE_DAYS
-    parts = (day < first, (day >= first) & (day < second), day >= second)
-    exchange = F.shiftright("offset", 4)
-    return [log.filter(part).drop("day").repartition(SLICE_FILES, exchange) for part in parts]
+    spans, day = zip((None, *SLICE_DAYS), (*SLICE_DAYS, None)), F.col("day")
+    files, exchange = _slice_files(spark), F.shiftright("offset", 4)
+    slices = []
+    for first, end in spans:
+        part = _with_day(records(spark, folder, first=first, end=end))
+        part = part if first is None else part.filter(day >= first)
+        part = part.filter(day.isNotNull() if end is None else day < end)
+        slices.append(part.drop("day").repartition(files, exchange))
+    return slices
+
+
+def _slice_files(spark: SparkSession) -> int:
+    return max(SLICE_FILES, min(MOST_SLICE_FILES, spark.sparkContext.defaultParallelism))
 
 
 def _stream(spark: SparkSession, tables: LogTables, source: str, checkpoint: str, files: int, **rules) -> None:
@@ -420,7 +430,7 @@ def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
     for part in _slices(spark, folder):
         part.write.mode("append").parquet(source)
     tables = LogTables.under(new_folder(spark, "stream-tables"))
-    _stream(spark, tables, source, new_folder(spark, "stream-checkpoint"), SLICE_FILES)
+    _stream(spark, tables, source, new_folder(spark, "stream-checkpoint"), _slice_files(spark))
     return _plain(read_events(spark, tables.events))
 
 

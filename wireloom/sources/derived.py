@@ -19,11 +19,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def log_records(events: DataFrame, key: Column | None = None) -> DataFrame:
+# No text begins with a day as such behind this one.
+LAST_DAY = "9999-12-30"
+
+
+def log_records(
+    events: DataFrame, key: Column | None = None, first: str | None = None, end: str | None = None
+) -> DataFrame:
     """Up to thirteen log records for every event, as one exchange of key ``req-<event_id>``.
 
     Every tenth event lacks its start, its end, or both, and every fourth its request body.
-    ``key`` sets another request key.
+    ``key`` sets another request key. With ``first`` and ``end`` records that cannot be of a day from ``first``, or of one
+    before ``end``, may be left out before their text is made.
     """
     e, j = F.col("event_id"), F.col("j")
     text = lambda *parts: F.concat(
@@ -86,9 +93,15 @@ def log_records(events: DataFrame, key: Column | None = None) -> DataFrame:
         | ((j == 0) & (e % 10).isin(5, 7))
         | ((j == 6) & (e % 4 == 0))
     )
+    # The text shows the day on the clock of the session, as this does.
+    day, within = at.cast("date"), F.lit(True)
+    if first is not None:
+        within = within & (day >= F.lit(first).cast("date"))
+    if end is not None:
+        within = within & ((day < F.lit(end).cast("date")) | (day > F.lit(LAST_DAY).cast("date")))
     return (
         events.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(LINES_PER_EVENT - 1))))
-        .filter(there)
+        .filter(there & within)
         .select(
             F.lit("applog").alias("topic"),
             (e % 3).cast("int").alias("partition"),

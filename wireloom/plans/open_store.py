@@ -139,8 +139,7 @@ class OpenStore:
         return done
 
     def _folded(self, commit: Commit) -> Commit:
-        heads = self.heads(commit)
-        state = self.lookup(commit, heads, few=False)
+        state = self._state(commit)
         folder = f"{self.folder}/snapshot={commit.write}"
         buckets = min(MOST_BUCKETS, 1 + (commit.held + commit.changed) // BUCKET_ROWS)
         number = F.lit(commit.write).cast("long")
@@ -154,6 +153,14 @@ class OpenStore:
         held = self.spark.read.schema(CHANGED).parquet(f"{folder}/exchanges").count()
         return replace(commit, snapshot=commit.write, buckets=buckets, changes=(), held=held, changed=0)
 
+    def _state(self, commit: Commit) -> Summed:
+        """All open exchanges after a commit, and their texts."""
+        if commit.snapshot is None and len(commit.changes) == 1:
+            # The first write has a row for each key that it left open, and no key was open before to be gone.
+            exchanges = self._changes(commit, "exchanges", CHANGED).select(*EXCHANGE.fieldNames())
+            return Summed(exchanges, self._changes(commit, "texts", TEXTS))
+        return self.lookup(commit, self.heads(commit), few=False)
+
     def _clear(self, *needed: Commit) -> None:
         """Removes the folders below the last write that neither of the last two commits needs."""
         last = max(commit.write for commit in needed)

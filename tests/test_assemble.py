@@ -283,3 +283,37 @@ def test_views_are_what_is_known_of_their_lines(spark):
         found = as_dicts(to_events(together.filter(F.col("view") == number), None))
         assert found == as_dicts(to_events(alone.exchanges, alone.texts))
         assert bool(found) == (number != 2)
+
+
+@pytest.mark.parametrize("bits, long, company", [(10, 1, 2), (3, 200, 1), (3, 60, 100), (1, 1 << 16, 100)])
+def test_long_logs_apart_equal_a_fold(spark, tmp_path, monkeypatch, bits, long, company):
+    monkeypatch.setattr(assembling, "PIECE_BITS", bits)
+    monkeypatch.setattr(assembling, "LONG_TEXT_BYTES", long)
+    monkeypatch.setattr(assembling, "COMPANY", company)
+    monkeypatch.setattr(assembling, "TIDY_BYTES", 500)
+    rows = random_rows(1, ["hot"] * 40 + [f"k{i}" for i in range(80)], 900)
+    assert observed(assemble(to_lines(spark, rows), str(tmp_path / "apart"))) == expected_events(rows)
+
+
+def test_no_row_holds_a_long_log_before_it_is_put_together(spark, tmp_path, monkeypatch):
+    """The table has the log of a key in rows of bounded size, and its event is dealt once more as a whole row."""
+    monkeypatch.setattr(assembling, "PIECE_BITS", 2)
+    monkeypatch.setattr(assembling, "LONG_TEXT_BYTES", 100)
+    rows = [(0, i, line("long", 0, f"note {i:05d}")) for i in range(640)]
+    rows += [(1, 10 * i, line(f"k{i}", 0, "---> END")) for i in range(9)] + [(2, 5, line("k1", 0, "note"))]
+    events = assemble(lines_of(spark, rows), str(tmp_path / "apart"))
+    table = spark.read.parquet(str(tmp_path / "apart"))
+    sizes = table.select(F.coalesce(F.octet_length("other_log"), F.lit(0)), F.aggregate("texts", F.lit(0), lambda n, t: n + F.octet_length(t["text"])))
+    assert 0 < max(max(row[0], row[1] or 0) for row in sizes.collect()) < 200
+    assert "Repartition" in events._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[0]
+    logs = {row.request_key: row.other_log for row in events.select("request_key", "other_log").collect()}
+    assert logs.pop("long") == LOG_SEPARATOR.join(f"note {i:05d}" for i in range(640))
+    assert logs == {f"k{i}": "note" if i == 1 else None for i in range(9)}
+
+
+def test_long_log_apart_fails_with_its_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(assembling, "LONG_TEXT_BYTES", 20)
+    monkeypatch.setattr(assembling, "MOST_LOG_BYTES", 50)
+    rows = [(0, (i << 20), line("long", 0, f"note {i} and more of it")) for i in range(4)]
+    with pytest.raises(Exception, match="request key long"):
+        assemble(lines_of(spark, rows), str(tmp_path / "apart")).collect()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wireloom.functions.clock import parse_log_time
-from wireloom.operators import upsert
+from wireloom.operators import assemble, upsert
 from wireloom.operators.assemble import Summed, join_exchanges, sum_pieces, summarise
 from wireloom.plans import queries
 from wireloom.plans.staging import Staging
@@ -34,6 +34,17 @@ def test_clock_and_order_read_exchanges_that_are_summed_up_once(spark):
     assert "user_id" not in optimized(queries.events_by_start(spark, FOLDER))
 
 
+def test_a_key_of_a_third_of_the_log_is_put_together_apart(spark, monkeypatch):
+    """The end of the query reads the table of events and texts, not the log; results are those of the plain plan."""
+    monkeypatch.setattr(assemble, "LONG_TEXT_BYTES", 500)
+    apart = queries.assembled_shared_keys(spark, FOLDER)
+    assert "user_id" not in optimized(apart)
+    key = F.when(F.col("event_id") % 3 == 0, "shared").otherwise(F.concat(F.lit("req-"), F.col("event_id").cast("string")))
+    plain = queries._plain(assemble.assemble(queries._classified(spark, FOLDER, key)))
+    assert apart.columns == plain.columns
+    assert apart.exceptAll(plain).count() == plain.exceptAll(apart).count() == 0 < apart.count()
+
+
 def test_both_writes_are_made_in_one_pass_of_the_log(spark):
     """What is read of either write is a table; the log is not parsed again for it."""
     for write in queries._two_writes(spark, FOLDER):

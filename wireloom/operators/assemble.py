@@ -11,11 +11,14 @@ Scale. There is one plan for keys of any size. A broken client that logs under o
 may own a third of the log; so the lines are shuffled by key and stretch, where groups are
 bounded by their offsets, and summed up in place; only one row for each key and stretch is
 shuffled by key. Other log text is kept in pieces until an event is given out: as rows of its
-own where exchanges go on from batch to batch, so that open exchanges do not grow with it.
+own where exchanges go on from batch to batch, so that open exchanges do not grow with it. A log of
+hundreds of megabytes is one value of a row all the same; ``assemble`` can put its text together apart,
+where as few copies of it are held at a time as Spark allows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
@@ -81,6 +84,21 @@ PIECE_BITS = 10
 # Most bytes of a joined log: what one value of a row can hold.
 MOST_LOG_BYTES = 2_000_000_000
 
+# From so many bytes on the text of a key in one stretch goes a way of its own (``_log_apart``).
+LONG_TEXT_BYTES = 1 << 16
+
+# What a row is there: a whole event, an event whose log is apart, or a stretch of such a log.
+WHOLE, WITHOUT_LOG, LOG = 0, 1, 2
+
+# Over so many bytes of a log the heap is collected before its text is put together.
+TIDY_BYTES = 1 << 26
+
+# Tasks among which events with a log of their own are dealt. Up to 200 a shuffle writes rows as they come, without a copy.
+LONG_LOG_TASKS = 100
+
+# One whole event in so many is dealt with them, so that other rows come first where a long log is written.
+COMPANY = 100
+
 
 @dataclass(frozen=True)
 class Summed:
@@ -295,7 +313,8 @@ def _position(kind: str) -> Column:
 
 
 def _joined_text(texts: Column) -> Column:
-    joined = F.array_join(F.transform(texts, lambda t: t["text"]), LOG_SEPARATOR)
+    # concat_ws makes a text of the right size at once, where array_join lets it grow; transform would copy every part.
+    joined = F.concat_ws(LOG_SEPARATOR, texts["text"])
     return F.when(F.size(texts) > 0, joined)
 
 
@@ -360,16 +379,29 @@ def _text() -> Column:
     return F.struct("batch", "topic", "partition", "piece", F.col("other_log").alias("text"))
 
 
-def _whole_log() -> Column:
-    """The text of ``texts``, an array of pieces in any order."""
-    pieces = F.sort_array("texts")
-    size = F.aggregate(
-        "texts",
+def _log_bytes(texts: Column) -> Column:
+    """Bytes of a log put together from ``texts``, a separator behind each counted."""
+    return F.aggregate(
+        texts,
         F.lit(0).cast("long"),
         lambda n, t: n + F.octet_length(t["text"]) + len(LOG_SEPARATOR),
     )
+
+
+def _whole_log(texts: Column | None = None, tidy: bool = False) -> Column:
+    """The text of ``texts``, an array of pieces in any order.
+
+    A very long text needs some hundred megabytes in one stretch of the heap, several times. With ``tidy`` the heap is
+    collected before, so that what is done with does not lie between; that is for few rows only.
+    """
+    texts = F.col("texts") if texts is None else texts
     message = F.concat(F.lit("the other log is too long for a row, request key "), "request_key")
-    return F.when(size > MOST_LOG_BYTES, F.raise_error(message)).otherwise(_joined_text(pieces))
+    size = _log_bytes(texts)
+    whole = F.when(size > MOST_LOG_BYTES, F.raise_error(message))
+    if tidy:
+        collected = F.reflect(F.lit("java.lang.System"), F.lit("gc")).isNotNull()
+        whole = whole.when((size > TIDY_BYTES) & collected & (F.size(texts) == 0), None)
+    return whole.otherwise(_joined_text(F.sort_array(texts)))
 
 
 def join_exchanges(earlier: DataFrame, later: DataFrame, *keep: str) -> DataFrame:
@@ -444,7 +476,74 @@ def _to_events(exchanges: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def assemble(lines: DataFrame) -> DataFrame:
-    """Events of classified lines, one row per request key; the lines are read once."""
-    exchanges = _with_texts(sum_pieces(lines))
-    return _to_events(exchanges.withColumn("other_log", _whole_log()))
+def _log_apart(stretches: DataFrame) -> DataFrame:
+    """Exchange rows of stretches that carry their ``texts``; where these are long, they are in rows of their own.
+
+    ``of`` tells rows of text (LOG) apart; ``parts`` has what rows there are.
+    """
+    size = F.coalesce(_log_bytes(F.col("texts")), F.lit(0))
+    pieces, cut = F.size("texts"), F.greatest(F.ceil(size / LONG_TEXT_BYTES).cast("int"), F.lit(1))
+    # The cuts of a long text have as many pieces each, from a first one on; an event counts as the cut 0.
+    step = F.greatest(F.floor(pieces / cut).cast("int"), F.lit(1))
+    cuts = F.when(size >= LONG_TEXT_BYTES, F.concat(F.array(F.lit(0)), F.sequence(F.lit(1), pieces, step))).otherwise(F.array(F.lit(0)))
+    rows = stretches.select("*", (size >= LONG_TEXT_BYTES).alias("long"), step.alias("step"), F.explode(cuts).alias("cut"))
+    is_log = F.col("cut") > 0
+    part = F.when(is_log, F.lit(LOG)).when(F.col("long"), F.lit(WITHOUT_LOG)).otherwise(F.lit(WHOLE))
+    known = ["first_ts", *LAST_WINS, "bodies"]
+    return rows.select(
+        "request_key",
+        F.when(is_log, F.struct("topic", "partition", "stretch", "cut")).alias("of"),
+        "topic",
+        "partition",
+        "stretch",
+        *[F.when(~is_log, F.col(name)).alias(name) for name in known],
+        F.when(is_log, F.slice("texts", F.col("cut"), F.col("step"))).when(~F.col("long"), F.col("texts")).alias("texts"),
+        F.array(part).alias("parts"),
+    )
+
+
+def _with_logs(rows: DataFrame) -> DataFrame:
+    """Events of a table of events and of texts apart, as ``assemble`` writes it.
+
+    The text of a log is held as few times as can be. It is gathered, joined and put into its row in one step of the plan,
+    without being sorted with other rows, and shuffled once more as a whole row, so that what it was made of is gone where it
+    is written. A writer that keeps the least and the greatest value of a column (Parquet) has two copies of the first one;
+    so short rows are dealt with the long ones and come first.
+    """
+    names = [name for name in rows.columns if name not in ("part", "texts")]
+    is_event = F.col("part") == WITHOUT_LOG
+    event = [
+        _whole_log(F.flatten(F.collect_list("texts")), tidy=True).alias(name)
+        if name == "other_log"
+        else F.first(F.when(is_event, F.col(name)), ignorenulls=True).alias(name)
+        for name in names
+        if name != "request_key"
+    ]
+    long = rows.filter(F.col("part") != WHOLE).groupBy("request_key").agg(*event).select(*names)
+    # Another hash than Spark's own of the key, or it finds that the rows are dealt already.
+    place = F.xxhash64("request_key")
+    along, whole = F.pmod(place, F.lit(COMPANY)) == 0, F.col("part") == WHOLE
+    dealt = rows.filter(whole & along).select(*names).union(long).repartition(LONG_LOG_TASKS, place)
+    return rows.filter(whole & ~along).select(*names).union(dealt)
+
+
+def assemble(
+    lines: DataFrame, path: str | None = None, shown: Callable[[DataFrame], DataFrame] = lambda events: events
+) -> DataFrame:
+    """Events of classified lines, one row per request key; the lines are read once.
+
+    With ``path`` the events are made now and put into a table there, with the texts of long logs beside them; what is returned
+    reads that table. That takes more time and far less memory where a log has hundreds of megabytes. ``shown`` is what becomes of the
+    columns of an event; done afterwards it would take copies of such a log. It must leave ``request_key`` and ``other_log``.
+    """
+    pieces = sum_pieces(lines)
+    if path is None:
+        return shown(_to_events(_with_texts(pieces).withColumn("other_log", _whole_log())))
+    known = _with_text_arrays(pieces.filter(F.col("request_key").isNotNull()), 0)
+    stretches = _join_pieces(known, ["deal", *PLACE, "stretch"], ["piece"], "texts")
+    exchanges = _join_pieces(_log_apart(stretches), ["request_key", "of"], ["topic", "partition", "stretch"], "texts", "parts")
+    whole = F.array_max("parts") == WHOLE
+    exchanges = exchanges.withColumns({"part": F.array_max("parts"), "other_log": F.when(whole, _whole_log())})
+    rows = shown(_to_events(exchanges, "part", F.when(~whole, F.col("texts")).alias("texts")))
+    rows.write.parquet(path)
+    return _with_logs(rows.sparkSession.read.schema(rows.schema).parquet(path))

@@ -181,7 +181,7 @@ def assembled_shared_keys(spark: SparkSession, folder: str) -> DataFrame:
     """A third of all lines carries one request key."""
     own = F.concat(F.lit("req-"), F.col("event_id").cast("string"))
     key = F.when(F.col("event_id") % 3 == 0, F.lit("shared")).otherwise(own)
-    return _plain(assemble(_classified(spark, folder, key)))
+    return assemble(_classified(spark, folder, key), new_folder(spark, "shared-keys"), _plain)
 
 
 def event_bodies(spark: SparkSession, folder: str) -> DataFrame:

@@ -488,6 +488,10 @@ def _log_apart(stretches: DataFrame) -> DataFrame:
     cuts = F.when(size >= LONG_TEXT_BYTES, F.concat(F.array(F.lit(0)), F.sequence(F.lit(1), pieces, step))).otherwise(F.array(F.lit(0)))
     rows = stretches.select("*", (size >= LONG_TEXT_BYTES).alias("long"), step.alias("step"), F.explode(cuts).alias("cut"))
     is_log = F.col("cut") > 0
+    # A cut is one text, in the place of its first piece: many small ones would take more room than their text.
+    taken = F.slice("texts", F.col("cut"), F.col("step"))
+    first = F.get(taken, F.lit(0))
+    text = F.struct(*[first[name].alias(name) for name in ("batch", "topic", "partition", "piece")], _joined_text(taken).alias("text"))
     part = F.when(is_log, F.lit(LOG)).when(F.col("long"), F.lit(WITHOUT_LOG)).otherwise(F.lit(WHOLE))
     known = ["first_ts", *LAST_WINS, "bodies"]
     return rows.select(
@@ -497,7 +501,7 @@ def _log_apart(stretches: DataFrame) -> DataFrame:
         "partition",
         "stretch",
         *[F.when(~is_log, F.col(name)).alias(name) for name in known],
-        F.when(is_log, F.slice("texts", F.col("cut"), F.col("step"))).when(~F.col("long"), F.col("texts")).alias("texts"),
+        F.when(is_log, F.array(text)).when(~F.col("long"), F.col("texts")).alias("texts"),
         F.array(part).alias("parts"),
     )
 
